@@ -20,7 +20,8 @@ def hud_names(project: DataFrame, organization: DataFrame, names: DataFrame) ->
     return projects, labelled.withColumn("OrganizationName", F.col("__name")).select(*organization.columns)
 
 
-def household_move_in(enrollment: DataFrame, exits: DataFrame, project: DataFrame, as_of: Column) -> DataFrame:
+def household_move_in(enrollment: DataFrame, exits: DataFrame, project: DataFrame, as_of: Column,
+                      collected_from: str = MOVE_IN_COLLECTED_FROM) -> DataFrame:
     """Enrolments with a validated move-in date.
 
     A member's date counts if its project type says so (see below); the household's
@@ -37,7 +38,7 @@ def household_move_in(enrollment: DataFrame, exits: DataFrame, project: DataFram
     )
     entry, moved, left, kind = (F.col(c) for c in ("EntryDate", "MoveInDate", "ExitAdjust", "ProjectType"))
     supportive = kind.isin(3, 9)
-    assumed = supportive & (entry < day(MOVE_IN_COLLECTED_FROM))
+    assumed = supportive & (entry < day(collected_from))
     valid = (
         F.when(assumed, entry)
         .when(supportive & (entry <= moved) & (moved < left), moved)

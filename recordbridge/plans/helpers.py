@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import day
-from ..functions.nulls import is_in, tri_if
+from ..functions.nulls import is_in, strict_agg, tri_if
 from ..operators.groups import group_profile, list_agg
 from ..operators.joins import anti_exclude, full_coalesce, left_chain, ns_join, semi_restrict
 from ..operators.reshape import key_diff
@@ -79,8 +79,8 @@ def org_profile(flags: DataFrame) -> DataFrame:
         "minEntry": F.min(F.coalesce("MinEntry", nothing)),
         "maxExit": F.max(F.coalesce("MaxExit", nothing)),
         "openEEs": F.sum("OpenEEs"),
-        "maxOperating": F.max("operating"),
-        "maxParticipating": F.max("participating"),
+        "maxOperating": strict_agg(F.max, F.col("operating")),
+        "maxParticipating": strict_agg(F.max, F.col("participating")),
         "CEorVASH": F.max(F.coalesce("ce_or_vash", F.lit(0))),
     })
 

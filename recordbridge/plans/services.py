@@ -150,8 +150,7 @@ def custom_services(funded: DataFrame, numbered: bool = True) -> DataFrame:
     )
     if not numbered:
         return out.drop("LegacyServicesID")
-    order = ["LegacyServicesID", "EnrollmentID", "ServiceItemID", "FundingSourceID", "FAAmount", "FundingSource"]
-    return surrogate_id(out, order, "ServicesID").drop("LegacyServicesID")
+    return surrogate_id(out, out.columns, "ServicesID").drop("LegacyServicesID")
 
 
 def missing_funding(funded: DataFrame) -> DataFrame:
