@@ -90,6 +90,6 @@ def text_flags(col: Column, needle: str) -> dict[str, Column]:
 
 def strip_stopwords(col: Column, words: Iterable[str] = STOP_WORDS) -> Column:
     """Drop whole stop words (case kept as written), then all but letters and white space."""
-    alternatives = "|".join(sorted(words, key=len, reverse=True))
-    without = F.regexp_replace(col, rf"\b(?:{alternatives})\b", "")
+    word = r"[\p{L}\p{N}_]"
+    without = F.regexp_replace(col, f"(?<!{word})(?:{'|'.join(words)})(?!{word})", "")
     return F.regexp_replace(without, r"[^a-zA-Z\s]+", "")
