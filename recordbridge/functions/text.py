@@ -88,8 +88,22 @@ def text_flags(col: Column, needle: str) -> dict[str, Column]:
     }
 
 
+def any_word(words: Iterable[str]) -> str:
+    """Pattern for one of the words, written as a tree of shared beginnings.
+
+    A text position is then tried against one branch per letter, not against each word.
+    """
+    branches: dict[str, list[str]] = {}
+    for word in words:
+        branches.setdefault(word[:1], []).append(word[1:])
+    ends = "" in branches
+    parts = [first + any_word(rest) for first, rest in sorted(branches.items()) if first]
+    body = f"(?:{'|'.join(parts)})" if len(parts) > 1 or (ends and parts) else "".join(parts)
+    return body + "?" if ends and parts else body
+
+
 def strip_stopwords(col: Column, words: Iterable[str] = STOP_WORDS) -> Column:
     """Drop whole stop words (case kept as written), then all but letters and white space."""
     word = r"[\p{L}\p{N}_]"
-    without = F.regexp_replace(col, f"(?<!{word})(?:{'|'.join(words)})(?!{word})", "")
+    without = F.regexp_replace(col, f"(?<!{word}){any_word(words)}(?!{word})", "")
     return F.regexp_replace(without, r"[^a-zA-Z\s]+", "")

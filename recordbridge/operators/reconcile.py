@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.codes import round_even
 from ..functions.dates import days_between
 from ..functions.text import strip_stopwords
+from ..session import materialise
 from .groups import count_by, surrogate_id
 from .joins import anti_exclude, ns_join
 
@@ -111,15 +112,28 @@ def distance_limit(text: Column) -> Column:
 def fuzzy_prefix(a: DataFrame, b: DataFrame, key: str, text: str, length: int = 30) -> DataFrame:
     """Distinct (key, prefix) rows of ``a`` with no similar prefix under the same key in ``b``.
 
+    The texts are read once: their distinct prefixes are written and compared from there.
+    """
+    def prefixes(df: DataFrame, side: int) -> DataFrame:
+        return df.select(key, F.substring(F.col(text), 1, length).alias("prefix"), F.lit(side).alias("side")).distinct()
+
+    stored = materialise(prefixes(a, 1).unionByName(prefixes(b, 2)), "prefixes").where(F.col("prefix").isNotNull())
+    left, right = (stored.where(F.col("side") == side).select(key, "prefix") for side in (1, 2))
+    return unmatched_prefixes(left, right, key, length)
+
+
+def unmatched_prefixes(left: DataFrame, right: DataFrame, key: str, length: int = 30) -> DataFrame:
+    """Rows (key, prefix) of ``left`` with no similar prefix under the same key in ``right``.
+
     Similar means within ``distance_limit`` edits. Candidates are found without pairing
     all texts of a key: a prefix is cut into one piece more than the edits allowed, so
-    a similar one must hold some piece unchanged, at most that many places away. The
-    join is on key, piece and length, and exact.
+    a similar one must hold some piece unchanged. Piece ``i`` can have moved by at most
+    ``i`` places counted from the front and by what the later pieces leave counted from
+    the back (the multi-match-aware bound of Li et al., Pass-Join, 2011). The join is
+    on key, length and piece, and exact.
     """
     most = -(-length // 10)
-    prefix = F.substring(F.col(text), 1, length)
-    left = a.select(key, prefix.alias("prefix")).where(F.col("prefix").isNotNull()).distinct()
-    right = b.select(F.col(key).alias("__key"), prefix.alias("__other")).where(F.col("__other").isNotNull()).distinct()
+    right = right.select(F.col(key).alias("__key"), F.col("prefix").alias("__other"))
 
     size, limit = F.char_length("prefix"), distance_limit(F.col("prefix"))
     lengths = F.struct(size.alias("size"), limit.alias("limit"))
@@ -133,25 +147,27 @@ def fuzzy_prefix(a: DataFrame, b: DataFrame, key: str, text: str, length: int =
         start = cut(i, n, parts)
         return F.struct(i.alias("no"), F.substring(F.col("prefix"), start + 1, cut(i + 1, n, parts) - start).alias("piece"))
 
-    left_pieces = left.where(size > 0).select(
+    left_pieces = left.select(
         key, "prefix", lengths.alias("__l"), F.inline(F.transform(F.sequence(F.lit(0), limit), piece))
     )
 
     own = F.char_length("__other")
-    shift = F.explode(F.sequence(F.greatest(own - most, F.lit(1)), own + most)).alias("__size")
-    sized = right.select("__key", "__other", shift)
-    allowed = F.ceil(F.col("__size") / F.lit(10.0)).cast("int")
-    sized = sized.withColumn("__limit", allowed).where(F.abs(F.char_length("__other") - F.col("__size")) <= F.col("__limit"))
+    sizes = F.sequence(F.greatest(own - most, F.lit(0)), F.least(own + most, F.lit(length)))
+    sized = right.where(own <= length).select("__key", "__other", F.explode(sizes).alias("__size"))
+    sized = sized.withColumn("__limit", F.ceil(F.col("__size") / F.lit(10.0)).cast("int"))
     numbered = sized.select("*", F.explode(F.sequence(F.lit(0), F.col("__limit"))).alias("__no"))
-    start = cut(F.col("__no"), F.col("__size"), F.col("__limit") + 1)
-    width = cut(F.col("__no") + 1, F.col("__size"), F.col("__limit") + 1) - start
-    spots = F.sequence(F.greatest(start - F.col("__limit"), F.lit(0)), start + F.col("__limit"))
+    no, limit_, gap = F.col("__no"), F.col("__limit"), own - F.col("__size")
+    start = cut(no, F.col("__size"), limit_ + 1)
+    width = cut(no + 1, F.col("__size"), limit_ + 1) - start
+    low, high = F.greatest(-no, gap - (limit_ - no)), F.least(no, gap + (limit_ - no))
+    placed = numbered.select(
+        "__key", "__other", "__size", "__no", width.alias("__width"), (start + low).alias("__from"), (start + high).alias("__to")
+    ).where("__from <= __to")
     right_pieces = (
-        numbered.select("__key", "__other", "__size", "__no", width.alias("__width"), F.explode(spots).alias("__spot"))
+        placed.select("*", F.explode(F.sequence("__from", "__to")).alias("__spot")).where("__spot >= 0")
         .withColumn("__piece", F.substring(F.col("__other"), F.col("__spot") + 1, F.col("__width")))
         .where(F.char_length("__piece") == F.col("__width"))
         .select("__key", "__other", "__size", "__no", "__piece")
-        .distinct()
     )
     candidates = left_pieces.join(
         right_pieces,
@@ -163,31 +179,29 @@ def fuzzy_prefix(a: DataFrame, b: DataFrame, key: str, text: str, length: int =
         & (F.levenshtein(F.col("prefix"), F.col("__other")) <= F.col("__l.limit")),
         "left_semi",
     )
-    blank = right.where(F.char_length("__other") == 0).select(F.col("__key").alias(key)).distinct()
-    empty = ns_join(left.where(F.char_length("prefix") == 0), blank, key, "left_semi")
-    found = candidates.select(key, "prefix").unionByName(empty.select(key, "prefix")).distinct()
-    return anti_exclude(left, found, [key, "prefix"])
+    return anti_exclude(left, candidates.select(key, "prefix"), [key, "prefix"])
 
 
 def text_reconcile(a: DataFrame, b: DataFrame, key: str, text: str) -> DataFrame:
     """Cleaned notes that one side has and the other has not, per person and side.
 
     ``side`` says who has the note; ``similar`` is 1 where the other side's missing
-    notes hold one that starts about the same.
+    notes hold one that starts about the same. The texts are cleaned and compared in
+    one pass; the one-sided notes are written once, as several steps read them.
     """
-    def cleaned(df: DataFrame) -> DataFrame:
-        return df.select(key, strip_stopwords(F.col(text)).alias("note")).where(F.col("note").isNotNull()).distinct()
+    def cleaned(df: DataFrame, side: int) -> DataFrame:
+        noted = df.where(F.col(text).isNotNull())
+        return noted.select(key, strip_stopwords(F.col(text)).alias("note"), F.lit(side).alias("side"))
 
-    left, right = cleaned(a), cleaned(b)
-    tagged = left.withColumn("side", F.lit(1)).unionByName(right.withColumn("side", F.lit(2)))
-    one_sided = (
-        tagged.groupBy(key, "note").agg(F.min("side").alias("lo"), F.max("side").alias("hi")).where("lo = hi")
-    )
-    only_left, only_right = one_sided.where("lo = 1").select(key, "note"), one_sided.where("lo = 2").select(key, "note")
+    grouped = cleaned(a, 1).unionByName(cleaned(b, 2)).groupBy(key, "note")
+    sides = grouped.agg(F.min("side").alias("lo"), F.max("side").alias("hi")).where("lo = hi")
+    one_sided = materialise(sides.select(key, "note", "lo"), "one-sided")
+    only_left, only_right = (one_sided.where(F.col("lo") == side).select(key, "note") for side in (1, 2))
 
     def report(mine: DataFrame, theirs: DataFrame, side: str) -> DataFrame:
-        alone = fuzzy_prefix(mine, theirs, key, "note").withColumn("alone", F.lit(True))
         with_prefix = mine.withColumn("prefix", F.substring("note", 1, 30))
+        others = theirs.select(key, F.substring("note", 1, 30).alias("prefix")).distinct()
+        alone = unmatched_prefixes(with_prefix.select(key, "prefix").distinct(), others, key).withColumn("alone", F.lit(True))
         joined = ns_join(with_prefix, alone, [key, "prefix"], "left")
         return joined.select(key, "note", F.lit(side).alias("side"), F.when(F.col("alone"), 0).otherwise(1).alias("similar"))
 

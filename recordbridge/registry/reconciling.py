@@ -1,0 +1,146 @@
+"""Comparing two systems, on halves and altered copies of the test tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions.text import strip_stopwords
+from ..operators import reconcile
+from ..plans import helpers
+from .base import Tables, money, nullif, query
+from .basics import CLEAN_SQL
+from .grouping import SNAPSHOT_SQL, snapshots
+
+
+@query("table_diff", f"""
+WITH {SNAPSHOT_SQL}, j AS (SELECT b.c_custkey AS bk, a.c_custkey AS ak, b.c_name IS DISTINCT FROM a.c_name AS d1, b.nation IS DISTINCT FROM a.nation AS d2, b.c_mktsegment IS DISTINCT FROM a.c_mktsegment AS d3
+ FROM before b FULL JOIN after a ON a.c_custkey = b.c_custkey)
+SELECT 'c_name' AS "column", count(*) FILTER (d1 AND ak IS NOT NULL AND bk IS NOT NULL) AS n FROM j
+UNION ALL SELECT 'nation', count(*) FILTER (d2 AND ak IS NOT NULL AND bk IS NOT NULL) FROM j
+UNION ALL SELECT 'c_mktsegment', count(*) FILTER (d3 AND ak IS NOT NULL AND bk IS NOT NULL) FROM j
+UNION ALL SELECT '(only left)', count(*) FILTER (ak IS NULL) FROM j UNION ALL SELECT '(only right)', count(*) FILTER (bk IS NULL) FROM j""")
+def table_diff(t: Tables):
+    before, after = snapshots(t)
+    return reconcile.table_diff(before, after, ["c_custkey"], ["c_name", "nation", "c_mktsegment"])
+
+
+@query("table_diff_by_position", f"""
+WITH {SNAPSHOT_SQL}, b AS (SELECT *, row_number() OVER (ORDER BY c_custkey) AS i FROM before), a AS (SELECT *, row_number() OVER (ORDER BY c_custkey) AS i FROM after),
+ j AS (SELECT b.i AS bk, a.i AS ak, b.c_name IS DISTINCT FROM a.c_name AS d1, b.c_mktsegment IS DISTINCT FROM a.c_mktsegment AS d3 FROM b FULL JOIN a ON a.i = b.i)
+SELECT 'c_name' AS "column", count(*) FILTER (d1 AND ak IS NOT NULL AND bk IS NOT NULL) AS n FROM j
+UNION ALL SELECT 'c_mktsegment', count(*) FILTER (d3 AND ak IS NOT NULL AND bk IS NOT NULL) FROM j
+UNION ALL SELECT '(only left)', count(*) FILTER (ak IS NULL) FROM j UNION ALL SELECT '(only right)', count(*) FILTER (bk IS NULL) FROM j""")
+def table_diff_by_position(t: Tables):
+    before, after = (reconcile.by_position(s, ["c_custkey"]) for s in snapshots(t))
+    return reconcile.table_diff(before, after, ["position"], ["c_name", "c_mktsegment"])
+
+
+@query("column_drift", """
+SELECT o_orderkey, o_orderpriority AS priority_x, lower(o_orderpriority) AS priority_y FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 200000 AND lower(o_orderpriority) <> o_orderpriority""")
+def column_drift(t: Tables):
+    a = t.orders.where("o_orderstatus <> 'P'").select("o_orderkey", F.col("o_orderpriority").alias("priority"))
+    b = t.orders.where("o_totalprice > 200000").select(
+        "o_orderkey", F.when(F.col("o_orderstatus") == "F", F.lower("o_orderpriority")).when(F.col("o_orderstatus") == "O", F.col("o_orderpriority")).alias("priority")
+    )
+    return reconcile.column_drift(a, b, ["o_orderkey"], "priority")
+
+
+@query("rowcount_drift", """
+SELECT * FROM (SELECT o_custkey, count(*) FILTER (o_orderstatus = 'F') AS n_x, count(*) FILTER (o_orderstatus = 'O') AS n_y FROM orders GROUP BY 1) WHERE n_x > 0 AND n_y > 0 AND n_x <> n_y""")
+def rowcount_drift(t: Tables):
+    return reconcile.rowcount_drift(t.orders.where("o_orderstatus = 'F'"), t.orders.where("o_orderstatus = 'O'"), ["o_custkey"])
+
+
+@query("date_drift", """
+WITH a AS (SELECT user_id, min(ts) AS lo, max(ts) AS hi FROM events WHERE event_type IN ('click', 'view') GROUP BY 1),
+ b AS (SELECT user_id, min(ts) AS lo, max(ts) AS hi FROM events WHERE event_type IN ('purchase', 'view') GROUP BY 1)
+SELECT coalesce(a.user_id, b.user_id) AS user_id, strftime(a.hi, '%Y-%m-%d %H:%M:%S') AS max_x, strftime(b.hi, '%Y-%m-%d %H:%M:%S') AS max_y, strftime(a.lo, '%Y-%m-%d %H:%M:%S') AS min_x,
+ strftime(b.lo, '%Y-%m-%d %H:%M:%S') AS min_y, CASE WHEN a.hi <> b.hi OR a.lo <> b.lo THEN 1 WHEN a.hi = b.hi AND a.lo = b.lo THEN 0 END AS different,
+ date_diff('microsecond', b.hi, a.hi) / 86400000000.0 AS max_days_off FROM a FULL JOIN b ON a.user_id = b.user_id""")
+def date_drift(t: Tables):
+    out = reconcile.date_drift(
+        t.events.where("event_type IN ('click', 'view')"), t.events.where("event_type IN ('purchase', 'view')"), ["user_id"], "ts"
+    )
+    return out.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("max_x", "max_y", "min_x", "min_y")})
+
+
+@query("member_drift", """
+SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 400000)""")
+def member_drift(t: Tables):
+    large = t.orders.where("o_totalprice > 400000").select("o_custkey")
+    return reconcile.member_drift(t.customer.select("c_custkey", "c_name", "c_mktsegment"), large, [("c_custkey", "o_custkey")])
+
+
+@query("amount_reconcile", """
+WITH l AS (SELECT o_orderkey AS id, count(*) AS n, sum(CAST(o_totalprice AS DECIMAL(12,2))) AS amt FROM orders GROUP BY 1),
+ r AS (SELECT l_orderkey AS id, count(*) AS n, sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS amt FROM lineitem GROUP BY 1),
+ x AS (SELECT l_orderkey AS id, count(*) AS n, coalesce(sum(CASE WHEN l_discount < 0.05 THEN CAST(l_extendedprice AS DECIMAL(12,2)) END), 0) AS amt FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1),
+ d AS (SELECT l.id, l.n AS n_left, l.amt AS amt_left, r.n - coalesce(x.n, 0) AS n_right, r.amt - coalesce(x.amt, 0) AS amt_right FROM l LEFT JOIN r ON r.id = l.id LEFT JOIN x ON x.id = l.id),
+ o AS (SELECT *, abs(amt_right - amt_left) AS diff FROM d WHERE CASE WHEN abs(amt_left - trunc(amt_left)) = 0.5 THEN 2 * round(amt_left / 2) ELSE round(amt_left) END
+   <> CASE WHEN abs(amt_right - trunc(amt_right)) = 0.5 THEN 2 * round(amt_right / 2) ELSE round(amt_right) END)
+SELECT id AS "EnrollmentID", n_left AS "N_left", CAST(amt_left AS DOUBLE) AS "Amt_left", n_right AS "N_right", CAST(amt_right AS DOUBLE) AS "Amt_right", CAST(diff AS DOUBLE) AS "Amt_diff"
+FROM o WHERE diff > (SELECT avg(diff) FROM o)""")
+def amount_reconcile(t: Tables):
+    left = t.orders.select(F.col("o_orderkey").alias("EnrollmentID"), money("o_totalprice").alias("FAAmount"))
+    lines = t.lineitem.select(F.col("l_orderkey").alias("EnrollmentID"), money("l_extendedprice").alias("FAAmount"), "l_returnflag", "l_discount")
+    extra = lines.where("l_returnflag = 'R'").select("EnrollmentID", F.when(F.col("l_discount") < 0.05, F.col("FAAmount")).alias("FAAmount"))
+    out = reconcile.amount_reconcile(left, lines.select("EnrollmentID", "FAAmount"), extra, "EnrollmentID", "FAAmount")
+    return out.withColumns({c: F.col(c).cast("double") for c in ("Amt_left", "Amt_right", "Amt_diff")})
+
+
+def halves(t: Tables):
+    """Documents with a label, and those without, by source."""
+    docs = t.documents.select("doc_id", "source", "lang", "text")
+    return docs.join(t.labels, "doc_id", "left_semi"), docs.join(t.labels, "doc_id", "left_anti")
+
+
+HALVES_SQL = f"""a AS (SELECT doc_id, source, lang, {CLEAN_SQL.format('text')} AS note FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)),
+ b AS (SELECT doc_id, source, lang, {CLEAN_SQL.format('text')} AS note FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels))"""
+
+
+@query("fuzzy_prefix", f"""
+WITH {HALVES_SQL}, pa AS (SELECT DISTINCT lang, substr(note, 1, 30) AS prefix FROM a), pb AS (SELECT DISTINCT lang, substr(note, 1, 30) AS prefix FROM b)
+SELECT lang, prefix FROM pa WHERE NOT EXISTS (SELECT 1 FROM pb WHERE pb.lang = pa.lang AND levenshtein(pa.prefix, pb.prefix) <= ceil(length(pa.prefix) / 10.0))""")
+def fuzzy_prefix(t: Tables):
+    a, b = (half.select("lang", strip_stopwords(F.col("text")).alias("note")) for half in halves(t))
+    return reconcile.fuzzy_prefix(a, b, "lang", "note")
+
+
+@query("text_reconcile", f"""
+WITH {HALVES_SQL}, da AS (SELECT DISTINCT source, note FROM a), db AS (SELECT DISTINCT source, note FROM b),
+ oa AS (SELECT * FROM da EXCEPT SELECT * FROM db), ob AS (SELECT * FROM db EXCEPT SELECT * FROM da)
+SELECT source, note, 'left' AS side, CASE WHEN EXISTS (SELECT 1 FROM ob WHERE ob.source = oa.source AND levenshtein(substr(oa.note, 1, 30), substr(ob.note, 1, 30)) <= ceil(least(length(oa.note), 30) / 10.0)) THEN 1 ELSE 0 END AS similar FROM oa
+UNION ALL SELECT source, note, 'right', CASE WHEN EXISTS (SELECT 1 FROM oa WHERE ob.source = oa.source AND levenshtein(substr(oa.note, 1, 30), substr(ob.note, 1, 30)) <= ceil(least(length(ob.note), 30) / 10.0)) THEN 1 ELSE 0 END FROM ob""".replace(" AS similar", ' AS "similar"'))
+def text_reconcile(t: Tables):
+    a, b = halves(t)
+    return reconcile.text_reconcile(a, b, "source", "text")
+
+
+@query("code_verify", """
+WITH e AS (SELECT n_regionkey, substr(n_name, 1, 8) AS code FROM nation), x AS (SELECT n_regionkey, CASE WHEN n_regionkey = 2 THEN n_name ELSE substr(n_name, 1, 8) END AS code FROM nation WHERE n_nationkey > 1)
+SELECT 'expected only' AS side, * FROM (SELECT * FROM e EXCEPT ALL SELECT * FROM x) UNION ALL SELECT 'actual only', * FROM (SELECT * FROM x EXCEPT ALL SELECT * FROM e)""")
+def code_verify(t: Tables):
+    short = F.substring("n_name", 1, 8)
+    expected = t.nation.select("n_regionkey", short.alias("code"))
+    actual = t.nation.where("n_nationkey > 1").select("n_regionkey", F.when(F.col("n_regionkey") == 2, F.col("n_name")).otherwise(short).alias("code"))
+    return reconcile.code_verify(expected, actual, ["n_regionkey", "code"])
+
+
+@query("checks", """
+SELECT 'no status' AS name, CAST(count(*) FILTER (nullif(o_orderstatus, 'P') IS NULL) = 0 AS INTEGER) AS ok, count(*) FILTER (nullif(o_orderstatus, 'P') IS NULL) AS failing FROM orders
+UNION ALL SELECT 'negative price', CAST(count(*) FILTER (o_totalprice < 0) = 0 AS INTEGER), count(*) FILTER (o_totalprice < 0) FROM orders
+UNION ALL SELECT 'order key is unique', 1, 0 UNION ALL SELECT 'line is unique', CAST(count(*) = 0 AS INTEGER), count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)""")
+def checks(t: Tables):
+    return reconcile.all_checks(
+        reconcile.checks(t.orders, {"no status": nullif("o_orderstatus", "P").isNull(), "negative price": F.col("o_totalprice") < 0}),
+        reconcile.unique_check(t.orders, ["o_orderkey"], "order key is unique"),
+        reconcile.unique_check(t.lineitem, ["l_orderkey", "l_linenumber"], "line is unique"),
+    )
+
+
+@query("name_drift", """
+SELECT c_custkey, c_name AS c_name_x, upper(c_name) AS c_name_y FROM customer WHERE c_mktsegment = 'BUILDING'""")
+def name_drift(t: Tables):
+    a = t.customer.select("c_custkey", "c_name")
+    b = t.customer.select("c_custkey", F.when(F.col("c_mktsegment") == "BUILDING", F.upper("c_name")).otherwise(F.col("c_name")).alias("c_name"))
+    return helpers.name_drift(a, b, ["c_custkey"], "c_name")
