@@ -35,7 +35,8 @@ def ns_join(
     ``nulls_match=False`` is for keys known to be never null on one side.
     """
     pairs = key_pairs(on)
-    right = right.select(*[F.col(f"`{c}`").alias(f"__r_{c}") for c in right.columns])
+    left_names, right_names = left.columns, right.columns
+    right = right.withColumnsRenamed({c: f"__r_{c}" for c in right_names})
 
     def same(lk: str, rk: str) -> Column:
         a, b = left[f"`{lk}`"], right[f"`__r_{rk}`"]
@@ -44,24 +45,21 @@ def ns_join(
     joined = left.join(right, reduce(and_, [same(lk, rk) for lk, rk in pairs]), how)
     if how in ("left_semi", "left_anti"):
         return joined
-    left_keys = {lk: rk for lk, rk in pairs}
-    right_keys = {rk for _, rk in pairs}
-    left_rest = [c for c in left.columns if c not in left_keys]
-    right_rest = [c[4:] for c in right.columns if c[4:] not in right_keys]
-
-    def column(c: str) -> Column:
-        if c in left_keys:
-            if how in ("right", "full"):
-                return F.coalesce(F.col(f"`{c}`"), F.col(f"`__r_{left_keys[c]}`")).alias(c)
-            return F.col(f"`{c}`")
-        return F.col(f"`{c}`").alias(c + suffix[0] if c in right_rest else c)
+    left_keys, right_keys = dict(pairs), {rk for _, rk in pairs}
+    right_rest = [c for c in right_names if c not in right_keys]
+    clash = {c for c in left_names if c not in left_keys} & set(right_rest)
+
+    def named(source: str, name: str) -> Column | str:
+        return f"`{name}`" if source == name else F.col(f"`{source}`").alias(name)
+
+    def key(c: str) -> Column | str:
+        if how in ("right", "full"):
+            return F.coalesce(f"`{c}`", f"`__r_{left_keys[c]}`").alias(c)
+        return f"`{c}`"
 
     return joined.select(
-        *[column(c) for c in left.columns],
-        *[
-            F.col(f"`__r_{c}`").alias(c + suffix[1] if c in left_rest else c)
-            for c in right_rest
-        ],
+        *[key(c) if c in left_keys else named(c, c + suffix[0] if c in clash else c) for c in left_names],
+        *[named(f"__r_{c}", c + suffix[1] if c in clash else c) for c in right_rest],
     )
 
 
@@ -123,7 +121,7 @@ def interval_join(
     start: str,
     end: str,
     as_of: Column,
-    bin_days: int = 32,
+    bin_days: int = 90,
 ) -> DataFrame:
     """Attach each event to every span of the same keys that contains it.
 

@@ -52,25 +52,39 @@ def column_drift(a: DataFrame, b: DataFrame, keys: Sequence[str], column: str) -
     return both.where(F.col(f"{column}_x") != F.col(f"{column}_y"))
 
 
-def side_by_side(a: DataFrame, b: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column]) -> DataFrame:
-    """The same aggregates of two tables next to each other (``_x``, ``_y``).
+def both_sides(a: DataFrame, b: DataFrame, *more: DataFrame) -> DataFrame:
+    """The frames stacked, each row marked with its side (1, 2, ..).
 
-    Each side is aggregated before its shuffle; a side without the group gives nulls.
+    Grouping the stack gives the aggregates of all sides next to each other: one
+    shuffle, combined before it, and null keys meet as in ``ns_join``.
     """
-    grouped = [df.groupBy(*keys).agg(*[c.alias(n) for n, c in aggs.items()]) for df in (a, b)]
-    return ns_join(grouped[0], grouped[1], list(keys), "full")
+    frames = [df.withColumn("side", F.lit(i)) for i, df in enumerate((a, b, *more), 1)]
+    return reduce(DataFrame.unionByName, frames)
+
+
+def of_side(side: int, value: Column) -> Column:
+    return F.when(F.col("side") == side, value)
 
 
 def rowcount_drift(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Groups that both sides have, with different row counts."""
-    return ns_join(count_by(a, keys), count_by(b, keys), list(keys), "inner").where("n_x != n_y")
+    counts = both_sides(a.select(*keys), b.select(*keys)).groupBy(*keys).agg(
+        F.count_if(F.col("side") == 1).alias("n_x"), F.count_if(F.col("side") == 2).alias("n_y")
+    )
+    return counts.where("n_x > 0 AND n_y > 0 AND n_x <> n_y")
 
 
 def date_drift(a: DataFrame, b: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
-    """Earliest and latest date per group on both sides, whether they differ, days off."""
-    both = side_by_side(a, b, keys, {"max": F.max(column), "min": F.min(column)})
+    """Earliest and latest date per group on both sides, whether they differ, days off.
+
+    A group that one side lacks has nulls there.
+    """
+    value = F.col(column)
+    spans = both_sides(a.select(*keys, column), b.select(*keys, column)).groupBy(*keys).agg(
+        *[fn(of_side(side, value)).alias(f"{name}_{tag}") for side, tag in ((1, "x"), (2, "y")) for name, fn in (("max", F.max), ("min", F.min))]
+    )
     differ = (F.col("max_x") != F.col("max_y")) | (F.col("min_x") != F.col("min_y"))
-    return both.withColumns({
+    return spans.withColumns({
         "different": F.when(differ, 1).when(~differ, 0),
         "max_days_off": days_between(F.col("max_x"), F.col("max_y")),
     })
@@ -88,16 +102,16 @@ def amount_reconcile(left: DataFrame, right: DataFrame, extra: DataFrame, key: s
     their count and amount are taken off. Amounts are compared after rounding half
     to even. The frames need only the key and the amount.
     """
-    def totals(df: DataFrame, tag: str) -> DataFrame:
-        total = F.coalesce(F.sum(amount), F.lit(0))
-        return df.groupBy(key).agg(F.count(F.lit(1)).alias(f"N_{tag}"), total.alias(f"Amt_{tag}"))
-
-    both = ns_join(totals(left, "left"), totals(right, "right"), key, "left")
-    both = ns_join(both, totals(extra, "extra"), key, "left")
-    net = both.where(F.col(key).isNotNull()).select(
-        key, "N_left", "Amt_left",
-        (F.col("N_right") - F.coalesce("N_extra", F.lit(0))).alias("N_right"),
-        (F.col("Amt_right") - F.coalesce("Amt_extra", F.lit(0))).alias("Amt_right"),
+    cols = [key, amount]
+    stacked = both_sides(left.select(*cols), right.select(*cols), extra.select(*cols)).where(F.col(key).isNotNull())
+    tags = {1: "left", 2: "right", 3: "extra"}
+    totals = stacked.groupBy(key).agg(
+        *[F.count_if(F.col("side") == i).alias(f"N_{tag}") for i, tag in tags.items()],
+        *[F.coalesce(F.sum(of_side(i, F.col(amount))), F.lit(0)).alias(f"Amt_{tag}") for i, tag in tags.items()],
+    )
+    net = totals.where("N_left > 0 AND N_right > 0").select(
+        key, "N_left", "Amt_left", (F.col("N_right") - F.col("N_extra")).alias("N_right"),
+        (F.col("Amt_right") - F.col("Amt_extra")).alias("Amt_right"),
     )
     off = net.where(round_even(F.col("Amt_left")) != round_even(F.col("Amt_right")))
     off = off.withColumn("Amt_diff", F.abs(F.col("Amt_right") - F.col("Amt_left")))

@@ -257,11 +257,10 @@ def crosswalk_tables(t: Tables):
 
 
 @query("build_crosswalk", f"""
-WITH {CROSSWALK_SQL} SELECT *, CASE WHEN "Target_ProgramID" IS NULL THEN 1 ELSE 0 END AS unmatched FROM crosswalk""")
+WITH {CROSSWALK_SQL} SELECT *, 'all' AS list FROM crosswalk UNION ALL SELECT *, 'unmatched' FROM crosswalk WHERE "Target_ProgramID" IS NULL""")
 def build_crosswalk(t: Tables):
     crosswalk, unmatched = crosswalk_tables(t)
-    found = joins.anti_exclude(crosswalk, unmatched, "Legacy_ProgramID").withColumn("unmatched", F.lit(0))
-    return found.unionByName(unmatched.withColumn("unmatched", F.lit(1)))
+    return crosswalk.withColumn("list", F.lit("all")).unionByName(unmatched.withColumn("list", F.lit("unmatched")))
 
 
 @query("extend_crosswalk", """

@@ -7,9 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Runtime settings the plans count on. A join partition holding a hot key is split by
+# Session settings the plans count on. A join partition holding a hot key is split by
 # adaptive execution, also when that costs a further exchange behind the join.
-ADAPTIVE = {
+SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -18,8 +18,8 @@ ADAPTIVE = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Set the adaptive options this library relies on; sizes stay with the cluster."""
-    for key, value in ADAPTIVE.items():
+    """Set the options this library relies on; sizes stay with the cluster."""
+    for key, value in SETTINGS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark

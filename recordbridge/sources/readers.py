@@ -71,5 +71,11 @@ def read_sheet_export(spark: SparkSession, path: str, schema: T.StructType | Non
 
 
 def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: str | T.StructType) -> DataFrame:
-    """A small table written in code, with declared types."""
-    return spark.createDataFrame(list(rows), schema)
+    """A small table written in code, with declared types.
+
+    The rows are constants of the plan, so Spark knows how small the table is and
+    broadcasts it without a hint.
+    """
+    fields = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
