@@ -133,7 +133,7 @@ def sites(
         tri_if(F.col("ProjectCounty") != fixed.AREA_COUNTY, fixed.AREA_CODES[1], fixed.AREA_CODES[0]).alias("coc"),
         F.lit(1).alias("status"), as_day_text(as_of).alias("information_date"), now.alias("added_date"), now.alias("last_updated"),
     )
-    order = ["ref_agency", "geolocations__zipcode", "geolocations__city", "name", "geolocations__geocode", "phone"]
+    order = ["ref_agency", "geolocations__zipcode", "geolocations__city", "name", "geolocations__geocode", "coc", "phone"]
     return surrogate_id(out, order, "id")
 
 

@@ -409,7 +409,7 @@ def or_fallback_join(t: Tables):
     return joins.fallback_join(places, t.nation, [("city", "n_name"), ("county", "n_name")], "n_regionkey", "region")
 
 
-@query("fanout_report", """
+@query("many_to_many_guard", """
 SELECT l_orderkey, l_linenumber, count(*) AS count FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1""")
 def fanout_report(t: Tables):
     return joins.fanout_report(t.lineitem, ["l_orderkey", "l_linenumber"])
