@@ -132,7 +132,8 @@ def seq_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], name:
 
     ``slice_by`` must never fall when the order rises (the day of the first order
     column, say). Rows are then numbered inside a slice, and the sizes of earlier
-    slices added, so no task ever holds a whole group.
+    slices added, so no task ever holds a whole group. Leave it out only for groups
+    known to be small, or where just the first few numbers are kept.
     """
     ordering = [F.col(c).asc_nulls_last() for c in order]
     if slice_by is None:

@@ -30,7 +30,7 @@ def ns_join(
     suffix: tuple[str, str] = ("_x", "_y"),
     nulls_match: bool = True,
 ) -> DataFrame:
-    """Join on named keys; names that clash get a suffix, keys keep the left name.
+    """Join on named keys; other names that clash get a suffix, keys keep the left name.
 
     ``nulls_match=False`` is for keys known to be never null on one side.
     """
@@ -47,7 +47,7 @@ def ns_join(
         return joined
     left_keys, right_keys = dict(pairs), {rk for _, rk in pairs}
     right_rest = [c for c in right_names if c not in right_keys]
-    clash = {c for c in left_names if c not in left_keys} & set(right_rest)
+    clash = set(left_names) & set(right_rest)
 
     def named(source: str, name: str) -> Column | str:
         return f"`{name}`" if source == name else F.col(f"`{source}`").alias(name)

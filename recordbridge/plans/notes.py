@@ -19,7 +19,7 @@ from . import fixed
 
 def _note(df: DataFrame, clients: DataFrame, program: str, date: str, note: Column, title: Column,
           enrollment: Column | None = None, service: Column | None = None) -> DataFrame:
-    rows = semi_restrict(df.where(F.col("active")), clients, "client_id", nulls_match=False)
+    rows = semi_restrict(df.where(F.col("active") & note.isNotNull()), clients, "client_id", nulls_match=False)
     blank = F.lit("")
     return rows.select(
         F.col("client_id").alias("PersonalID"),
@@ -31,7 +31,7 @@ def _note(df: DataFrame, clients: DataFrame, program: str, date: str, note: Colu
         squish_newlines(note).alias("Note"),
         as_time_text(F.col("date_added")).alias("DateCreated"),
         as_time_text(F.col("date_updated")).alias("DateUpdated"),
-    ).where(F.col("Note").isNotNull())
+    )
 
 
 def note_rows(

@@ -4,7 +4,9 @@ import re
 
 import pytest
 from oracle import compare, connect
+from pyspark.sql import functions as F
 
+from recordbridge.operators import groups, joins
 from recordbridge.registry import ORACLE, QUERIES
 
 SMALL, CHECKED = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
@@ -52,27 +54,61 @@ def test_first_rows_are_pruned_before_the_shuffle(spark):
     assert re.search(r"WindowGroupLimit[^\n]*Final(?s:.*)Exchange hashpart(?s:.*)WindowGroupLimit[^\n]*Partial", text)
 
 
-def test_hot_key_join_is_split(spark):
-    from pyspark.sql import functions as F
-
-    from recordbridge.operators.groups import with_group
-
+@pytest.fixture
+def skew(spark):
+    """Thresholds so low that a hot key of the test shows."""
     knobs = {
         "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
     }
     for k, v in knobs.items():
         spark.conf.set(k, v)
+    yield
+    for k in knobs:
+        spark.conf.unset(k)
+
+
+@pytest.fixture
+def hot(spark):
+    """A third of the rows under one key, half of those at one moment."""
+    i = F.col("id")
+    return spark.range(0, 240_000, 1, 16).select(
+        F.when(i % 3 == 0, F.lit(-1)).otherwise(i).alias("k"), F.when(i % 6 == 0, F.lit(10**9)).otherwise(i).alias("at"), i.alias("v"),
+        F.sha2(i.cast("string"), 256).alias("text"),
+    )
+
+
+def counted(df, key):
+    """Row counts by a key, from an aggregate that needs the rows' text, and the final plan."""
+    out = df.groupBy(key).agg(F.count("*").alias("count"), F.max("text"))
+    return {tuple(r)[:2] for r in out.collect()}, plan(out)
+
+
+def test_group_values_on_a_hot_key(skew, hot):
+    got, text = counted(groups.with_group(hot, ["k"], {"n": F.count("*")}), F.col("n"))
+    assert got == {(80_000, 80_000), (1, 160_000)} and "skew=true" in text
+
+
+def test_latest_with_ties_on_a_hot_key(skew, hot):
+    got, text = counted(groups.latest(hot, ["k"], "at"), F.col("k") == -1)
+    assert got == {(True, 40_000), (False, 160_000)} and "skew=true" in text
+
+
+def test_anti_join_on_a_hot_key(skew, hot):
+    got, text = counted(joins.anti_exclude(hot, hot.where("v < 60000 AND k <> -1").select("k"), "k"), F.col("k") == -1)
+    assert got == {(True, 80_000), (False, 120_000)} and "skew=true" in text
+
+
+def test_interval_join_spreads_a_hot_key(spark, hot):
+    """Events of one key over 240,000 minutes: the join partitions by bin, not by key alone."""
+    minute = F.timestamp_seconds(F.col("v") * 60)
+    events = hot.select(F.lit(1).alias("k"), "v", minute.alias("at"))
+    spans = spark.range(10).select(F.lit(1).alias("k"), F.timestamp_seconds(F.col("id") * 86_400 * 10).alias("lo"), F.timestamp_seconds(F.col("id") * 86_400 * 10 + 86_400).alias("hi"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        hot = spark.range(0, 200_000, 1, 16).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
-        out = with_group(hot, ["k"], {"n": F.count("*")})
-        counts = out.groupBy("n").count().collect()
-        joined = out.select(F.sum("v"))
-        joined.collect()
-        assert "skew=true" in plan(joined)
-        assert {(r["n"], r["count"]) for r in counts} == {(66667, 66667), (1, 133333)}
+        out = joins.interval_join(events, spans, "k", "at", "lo", "hi", F.current_date(), bin_days=5)
+        assert "__bin" in re.search(r"SortMergeJoin[^\n]*", plan(out)).group(0)
+        assert out.count() == 10 * 1441
     finally:
-        for k in knobs:
-            spark.conf.unset(k)
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -19,6 +19,8 @@ def test_clashing_names_get_suffixes(make):
     left, right = make("k int, v int, `a.b` int", (1, 2, 3)), make("k int, v int, w int", (1, 4, 5))
     out = joins.ns_join(left, right, "k", suffix=("_sp", "_cl"))
     assert out.columns == ["k", "v_sp", "a.b", "v_cl", "w"] and tuple(out.first()) == (1, 2, 3, 4, 5)
+    other = joins.ns_join(left, make("n int, k int", (1, 9)), [("k", "n")])
+    assert other.columns == ["k", "v", "a.b", "k_y"]
 
 
 def test_exclusion_keeps_nulls(make, rows):
