@@ -78,6 +78,11 @@ def anti_exclude(df: DataFrame, drop: DataFrame, on: Keys, nulls_match: bool = T
     return ns_join(df, drop, on, "left_anti", nulls_match=nulls_match)
 
 
+def lookup_join(df: DataFrame, lookup: DataFrame, on: Keys) -> DataFrame:
+    """Left join on the lookup's own key, which is never null: plain equality will do."""
+    return ns_join(df, lookup, on, "left", nulls_match=False)
+
+
 def left_chain(fact: DataFrame, *lookups: tuple[DataFrame, Keys]) -> DataFrame:
     """Enrich one fact table by several left joins."""
     for lookup, on in lookups:

@@ -144,9 +144,10 @@ def unmatched_prefixes(left: DataFrame, right: DataFrame, key: str, length: int
     a similar one must hold some piece unchanged. Piece ``i`` can have moved by at most
     ``i`` places counted from the front and by what the later pieces leave counted from
     the back (the multi-match-aware bound of Li et al., Pass-Join, 2011). The join is
-    on key, length and piece, and exact.
+    on key, length and piece, and exact. Equal prefixes are taken out first.
     """
     most = -(-length // 10)
+    left = anti_exclude(left, right, [key, "prefix"])
     right = right.select(F.col(key).alias("__key"), F.col("prefix").alias("__other"))
 
     size, limit = F.char_length("prefix"), distance_limit(F.col("prefix"))

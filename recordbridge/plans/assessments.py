@@ -11,7 +11,7 @@ from ..functions.codes import recode_literal, yes_no
 from ..functions.dates import as_day_text, date_or_fallback, parse_dt
 from ..functions.nulls import not_in
 from ..operators.groups import latest, surrogate_id
-from ..operators.joins import ns_join, semi_restrict
+from ..operators.joins import lookup_join, ns_join, semi_restrict
 from ..operators.reshape import eav_pivot, latest_pivot, union_sparse
 from ..operators.shape import across
 from ..operators.translate import agency_fallback
@@ -49,7 +49,7 @@ def covid_screening(
         ids, ["date_effective"], "question_code", "val", questions, per_attribute=False,
     )
     agencies = crosswalk.select("Legacy_ProgramID", "Target_AgencyID")
-    placed = ns_join(wide, agencies, [("provider_id", "Legacy_ProgramID")], "left")
+    placed = lookup_join(wide, agencies, [("provider_id", "Legacy_ProgramID")])
     out = placed.select(
         *_kind("screening"),
         F.col("client_id").alias("PersonalID"),
@@ -91,7 +91,7 @@ def recordset_rows(
     newest = latest(given, ["recordset_id", "question_name"], "answer_date_added")
     ids = ["recordset_id", "answer_provider_created", "answer_user_created"]
     wide = eav_pivot(newest, ids, "question_name", "val", questions)
-    return ns_join(subs, wide, "recordset_id", "left", nulls_match=False)
+    return lookup_join(subs, wide, "recordset_id")
 
 
 def provider_agencies(providers: DataFrame, crosswalk: DataFrame) -> DataFrame:
@@ -103,7 +103,7 @@ def provider_agencies(providers: DataFrame, crosswalk: DataFrame) -> DataFrame:
 
 
 def _with_agency(rows: DataFrame, providers: DataFrame, crosswalk: DataFrame) -> DataFrame:
-    return ns_join(rows, provider_agencies(providers, crosswalk), [("sub_provider_created", "Legacy_ProgramID")], "left")
+    return lookup_join(rows, provider_agencies(providers, crosswalk), [("sub_provider_created", "Legacy_ProgramID")])
 
 
 def _number(df: DataFrame, order: Sequence[str], numbered: bool) -> DataFrame:
@@ -170,7 +170,7 @@ def vulnerability_scores(
     subs = semi_restrict(subs, clients, "client_id", nulls_match=False)
     active = answers.where(F.col("active"))
     starts = active.where(F.col("question") == start_question).select("recordset_id", F.col("val").alias("__start"))
-    dated = ns_join(subs, starts.distinct(), "recordset_id", "left", nulls_match=False)
+    dated = lookup_join(subs, starts.distinct(), "recordset_id")
     dated = dated.withColumn("InformationDate", as_day_text(parse_dt(F.col("__start")))).drop("__start").distinct()
     newest = latest(dated, ["client_id", "InformationDate", "subassessment_name"], "sub_date_added")
     totals = active.where(F.col("question") == score_question).select(
@@ -178,9 +178,9 @@ def vulnerability_scores(
     )
     totals = latest(totals, ["recordset_id"], "answer_date_added").drop("answer_date_added")
     scored = ns_join(newest.where(F.col("InformationDate").isNotNull()), totals, "recordset_id", "inner", nulls_match=False)
-    named = ns_join(scored, crosswalk.select("Legacy_ProgramID", "Legacy_ProgramName"), [("provider_id", "Legacy_ProgramID")], "left")
+    named = lookup_join(scored, crosswalk.select("Legacy_ProgramID", "Legacy_ProgramName"), [("provider_id", "Legacy_ProgramID")])
     county = county_providers.select("provider_id").distinct().withColumn("__county", F.lit(True))
-    placed = ns_join(named, county, "provider_id", "left")
+    placed = lookup_join(named, county, "provider_id")
     out = placed.select(
         "recordset_id",
         *_kind("scores"),

@@ -11,7 +11,7 @@ from ..functions.codes import recode_literal
 from ..functions.dates import as_day_text, as_time_text, day, excel_date, parse_dt, stamp_export_id
 from ..functions.nulls import strict_agg, tri_if
 from ..operators.groups import latest, surrogate_id
-from ..operators.joins import ns_join, semi_restrict
+from ..operators.joins import lookup_join, semi_restrict
 from ..operators.reshape import latest_pivot, union_by_name
 from ..operators.translate import agency_fallback
 from . import fixed
@@ -47,7 +47,7 @@ def stray_answers(
     ``strays``: client_id. A client without answers has null answer columns.
     """
     why = strays.select("client_id").intersect(cohort.select("client_id"))
-    created = ns_join(why, clients.select("client_id", "date_added"), "client_id", "left").withColumn(
+    created = lookup_join(why, clients.select("client_id", "date_added"), "client_id").withColumn(
         "created_why", F.when(F.col("date_added") >= day(opened), "client created after file created")
     )
     asked = semi_restrict(answers.where(F.col("active") & F.col("question_code").isin(*questions)), why, "client_id")
@@ -57,7 +57,7 @@ def stray_answers(
     )
     outside = (F.col("max_added") < day(closed)) | (F.col("min_added") >= day(opened))
     span = span.withColumn("answer_why", tri_if(outside, "answers added before or after window", "don't know"))
-    return ns_join(created, span, "client_id", "left")
+    return lookup_join(created, span, "client_id")
 
 
 def client_files(
@@ -68,7 +68,7 @@ def client_files(
     recent = attachments.where(F.col("active") & (F.col("date_added") >= day(cutoff)))
     recent = semi_restrict(recent, clients, "client_id", nulls_match=False)
     owned = latest(recent, ["server_filename"], "client_id", ascending=True)
-    placed = ns_join(owned, crosswalk.select("Legacy_ProgramID", "Target_AgencyID"), [("provider_creating_id", "Legacy_ProgramID")], "left")
+    placed = lookup_join(owned, crosswalk.select("Legacy_ProgramID", "Target_AgencyID"), [("provider_creating_id", "Legacy_ProgramID")])
     agency = agency_fallback(F.col("provider_creating_id"), F.col("Target_AgencyID"), overrides)
     return placed.select(
         F.col("server_filename").alias("FileID"),
@@ -97,7 +97,7 @@ def enrollment_counties(
         stacked = stacked.withColumn("InformationDate", excel_date(F.col("InformationDate")))
     for source, target in (("CountyPrior", "c_county_prior"), ("CountyServed", "c_county_served")):
         side = counties.select(F.col("County").alias("__county"), F.col("Geocode").cast("string").alias("__code"))
-        stacked = ns_join(stacked, side, [(source, "__county")], "left")
+        stacked = lookup_join(stacked, side, [(source, "__county")])
         stacked = stacked.withColumn(target, tri_if(F.col(source) == outside, F.lit("0"), F.col("__code"))).drop("__code")
     out = stacked.select(
         "PersonalID", "EnrollmentID", as_day_text(F.col("InformationDate")).alias("InformationDate"),

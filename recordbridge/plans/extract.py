@@ -7,16 +7,16 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import MOVE_IN_COLLECTED_FROM, as_of_exit, day
 from ..operators.groups import group_profile
-from ..operators.joins import ns_join
+from ..operators.joins import lookup_join, ns_join
 from ..operators.shape import relocate
 
 
 def hud_names(project: DataFrame, organization: DataFrame, names: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Projects and organisations with the names of a lookup (ProjectID, ProjectName, ProjectAKA)."""
     side = names.select("ProjectID", F.col("ProjectName").alias("__name"), F.col("ProjectAKA").alias("__aka"))
-    renamed = ns_join(project, side, "ProjectID", "left")
+    renamed = lookup_join(project, side, "ProjectID")
     projects = renamed.withColumns({"ProjectName": F.col("__name"), "ProjectCommonName": F.col("__aka")}).select(*project.columns)
-    labelled = ns_join(organization, side, [("OrganizationID", "ProjectID")], "left")
+    labelled = lookup_join(organization, side, [("OrganizationID", "ProjectID")])
     return projects, labelled.withColumn("OrganizationName", F.col("__name")).select(*organization.columns)
 
 
@@ -30,11 +30,11 @@ def household_move_in(enrollment: DataFrame, exits: DataFrame, project: DataFram
     the start of collection, else on or after entry and before exit. Type 13: from
     entry to exit, both included.
     """
-    spans = ns_join(enrollment, exits.select("EnrollmentID", "ExitDate"), "EnrollmentID", "left")
+    spans = lookup_join(enrollment, exits.select("EnrollmentID", "ExitDate"), "EnrollmentID")
     spans = spans.withColumn("ExitAdjust", as_of_exit(F.col("ExitDate"), as_of.cast(exits.schema["ExitDate"].dataType)))
-    typed = ns_join(
+    typed = lookup_join(
         spans.select("HouseholdID", "ProjectID", "EntryDate", "MoveInDate", "ExitAdjust"),
-        project.select("ProjectID", "ProjectType"), "ProjectID", "left",
+        project.select("ProjectID", "ProjectType"), "ProjectID",
     )
     entry, moved, left, kind = (F.col(c) for c in ("EntryDate", "MoveInDate", "ExitAdjust", "ProjectType"))
     supportive = kind.isin(3, 9)

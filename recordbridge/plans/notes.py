@@ -11,7 +11,7 @@ from ..functions.dates import as_day_text, as_time_text, day
 from ..functions.nulls import paste
 from ..functions.text import squish_newlines
 from ..operators.groups import count_by, surrogate_id
-from ..operators.joins import ns_join, semi_restrict
+from ..operators.joins import lookup_join, semi_restrict
 from ..operators.reshape import union_by_name
 from ..operators.translate import agency_fallback
 from . import fixed
@@ -44,7 +44,7 @@ def note_rows(
         parts.append(_note(client_notes, clients, "provider_creating_id", "note_date", F.col("note"), F.lit("imported from Client")))
     if exits is not None:
         ended = exits.where(F.col("exit_date") >= day(cutoff))
-        named = ns_join(ended, projects.select("Legacy_ProgramID", "Legacy_ProgramName"), [("provider_id", "Legacy_ProgramID")], "left")
+        named = lookup_join(ended, projects.select("Legacy_ProgramID", "Legacy_ProgramName"), [("provider_id", "Legacy_ProgramID")])
         title = paste(F.lit("Exit note: Exited"), F.col("Legacy_ProgramName"), F.lit("on"), as_time_text(F.col("exit_date")))
         parts.append(_note(named, clients, "provider_id", "exit_date", F.col("notes"), title, enrollment=F.col("entry_exit_id")))
     if goals is not None:
@@ -64,7 +64,7 @@ def note_rows(
 
 def with_agency(notes: DataFrame, crosswalk: DataFrame, overrides: Mapping[int, int] = fixed.NOTE_AGENCY_OVERRIDES) -> DataFrame:
     """Notes with the corrected agency."""
-    placed = ns_join(notes, crosswalk.select("Legacy_ProgramID", "Target_AgencyID"), "Legacy_ProgramID", "left")
+    placed = lookup_join(notes, crosswalk.select("Legacy_ProgramID", "Target_AgencyID"), "Legacy_ProgramID")
     agency = agency_fallback(F.col("Legacy_ProgramID"), F.col("Target_AgencyID"), overrides)
     return placed.withColumn("AgencyID", agency).drop("Target_AgencyID")
 
@@ -83,4 +83,4 @@ def all_notes(notes: DataFrame, crosswalk: DataFrame, overrides: Mapping[int, in
 def notes_missing_agency(notes: DataFrame, crosswalk: DataFrame, providers: DataFrame, overrides: Mapping[int, int] = fixed.NOTE_AGENCY_OVERRIDES) -> DataFrame:
     """Programs whose notes have no agency, with the number of notes and the name."""
     lost = with_agency(notes, crosswalk, overrides).where(F.col("AgencyID").isNull())
-    return ns_join(count_by(lost, ["Legacy_ProgramID"]), providers.select("provider_id", "name"), [("Legacy_ProgramID", "provider_id")], "left")
+    return lookup_join(count_by(lost, ["Legacy_ProgramID"]), providers.select("provider_id", "name"), [("Legacy_ProgramID", "provider_id")])

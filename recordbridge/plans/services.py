@@ -11,7 +11,7 @@ from ..functions.codes import normalise_labels
 from ..functions.dates import as_day_text, as_time_text, day
 from ..functions.text import contains_any
 from ..operators.groups import count_by, distinct_keep_first, surrogate_id
-from ..operators.joins import interval_join, ns_join, semi_restrict
+from ..operators.joins import interval_join, lookup_join, ns_join, semi_restrict
 from ..operators.translate import rule_matrix_filter
 from . import fixed
 
@@ -58,12 +58,12 @@ def connected_services(services: DataFrame, crosswalk: DataFrame, entries: DataF
         prep, spans, [("PersonalID", "client_id"), ("Legacy_ProgramID", "provider_id")],
         "DateProvided", "entry_date", "exit_date", as_of,
     ).drop("entry_date", "exit_date")
-    return ns_join(inside, crosswalk, "Legacy_ProgramID", "left")
+    return lookup_join(inside, crosswalk, "Legacy_ProgramID")
 
 
 def translated_services(connected: DataFrame, items: DataFrame, translator: DataFrame) -> DataFrame:
     """Services with the target item of the same program and translated name, each row once."""
-    named = ns_join(connected, translator, "sp_code", "left")
+    named = lookup_join(connected, translator, "sp_code")
     on = [("item_desc", "ServiceItemName"), "Target_ProgramName", "Target_ProgramID"]
     keep = items.select("Target_ProgramID", "Target_ProgramName", "ServiceItemName", "ServiceItemID")
     return ns_join(named, keep, on, "left").distinct()
@@ -118,7 +118,7 @@ def funded_services(
     ``fund_codes``: source, funding_source, funding_source_other, FundingSource.
     """
     done = translated.where(F.col("ServiceItemID").isNotNull())
-    paid = ns_join(done, amounts, "ServicesID", "left")
+    paid = lookup_join(done, amounts, "ServicesID")
     changed = ns_join(paid, changes, ["Target_ProgramID", "Target_ProgramName", "source"], "left")
     changed = changed.withColumn("source", F.coalesce("NewSource", "source")).drop("NewSource")
     coded = ns_join(changed, fund_codes.distinct(), "source", "left")

@@ -10,7 +10,7 @@ from .base import Tables, money, nullif, query
 
 @query("group_profile", """
 SELECT o_custkey, strftime(min(o_orderdate), '%Y-%m-%d') AS first_day, strftime(max(o_orderdate), '%Y-%m-%d') AS last_day,
- sum(CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END) AS open_orders, max(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END) AS urgent
+ CAST(sum(CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END) AS BIGINT) AS open_orders, max(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END) AS urgent
 FROM orders GROUP BY 1""")
 def group_profile(t: Tables):
     profile = groups.group_profile(t.orders, ["o_custkey"], {

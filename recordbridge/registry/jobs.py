@@ -626,7 +626,7 @@ def inventory_diff(t: Tables):
 @query("org_classify", """
 WITH p AS (SELECT o_custkey AS "Org", CASE WHEN o_orderstatus <> 'O' THEN o_orderdate END AS mx, o_orderdate AS mn, CASE WHEN o_orderstatus = 'O' AND o_totalprice > 300000 THEN 1 ELSE 0 END AS oe,
    CASE WHEN o_orderpriority = '1-URGENT' AND o_totalprice > 250000 THEN 1 ELSE 0 END AS op, CASE WHEN o_totalprice > 450000 THEN 1 ELSE 0 END AS pa, CASE WHEN o_orderpriority = '2-HIGH' AND o_totalprice > 400000 THEN 1 ELSE 0 END AS ce FROM orders),
- g AS (SELECT "Org", min(mn) AS mn, max(coalesce(mx, TIMESTAMP '2004-01-01')) AS mx0, max(coalesce(mx, TIMESTAMP '1990-01-01')) AS mx, sum(oe) AS oe, max(op) AS op, max(pa) AS pa, max(ce) AS ce FROM p GROUP BY 1)
+ g AS (SELECT "Org", min(mn) AS mn, max(coalesce(mx, TIMESTAMP '2004-01-01')) AS mx0, max(coalesce(mx, TIMESTAMP '1990-01-01')) AS mx, CAST(sum(oe) AS BIGINT) AS oe, max(op) AS op, max(pa) AS pa, max(ce) AS ce FROM p GROUP BY 1)
 SELECT "Org", strftime(mn, '%Y-%m-%d') AS "minEntry", strftime(mx0, '%Y-%m-%d') AS "maxExit", oe AS "openEEs", op AS "maxOperating", pa AS "maxParticipating", ce AS "CEorVASH",
  CASE WHEN oe = 0 AND pa = 0 AND ce = 0 AND op = 0 AND mx0 <= TIMESTAMP '2000-01-01' THEN 'not migrating' WHEN oe = 0 AND pa = 0 AND ce = 0 THEN 'migrating inactive' ELSE 'migrating active' END AS status FROM g""")
 def org_classify(t: Tables):
