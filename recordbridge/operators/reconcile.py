@@ -100,7 +100,8 @@ def amount_reconcile(left: DataFrame, right: DataFrame, extra: DataFrame, key: s
 
     ``extra`` holds records that sit in the right system beside the compared ones;
     their count and amount are taken off. Amounts are compared after rounding half
-    to even. The frames need only the key and the amount.
+    to even. The frames need only the key and the amount. The
+    disagreeing ids are written once, as their average comes before their selection.
     """
     cols = [key, amount]
     stacked = both_sides(left.select(*cols), right.select(*cols), extra.select(*cols)).where(F.col(key).isNotNull())
@@ -114,7 +115,7 @@ def amount_reconcile(left: DataFrame, right: DataFrame, extra: DataFrame, key: s
         (F.col("Amt_right") - F.col("Amt_extra")).alias("Amt_right"),
     )
     off = net.where(round_even(F.col("Amt_left")) != round_even(F.col("Amt_right")))
-    off = off.withColumn("Amt_diff", F.abs(F.col("Amt_right") - F.col("Amt_left")))
+    off = materialise(off.withColumn("Amt_diff", F.abs(F.col("Amt_right") - F.col("Amt_left"))), "amounts")
     return off.where(F.col("Amt_diff") > off.agg(F.avg("Amt_diff")).scalar())
 
 

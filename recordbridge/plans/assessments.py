@@ -88,6 +88,7 @@ def recordset_rows(
         F.col("provider_creating_id").alias("answer_provider_created"),
         F.col("user_creating_id").alias("answer_user_created"),
     )
+    given = semi_restrict(given, subs, "recordset_id", nulls_match=False)
     newest = latest(given, ["recordset_id", "question_name"], "answer_date_added")
     ids = ["recordset_id", "answer_provider_created", "answer_user_created"]
     wide = eav_pivot(newest, ids, "question_name", "val", questions)
@@ -169,6 +170,7 @@ def vulnerability_scores(
     )
     subs = semi_restrict(subs, clients, "client_id", nulls_match=False)
     active = answers.where(F.col("active"))
+    active = semi_restrict(active, subs, "recordset_id", nulls_match=False)
     starts = active.where(F.col("question") == start_question).select("recordset_id", F.col("val").alias("__start"))
     dated = lookup_join(subs, starts.distinct(), "recordset_id")
     dated = dated.withColumn("InformationDate", as_day_text(parse_dt(F.col("__start")))).drop("__start").distinct()
