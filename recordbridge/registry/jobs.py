@@ -14,7 +14,7 @@ from ..operators import joins
 from ..plans import assessments, clients, cohort, extract, helpers, import_tables, notes, services
 from ..sources.readers import literal_table
 from .base import Tables, money, nullif, query
-from .basics import CROSSWALK_SQL, PROVIDER_SQL, crosswalk_tables, provider_table
+from .basics import CROSSWALK_SQL, crosswalk_tables, provider_table
 
 
 def stamp(text: str):
