@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,14 +25,9 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder that every executor can reach, from ``spark.checkpoint.dir``."""
+    """Folder that every executor can reach: ``spark.checkpoint.dir``, else one in the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="recordbridge-")
-        return folder
-    raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_intermediate"
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
