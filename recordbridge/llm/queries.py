@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import quality
+from . import bpe, decontaminate, quality
 from .registry import ORACLE, QUERIES, query, table  # noqa: F401
 
 
@@ -13,3 +14,35 @@ def op1(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     judged = quality.judge(docs, table(spark, folder, "labels"))
     return judged.select("doc_id", F.coalesce(quality.fold("doc_id") == 0, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+@query("op2_bpe")
+def op2(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return bpe.digests(docs, "text", public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).drop("text")
+
+
+WORDS_SQL = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@query("op10_decontamination", f"""
+WITH docs AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents),
+     items AS (SELECT item_id, {WORDS_SQL} AS w FROM benchmark),
+     firsts AS (SELECT item_id, w, least(len(w), 13) AS m, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM items WHERE len(w) > 0),
+     patterns AS (SELECT DISTINCT item_id, m, array_to_string(w[i:i + m - 1], ' ') AS p FROM firsts),
+     sizes AS (SELECT DISTINCT m FROM patterns),
+     places AS (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM docs, sizes WHERE len(w) >= m),
+     hits AS (SELECT doc_id, m, i, item_id FROM (SELECT doc_id, m, i, array_to_string(w[i:i + m - 1], ' ') AS p FROM places) JOIN patterns USING (m, p)),
+     spread AS (SELECT doc_id, unnest(range(i, i + m)) AS k FROM (SELECT DISTINCT doc_id, m, i FROM hits)),
+     words_hit AS (SELECT doc_id, count(DISTINCT k) AS n FROM spread GROUP BY doc_id),
+     items_hit AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(h.n, 0) AS BIGINT) AS n_hit, CAST(coalesce(t.n, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(t.ids, '')) AS items_sha256, coalesce(h.n, 0) > 0 AND 20 * coalesce(h.n, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN words_hit h USING (doc_id) LEFT JOIN items_hit t USING (doc_id)""")
+def op10(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontaminate.judged(decontaminate.search(docs, "text", table(spark, folder, "benchmark")))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("hit_items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("hit_items", ","), 256).alias("items_sha256"), "contaminated",
+    )
