@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, quality
+from . import bpe, decontaminate, quality, tokencounts, urlrules
 from .registry import ORACLE, QUERIES, query, table  # noqa: F401
 
 
@@ -46,3 +46,17 @@ def op10(spark, folder):
         "doc_id", "n_words", "n_hit", F.size("hit_items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("hit_items", ","), 256).alias("items_sha256"), "contaminated",
     )
+
+
+@query("op6_token_counts", r"SELECT doc_id, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS n_tokens FROM documents")
+def op6(spark, folder):
+    blocks, order = tokencounts.word_files(table(spark, folder, "documents"), "text", "doc_id")
+    return order.join(tokencounts.count(blocks), ["file", "document"]).select("doc_id", "n_tokens")
+
+
+@query("op8_url_rules")
+def op8(spark, folder):
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    labels = table(spark, folder, "labels").groupBy("doc_id").agg(F.bool_or((F.col("toxic") == 1) | (F.col("quality") == 0)).alias("bad"))
+    labelled = pages.join(labels, F.col("page_id") == F.col("doc_id")).select("url", "bad")
+    return urlrules.judge(pages, "url", urlrules.mine(labelled, "url", "bad"), urlrules.STATED).select("page_id", "host", "path", "rule", "verdict")
