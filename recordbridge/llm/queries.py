@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, quality, tokencounts, urlrules
+from . import bpe, decontaminate, neighbours, quality, tokencounts, urlrules
 from .registry import ORACLE, QUERIES, query, table  # noqa: F401
 
 
@@ -60,3 +60,10 @@ def op8(spark, folder):
     labels = table(spark, folder, "labels").groupBy("doc_id").agg(F.bool_or((F.col("toxic") == 1) | (F.col("quality") == 0)).alias("bad"))
     labelled = pages.join(labels, F.col("page_id") == F.col("doc_id")).select("url", "bad")
     return urlrules.judge(pages, "url", urlrules.mine(labelled, "url", "bad"), urlrules.STATED).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op7_neighbours")
+def op7(spark, folder):
+    vectors = table(spark, folder, "embeddings")
+    index = neighbours.build(vectors, "vec_id", "embedding", 20)
+    return neighbours.search(index, vectors.where(F.col("vec_id") % 20 == 0), "vec_id", "embedding", 20)
