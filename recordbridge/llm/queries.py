@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, neighbours, quality, tokencounts, urlrules
+from . import bpe, decontaminate, hmm, neighbours, quality, tokencounts, urlrules
 from .registry import ORACLE, QUERIES, query, table  # noqa: F401
 
 
@@ -67,3 +67,10 @@ def op7(spark, folder):
     vectors = table(spark, folder, "embeddings")
     index = neighbours.build(vectors, "vec_id", "embedding", 20)
     return neighbours.search(index, vectors.where(F.col("vec_id") % 20 == 0), "vec_id", "embedding", 20)
+
+
+@query("op9_hmm")
+def op9(spark, folder):
+    held_out = F.coalesce(quality.fold("doc_id") == 1, F.lit(False))
+    docs = table(spark, folder, "documents").select("doc_id", "text", held_out.alias("held_out"), (~held_out).alias("training"))
+    return hmm.score(docs, "text", "training").drop("training")
