@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, hmm, neighbours, quality, tokencounts, urlrules
+from . import bpe, decontaminate, hmm, jaccard, neighbours, quality, tokencounts, urlrules
 from .registry import ORACLE, QUERIES, query, table  # noqa: F401
 
 
@@ -74,3 +74,8 @@ def op9(spark, folder):
     held_out = F.coalesce(quality.fold("doc_id") == 1, F.lit(False))
     docs = table(spark, folder, "documents").select("doc_id", "text", held_out.alias("held_out"), (~held_out).alias("training"))
     return hmm.score(docs, "text", "training").drop("training")
+
+
+@query("op5_jaccard_join")
+def op5(spark, folder):
+    return jaccard.link(table(spark, folder, "documents"), "doc_id", "text")
