@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, hmm, jaccard, neighbours, pii, quality, tokencounts, urlrules
+from . import bpe, decontaminate, hmm, jaccard, neighbours, passages, pii, quality, tokencounts, urlrules
 from .registry import ORACLE, QUERIES, query, table  # noqa: F401
 
 
@@ -84,3 +84,8 @@ def op5(spark, folder):
 @query("op4_surrogates")
 def op4(spark, folder):
     return pii.replace(table(spark, folder, "documents").select("doc_id", "text"), "text", count="n_replaced")
+
+
+@query("op3_passages")
+def op3(spark, folder):
+    return passages.find(table(spark, folder, "documents"), "doc_id", "text")
