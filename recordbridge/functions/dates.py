@@ -15,8 +15,8 @@ def day(text: str) -> Column:
 
 
 def excel_date(serial: Column) -> Column:
-    """Spreadsheet day number, counted from 1899-12-30, to a date."""
-    return F.date_add(day("1899-12-30"), serial.cast("int"))
+    """Spreadsheet day number, counted from 1899-12-30, to a date; null where it is no number."""
+    return F.date_add(day("1899-12-30"), F.floor(serial.try_cast("double")).try_cast("int"))
 
 
 def parse_dt(text: Column) -> Column:

@@ -96,14 +96,19 @@ def above_mean(df: DataFrame, col: str) -> DataFrame:
     return df.where(F.col(col) > df.agg(F.avg(col)).scalar())
 
 
-def latest(df: DataFrame, keys: Sequence[str], order: str | Sequence[str], ascending: bool = False) -> DataFrame:
+def latest(df: DataFrame, keys: Sequence[str], order: str | Sequence[str], ascending: bool = False, many_ties: bool = False) -> DataFrame:
     """All rows at the group's extreme, ties included.
 
-    The extreme is aggregated before the shuffle and joined back on keys and order
-    value, so a large group is spread over its order values. A group with only
-    nulls is kept. Several order columns rank by the first, then the next.
+    One pass: rows below the best of their task are dropped before the shuffle, so of a
+    large group only ties meet in a task. With ``many_ties``, for ties that would fill a
+    task, the extreme is aggregated and joined back on keys and order value instead,
+    which spreads a group over its order values but reads the input twice. A group with
+    only nulls is kept. Several order columns rank by the first, then the next.
     """
     order = [order] if isinstance(order, str) else list(order)
+    if not many_ties:
+        ranking = [F.col(c).asc_nulls_last() if ascending else F.col(c).desc_nulls_last() for c in order]
+        return df.withColumn("__i", F.rank().over(Window.partitionBy(*keys).orderBy(*ranking))).where("__i = 1").drop("__i")
     if len(order) == 1:
         best = (F.min if ascending else F.max)(F.col(order[0]))
         parts = [F.col("__best")]
@@ -148,13 +153,16 @@ def seq_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], name:
 
 
 def surrogate_id(df: DataFrame, order: Sequence[str], name: str, start: int = 1) -> DataFrame:
-    """Number all rows start..N in an explicit total order.
+    """Number all rows start..N in an explicit order, ended by all other columns to make it total.
 
-    A range sort spreads the rows; each row notes its place in its sorted partition.
-    The sorted table is written once, then the row counts of earlier partitions
+    The rows are written once, so that what made them does not run again when the range
+    sort takes its sample. The sort spreads the rows; each notes its place in its sorted
+    partition. The sorted table is written too, then the row counts of earlier partitions
     (one number per partition) are added.
     """
-    ranked = df.orderBy(*[F.col(c).asc_nulls_last() for c in order]).withColumn("__at", F.monotonically_increasing_id())
+    total = [*order, *(f.name for f in df.schema if f.name not in order and f.dataType.typeName() not in ("map", "variant"))]
+    unsorted = materialise(df, "unsorted")
+    ranked = unsorted.orderBy(*[F.col(f"`{c}`").asc_nulls_last() for c in total]).withColumn("__at", F.monotonically_increasing_id())
     stored = materialise(ranked, "ordered")
     part, place = F.shiftright(F.col("__at"), 33), F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
     sizes = stored.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__n"))

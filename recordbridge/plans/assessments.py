@@ -33,20 +33,22 @@ def covid_screening(
     yes_no_columns: Sequence[str] = fixed.SCREENING_YES_NO,
     yes_no_prefixes: Sequence[str] = fixed.SCREENING_YES_NO_PREFIXES,
     numbered: bool = True,
+    date_question: str = "COHCOV19ASSESSMENTDATE",
 ) -> DataFrame:
     """One row per client, day, provider and user, from the answers given at the latest
     moment of that day; answers to other questions given earlier the same day are lost,
-    as in the source system's export.
+    as in the source system's export. The answer to ``date_question`` is the assessment
+    date, null where it is missing or unreadable.
 
     ``answers``: client_id, question_code, val, date_effective, provider_id, user_id,
     active. ``clients``: client_id. ``crosswalk``: Legacy_ProgramID, Target_AgencyID.
     """
-    asked = answers.where(F.col("active") & F.col("question_code").isin(*questions))
+    asked = answers.where(F.col("active") & F.col("question_code").isin(*questions, date_question))
     asked = semi_restrict(asked, clients, "client_id", nulls_match=False)
     ids = ["client_id", "InformationDate", "provider_id", "user_id"]
     wide = latest_pivot(
         asked.withColumn("InformationDate", as_day_text(F.col("date_effective"))),
-        ids, ["date_effective"], "question_code", "val", questions, per_attribute=False,
+        ids, ["date_effective"], "question_code", "val", {**questions, date_question: "__asked"}, per_attribute=False,
     )
     agencies = crosswalk.select("Legacy_ProgramID", "Target_AgencyID")
     placed = lookup_join(wide, agencies, [("provider_id", "Legacy_ProgramID")])
@@ -55,6 +57,7 @@ def covid_screening(
         F.col("client_id").alias("PersonalID"),
         agency_fallback(F.col("provider_id"), F.col("Target_AgencyID"), {}, fixed.DEFAULT_AGENCY).alias("AgencyID"),
         "InformationDate",
+        as_day_text(parse_dt(F.col("__asked"))).alias("assessment_date"),
         F.col("user_id").alias("UserID"),
         *questions.values(),
     )

@@ -223,8 +223,6 @@ OUT_OF_STATE_AGENCY, OUT_OF_STATE_GEOCODE = 2455, "429003"
 # Users.
 ADMIN_USERS = (641, 835, 1041, 1545, 1624, 2169)
 SYSTEM_AGENCY = 1695
-RENAMED_USERS = {("Lindsey", "Smith"): "Smith2", ("Chris", "Myers"): "Myers2", ("Melissa", "Wright"): "Wright2"}
-SKIPPED_LOGINS = ("estevens", "rmatthews", "auser", "cp5user", "artsupport")
 
 # Access points.
 ACCESS_TYPE = "Coordinated Entry (HUD)"

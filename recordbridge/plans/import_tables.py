@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.codes import bed_flags, code_bucket, normalise_labels, recode_literal, threshold_by_type
@@ -16,7 +16,7 @@ from ..functions.dates import as_day_text, as_time_text, open_status
 from ..functions.nulls import is_in, not_in, paste, tri_if
 from ..functions.text import address_line, login_name, short_zip, squish_newlines, strip_suffix
 from ..operators.groups import count_by, duplicate_groups, list_agg, nth_columns, surrogate_id
-from ..operators.joins import anti_exclude, left_chain, ns_join, semi_restrict
+from ..operators.joins import anti_exclude, left_chain, lookup_join, ns_join, semi_restrict
 from ..operators.reshape import separate, spread_numbered
 from ..operators.shape import template_columns
 from . import fixed
@@ -118,7 +118,7 @@ def sites(
     owned = owned.where(F.col("AgencyID").isNotNull() & F.col("City").isNotNull())
     owned = semi_restrict(owned, agency_base.select("id"), [("AgencyID", "id")]).drop("ProjectID").distinct()
     primary = phones.where(F.col("ProjectTelPrimary") == "Yes").select(
-        F.col("ProjectID").cast("long").alias("__agency"), F.col("ProjectTelNo").alias("phone")
+        F.col("ProjectID").try_cast("long").alias("__agency"), F.col("ProjectTelNo").alias("phone")
     )
     coded = ns_join(with_geocode(owned, geocodes), primary, [("AgencyID", "__agency")], "left")
     line = address_line(F.col("Address1"), F.col("Address2"), F.col("AgencyName"))
@@ -187,7 +187,7 @@ def funder_buckets(funder: DataFrame) -> DataFrame:
 
 
 def funder_columns(funder: DataFrame, n: int = 3) -> DataFrame:
-    """The first funders of a project side by side, in order of funder id."""
+    """The first funders of a project side by side, in order of funder id; see ``programs_over_limit``."""
     rows = funder.select(
         "ProjectID", "FunderID", F.col("Funder").alias("funding_source"),
         funder_number(F.col("OtherFunder"), fixed.PROGRAM_FUNDER_SPELLINGS, fixed.PROGRAM_FUNDERS_KNOWN).alias("funding_source_non_federal"),
@@ -277,26 +277,52 @@ def inventory_not_adding_up(table: DataFrame, prefix: str = "program_inventory__
     return table.where(total != F.col(f"{prefix}bed_inventory"))
 
 
-def users(user_groups: DataFrame, group_projects: DataFrame, projects_orgs: DataFrame, as_of: Column, dedupe: bool = False,
-          skip: Sequence[int] = fixed.ADMIN_USERS) -> DataFrame:
-    """User rows with up to eight agencies.
+USER_AGENCIES, PROGRAM_FUNDERS = 8, 3  # how many the import form holds
 
-    An agency counts once per project unless ``dedupe``. No password is written.
-    ``user_groups``: UserID, UserName ("Last, First"), UserEmail, EDAGroupName.
-    """
+
+def agencies_of_users(user_groups: DataFrame, group_projects: DataFrame, projects_orgs: DataFrame, skip: Sequence[int] = fixed.ADMIN_USERS) -> DataFrame:
+    """UserID, UserName, UserEmail with each project and agency that the user reaches."""
     projects = group_projects.where(F.col("ProjectID").isNotNull()).select("ProjectID", "EDAGroup")
     reach = ns_join(user_groups.where(not_in(F.col("UserID"), skip)), projects, [("EDAGroupName", "EDAGroup")], "inner")
     owned = ns_join(reach.drop("EDAGroupName"), projects_orgs, "ProjectID", "left")
     owned = owned.where(F.col("AgencyID").isNotNull() & (F.col("AgencyID") != fixed.SYSTEM_AGENCY))
+    return owned.select("UserID", "UserName", "UserEmail", "ProjectName", "AgencyID", "AgencyName").distinct()
+
+
+def _beyond(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
+    """Rows after the first ``n`` of their group, with their place; only groups that have such rows are ordered."""
+    large = count_by(df, list(keys), "__n").where(F.col("__n") > n).drop("__n")
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order]))
+    return ns_join(df, large, list(keys), "left_semi").withColumn("place", place).where(F.col("place") > n)
+
+
+def users_over_limit(user_groups: DataFrame, group_projects: DataFrame, projects_orgs: DataFrame, dedupe: bool = False, skip: Sequence[int] = fixed.ADMIN_USERS) -> DataFrame:
+    """Agencies of users that ``users`` has no column for, with their place."""
+    rows = agencies_of_users(user_groups, group_projects, projects_orgs, skip).select("UserID", "UserName", "UserEmail", "AgencyID")
+    return _beyond(rows.distinct() if dedupe else rows, ["UserID", "UserName", "UserEmail"], ["AgencyID"], USER_AGENCIES)
+
+
+def programs_over_limit(funder: DataFrame) -> DataFrame:
+    """Funders of projects that ``programs`` has no columns for, with their place."""
+    return _beyond(funder.select("ProjectID", "FunderID", "Funder"), ["ProjectID"], ["FunderID"], PROGRAM_FUNDERS)
+
+
+def users(user_groups: DataFrame, group_projects: DataFrame, projects_orgs: DataFrame, as_of: Column, dedupe: bool = False,
+          skip: Sequence[int] = fixed.ADMIN_USERS, renamed: DataFrame | None = None) -> DataFrame:
+    """User rows with up to eight agencies; ``users_over_limit`` lists what does not fit.
+
+    An agency counts once per project unless ``dedupe``. No password is written.
+    ``user_groups``: UserID, UserName ("Last, First"), UserEmail, EDAGroupName.
+    ``renamed``: First, Last, NewLast of people whose logins would be alike.
+    """
     ids = ["UserID", "UserName", "UserEmail"]
-    per_agency = owned.select(*ids, "ProjectName", "AgencyID", "AgencyName").distinct()
-    wide = nth_columns(per_agency, ids, "AgencyID", 8, "user_agencies", "NoAgencies", dedupe)
+    per_agency = agencies_of_users(user_groups, group_projects, projects_orgs, skip)
+    wide = nth_columns(per_agency, ids, "AgencyID", USER_AGENCIES, "user_agencies", "NoAgencies", dedupe)
     split = separate(wide, "UserName", ["Last", "First"], ",")
     split = split.withColumns({"First": squish_newlines(F.col("First")), "Last": squish_newlines(F.col("Last"))})
-    renamed = F.col("Last")
-    for (first, last), new in fixed.RENAMED_USERS.items():
-        renamed = F.when((F.col("First") == first) & (F.col("Last") == last), new).otherwise(renamed)
-    split = split.withColumn("Last", renamed)
+    if renamed is not None:
+        split = lookup_join(split, renamed, ["First", "Last"])
+        split = split.withColumn("Last", F.coalesce("NewLast", "Last")).drop("NewLast")
     values = {
         "name": login_name(F.col("First"), F.col("Last")),
         "members__first_name": F.col("First"), "members__last_name": strip_suffix(F.col("Last"), "2"),

@@ -23,7 +23,7 @@ def _note(df: DataFrame, clients: DataFrame, program: str, date: str, note: Colu
     blank = F.lit("")
     return rows.select(
         F.col("client_id").alias("PersonalID"),
-        F.col(program).cast("long").alias("Legacy_ProgramID"),
+        F.col(program).try_cast("long").alias("Legacy_ProgramID"),
         (blank if enrollment is None else enrollment.cast("string")).alias("EnrollmentID"),
         (blank if service is None else service.cast("string")).alias("ServicesID"),
         title.alias("Title"),

@@ -115,13 +115,16 @@ def funded_services(
     """Connected services with amount, corrected source and target fund.
 
     ``changes``: Target_ProgramID, Target_ProgramName, source, NewSource.
-    ``fund_codes``: source, funding_source, funding_source_other, FundingSource.
+    ``fund_codes``: source, funding_source, funding_source_other, FundingSource. Codes
+    hold for the programs that have such a fund; others get neither code nor source text.
     """
     done = translated.where(F.col("ServiceItemID").isNotNull())
     paid = lookup_join(done, amounts, "ServicesID")
     changed = ns_join(paid, changes, ["Target_ProgramID", "Target_ProgramName", "source"], "left")
     changed = changed.withColumn("source", F.coalesce("NewSource", "source")).drop("NewSource")
-    coded = ns_join(changed, fund_codes.distinct(), "source", "left")
+    having = program_funds(funds).select("Target_ProgramID", "FundingSourceID", "FundingOtherID")
+    codes = ns_join(fund_codes, having, [("funding_source", "FundingSourceID"), ("funding_source_other", "FundingOtherID")], "left").distinct()
+    coded = ns_join(changed, codes, ["source", "Target_ProgramID"], "left")
     first = distinct_keep_first(
         program_funds(funds), ["FundingSourceID", "FundingOtherID", "Target_ProgramID"], ["TargetFundingSourceID"]
     ).select("Target_ProgramID", "FundingSourceID", "FundingOtherID", "TargetFundingSourceID", "FundingOther")

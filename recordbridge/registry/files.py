@@ -19,16 +19,16 @@ def new_folder(t: Tables) -> str:
 
 
 def order_file(t: Tables):
-    """Orders with a null, a logical, a day and a time, and text that needs quotes."""
+    """Orders with a null, a logical, a day and a time, text that needs quotes, and text with outer blanks."""
     return t.orders.select(
         F.col("o_orderkey").alias("OrderID"), nullif("o_orderstatus", "P").alias("Status"), (F.col("o_totalprice") > 250000).alias("Large"),
         F.col("o_orderdate").cast("date").alias("Day"), F.col("o_orderdate").alias("Made"), F.col("o_totalprice").alias("Price"),
-        F.concat(F.lit('say "'), F.col("o_orderpriority"), F.lit('", twice')).alias("Note"),
+        F.concat(F.lit('say "'), F.col("o_orderpriority"), F.lit('", twice')).alias("Note"), F.concat(F.lit("  "), F.col("o_orderpriority"), F.lit(" ")).alias("Padded"),
     )
 
 
 ORDER_SQL = """SELECT o_orderkey AS "OrderID", nullif(o_orderstatus, 'P') AS "Status", CAST(o_totalprice > 250000 AS INTEGER) AS "Large",
- strftime(o_orderdate, '%Y-%m-%d') AS "Day", strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS "Made", o_totalprice AS "Price", 'say "' || o_orderpriority || '", twice' AS "Note" FROM orders"""
+ strftime(o_orderdate, '%Y-%m-%d') AS "Day", strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS "Made", o_totalprice AS "Price", 'say "' || o_orderpriority || '", twice' AS "Note", '  ' || o_orderpriority || ' ' AS "Padded" FROM orders"""
 
 
 def as_text(df):
@@ -37,10 +37,10 @@ def as_text(df):
 
 @query("write_import_csv", """
 SELECT CAST(o_orderkey AS VARCHAR) AS "OrderID", nullif(o_orderstatus, 'P') AS "Status", CASE WHEN o_totalprice > 250000 THEN '1' ELSE '0' END AS "Large",
- strftime(o_orderdate, '%Y-%m-%d') AS "Day", strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS "Made", 'x' AS "Price", 'say "' || o_orderpriority || '", twice' AS "Note" FROM orders""")
+ strftime(o_orderdate, '%Y-%m-%d') AS "Day", strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS "Made", CAST(o_totalprice AS VARCHAR) AS "Price", 'say "' || o_orderpriority || '", twice' AS "Note", '  ' || o_orderpriority || ' ' AS "Padded" FROM orders""")
 def write_import_csv(t: Tables):
     path = new_folder(t)
-    writers.write_import_csv(order_file(t).withColumn("Price", F.lit("x")), path)
+    writers.write_import_csv(order_file(t), path)
     return readers.read_text_csv(t.spark, path, line_breaks=False)
 
 
@@ -48,7 +48,7 @@ def write_import_csv(t: Tables):
 def read_typed_csv(t: Tables):
     path = new_folder(t)
     writers.write_import_csv(order_file(t), path)
-    return as_text(readers.read_typed_csv(t.spark, path, "nciDTnc", line_breaks=False))
+    return as_text(readers.read_typed_csv(t.spark, path, "nciDTncc", line_breaks=False))
 
 
 @query("read_dump_dir", """
@@ -64,11 +64,11 @@ def read_dump_dir(t: Tables):
 
 
 @query("read_sheet_export", """
-SELECT p_partkey, p_name, strftime(DATE '1899-12-30' + CAST(40000 + p_size AS INTEGER), '%Y-%m-%d') AS day FROM part""")
+SELECT p_partkey, p_name, CASE WHEN p_size <> 7 THEN strftime(DATE '1899-12-30' + CAST(40000 + p_size AS INTEGER), '%Y-%m-%d') END AS day FROM part""")
 def read_sheet_export(t: Tables):
     path = new_folder(t)
-    writers.write_import_csv(t.part.select("p_partkey", "p_name", (F.col("p_size") + 40000).alias("day")), path)
-    sheet = readers.read_sheet_export(t.spark, path, T.StructType.fromDDL("p_partkey long, p_name string, day int"), ["day"])
+    writers.write_import_csv(t.part.select("p_partkey", "p_name", F.when(F.col("p_size") == 7, "unknown").otherwise((F.col("p_size") + 40000).cast("string")).alias("day")), path)
+    sheet = readers.read_sheet_export(t.spark, path, T.StructType.fromDDL("p_partkey long, p_name string, day string"), ["day"])
     return sheet.withColumn("day", dates.as_day_text(F.col("day")))
 
 

@@ -106,19 +106,21 @@ def hud_names(t: Tables):
 
 
 def answers(t: Tables):
-    """Events as answers: yes or no for clicks and views, a number for the rest."""
+    """Events as answers: yes or no for clicks and views, a day for some sign-ups, a number for the rest."""
+    two_days_before = F.date_format(F.col("ts") - F.expr("INTERVAL 2 DAYS"), "yyyy-MM-dd HH:mm:ss")
     yes_no = F.when(F.col("value") >= 10, "Y").otherwise("N")
     cents = F.round(F.col("value") * 100).cast("long").cast("string")
     return t.events.select(
         F.col("user_id").alias("client_id"), F.col("event_type").alias("question_code"),
-        F.when(F.col("event_type").isin("click", "view"), yes_no).otherwise(cents).alias("val"),
+        F.when(F.col("event_type").isin("click", "view"), yes_no).when((F.col("event_type") == "signup") & (F.col("value") >= 10), two_days_before).otherwise(cents).alias("val"),
         F.date_trunc("hour", "ts").alias("date_effective"), F.col("ts").alias("date_added"),
         (F.col("user_id") % 100).alias("provider_id"), (F.col("user_id") % 7).alias("user_id"), (F.col("value") > 1).alias("active"),
     )
 
 
 ANSWERS_SQL = """answers AS (SELECT user_id AS client_id, event_type AS question_code,
-  CASE WHEN event_type IN ('click', 'view') THEN CASE WHEN value >= 10 THEN 'Y' ELSE 'N' END ELSE CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR) END AS val,
+  CASE WHEN event_type IN ('click', 'view') THEN CASE WHEN value >= 10 THEN 'Y' ELSE 'N' END
+  WHEN event_type = 'signup' AND value >= 10 THEN strftime(ts - INTERVAL 2 DAY, '%Y-%m-%d %H:%M:%S') ELSE CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR) END AS val,
   date_trunc('hour', ts) AS date_effective, ts AS date_added, user_id % 100 AS provider_id, user_id % 7 AS user_id, value > 1 AS active FROM events)"""
 PEOPLE_SQL = "people AS (SELECT c_custkey AS client_id FROM customer WHERE c_acctbal > 500)"
 
@@ -136,17 +138,17 @@ def agency_crosswalk(t: Tables):
 
 SCREENING = {
     "click": "c_symptom_click", "view": "c_covid19_risk_view", "error": "c_covid19_notes",
-    "purchase": "c_covid19_test_date", "signup": "c_covid19_screening_date",
+    "purchase": "c_covid19_test_date",
 }
 SCREENING_SQL = f"""{ANSWERS_SQL}, {PEOPLE_SQL},
  r AS (SELECT *, strftime(date_effective, '%Y-%m-%d') AS day, rank() OVER (PARTITION BY client_id, strftime(date_effective, '%Y-%m-%d'), provider_id, user_id
    ORDER BY date_effective DESC) AS i FROM answers WHERE active AND client_id IN (SELECT client_id FROM people)),
- w AS (SELECT client_id, day, provider_id, user_id, """ + ", ".join(f"max(CASE WHEN question_code = '{q}' THEN val END) AS {q}" for q in SCREENING) + """
+ w AS (SELECT client_id, day, provider_id, user_id, """ + ", ".join(f"max(CASE WHEN question_code = '{q}' THEN val END) AS {q}" for q in [*SCREENING, "signup"]) + """
    FROM r WHERE i = 1 GROUP BY ALL),
  screening AS (SELECT 178 AS "AssessmentID", 'COVID-19 Screening Tool' AS "AssessmentName", client_id AS "PersonalID",
-   CASE WHEN s_acctbal > 2000 THEN s_nationkey + 100 ELSE 299 END AS "AgencyID", day AS "InformationDate", user_id AS "UserID",
+   CASE WHEN s_acctbal > 2000 THEN s_nationkey + 100 ELSE 299 END AS "AgencyID", day AS "InformationDate", CASE WHEN contains(signup, '-') THEN substr(signup, 1, 10) END AS assessment_date, user_id AS "UserID",
    CASE click WHEN 'N' THEN 0 WHEN 'Y' THEN 1 END AS c_symptom_click, CASE "view" WHEN 'N' THEN 0 WHEN 'Y' THEN 1 END AS c_covid19_risk_view,
-   error AS c_covid19_notes, purchase AS c_covid19_test_date, signup AS c_covid19_screening_date
+   error AS c_covid19_notes, purchase AS c_covid19_test_date
   FROM w LEFT JOIN supplier ON s_suppkey = provider_id)"""
 SCREENING_SQL = SCREENING_SQL.replace(" AS view", ' AS "view"')
 
@@ -154,7 +156,7 @@ SCREENING_SQL = SCREENING_SQL.replace(" AS view", ' AS "view"')
 @query("covid_screening", f"""
 WITH {SCREENING_SQL} SELECT row_number() OVER (ORDER BY "PersonalID", "InformationDate") AS "AssessmentCustomID", * FROM screening""")
 def covid_screening(t: Tables):
-    return assessments.covid_screening(answers(t), people(t), agency_crosswalk(t), SCREENING)
+    return assessments.covid_screening(answers(t), people(t), agency_crosswalk(t), SCREENING, date_question="signup")
 
 
 CLIENT_QUESTIONS = {"click": "c_list", "error": "c_when", "purchase": "c_amount"}
@@ -309,7 +311,7 @@ SELECT * FROM (SELECT row_number() OVER (ORDER BY "AssessmentID", "PersonalID",
  * EXCLUDE (o_orderstatus) REPLACE (CASE WHEN o_orderstatus = 'P' THEN NULL ELSE coalesce(assessment_date, "InformationDate") END AS assessment_date) FROM u)
 WHERE "PersonalID" NOT IN (13, 14)""")
 def combined_assessments(t: Tables):
-    screening = assessments.covid_screening(answers(t), people(t), agency_crosswalk(t), SCREENING, numbered=False)
+    screening = assessments.covid_screening(answers(t), people(t), agency_crosswalk(t), SCREENING, numbered=False, date_question="signup")
     next_day = F.date_format(F.col("o_orderdate") + F.expr("INTERVAL 1 DAY"), "yyyy-MM-dd")
     offers = t.orders.select(
         F.lit(194).alias("AssessmentID"), F.lit("Offers").alias("AssessmentName"), F.col("o_custkey").alias("PersonalID"), F.lit(299).alias("AgencyID"),
@@ -505,7 +507,7 @@ FUNDED_SQL = SERVICES_SQL + """, fa AS (SELECT DISTINCT sv2.sid, CAST(o_totalpri
   WHERE o_totalprice <= 400000 AND o_orderstatus <> 'P' AND o_orderdate >= TIMESTAMP '1996-01-01'),
  fd AS (SELECT tr.*, amt, CASE WHEN prog = 2 AND source = 'City' THEN 'Federal' ELSE source END AS src FROM tr LEFT JOIN fa ON fa.sid = tr.sid WHERE item IS NOT NULL),
  ff AS (SELECT *, CASE WHEN prog = 1 AND src = 'City' THEN 70 WHEN prog = 2 AND src = 'Federal' THEN 73 WHEN prog = 2 AND src = 'State' THEN 74 END AS fund,
-   CASE src WHEN 'City' THEN 'Local' WHEN 'State' THEN 'Other' WHEN 'Federal' THEN 'CoC' END AS fsource,
+   CASE WHEN prog = 1 AND src = 'City' THEN 'Local' WHEN prog = 2 AND src = 'State' THEN 'Other' WHEN prog = 2 AND src = 'Federal' THEN 'CoC' END AS fsource,
    CASE WHEN prog = 1 AND src = 'City' THEN 'Town two' WHEN prog = 2 AND src = 'State' THEN 'State' END AS fother FROM fd)"""
 
 

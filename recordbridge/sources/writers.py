@@ -32,9 +32,9 @@ def import_form(df: DataFrame, dates: Sequence[str] = (), timestamps: Sequence[s
 
 
 def write_import_csv(df: DataFrame, path: str, dates: Sequence[str] = (), timestamps: Sequence[str] = ()) -> None:
-    """Write once: nulls empty, logicals 0/1, quotes only where needed."""
+    """Write once: nulls empty, logicals 0/1, quotes only where needed, outer blanks kept."""
     out = import_form(df, dates, timestamps)
-    out.write.options(header=True, nullValue="", emptyValue="", quote='"', escape='"', quoteAll=False).csv(path)
+    out.write.options(header=True, nullValue="", emptyValue="", quote='"', escape='"', quoteAll=False, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
 
 
 def unquote_rewrite(spark: SparkSession, source: str, target: str, files: Sequence[str] | None = None) -> None:

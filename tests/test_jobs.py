@@ -247,7 +247,8 @@ def test_users(make, rows):
     groups = make("UserID long, UserName string, UserEmail string, EDAGroupName string", (1, "Smith, Lindsey", "l@x", "g1"), (1, "Smith, Lindsey", "l@x", "g2"), (2, "O'Day-Lee,  Bo ", "b@x", "g1"), (641, "Admin, A", "a@x", "g1"), (3, "Nobody", "n@x", "g3"))
     projects = make("ProjectID long, EDAGroup string", (20, "g1"), (21, "g1"), (30, "g2"), (None, "g3"), (40, "g2"))
     owners = make("ProjectID long, ProjectName string, AgencyID long, AgencyName string", (20, "a", 9, "Nine"), (21, "b", 9, "Nine"), (30, "c", 8, "Eight"), (40, "d", 1695, "System"))
-    table = import_tables.users(groups, projects, owners, dates.day(AS_OF))
+    renamed = make("First string, Last string, NewLast string", ("Lindsey", "Smith", "Smith2"))
+    table = import_tables.users(groups, projects, owners, dates.day(AS_OF), renamed=renamed)
     got = {r["email"]: r for r in table.collect()}
     assert set(got) == {"l@x", "b@x"} and "password" not in table.columns
     lin = got["l@x"]
