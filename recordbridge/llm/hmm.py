@@ -80,15 +80,24 @@ def word_counts(df: DataFrame, text: str, suffixes: int) -> DataFrame:
 
 
 def _vocabulary(counts: DataFrame, settings: Settings, ends: int) -> tuple[Vocabulary, np.ndarray]:
-    """The shared counts, and the tokens of every class."""
-    head = counts.orderBy(F.desc("n"), "word").limit(settings.head).toPandas()
-    own = head.iloc[: settings.own_classes]
-    rest = counts
+    """The shared counts, and the tokens of every class.
+
+    The head is all words above a count that is read off a histogram of logarithms, so that no task
+    sends more than its share of the head to the driver.
+    """
+    level = F.floor(F.log2("n") * 32)
+    room, least = settings.head, None
+    for row in counts.groupBy(level.alias("level")).agg(F.count("*").alias("words")).orderBy(F.desc("level")).collect():
+        if row.words > room:
+            break
+        room, least = room - row.words, row.level
+    head = counts.where(level >= least if least is not None else F.lit(False)).toPandas().sort_values(["n", "word"], ascending=[False, True])
+    own, rest = head.iloc[: settings.own_classes], counts
     if len(own):
         n, word = int(own.n.iloc[-1]), int(own.word.iloc[-1])
         rest = counts.where((F.col("n") < n) | ((F.col("n") == n) & (F.col("word") > word)))
     tokens, kinds = np.zeros(settings.suffix_classes), np.zeros(settings.suffix_classes)
-    for row in rest.groupBy("suffix").agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).collect() if len(own) else ():
+    for row in rest.groupBy("suffix").agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).collect():
         tokens[row.suffix], kinds[row.suffix] = row.n, row.kinds
     classes = head.suffix.to_numpy(np.int64) + settings.own_classes
     classes[: len(own)] = np.arange(len(own))
