@@ -107,7 +107,7 @@ def _nodes(df: DataFrame, key: str, text: str, settings: Settings) -> DataFrame:
                     first = n - -(-settings.part * n // settings.whole) + 1 if n else 0
                     prefixes.append(np.concatenate((own[~late], own[late]))[:first].view(np.int64))
                     dims = int(_dims(n))
-                    points.append(np.bincount((own & U(dims - 1)).astype(np.int64), minlength=dims).astype("<u4").tobytes())
+                    points.append(_packed(np.bincount((own & U(dims - 1)).astype(np.int64), minlength=dims)))
                 yield pa.record_batch({
                     "id": part.column(key), "row": pa.array(np.arange(row, row + part.num_rows)), "n": pa.array(sizes, pa.int32()),
                     "h1": pa.array([a for a, _ in prints], pa.int64()), "h2": pa.array([b for _, b in prints], pa.int64()),
@@ -152,8 +152,18 @@ def _lists(entries: DataFrame) -> DataFrame:
     return entries.repartition("token").sortWithinPartitions("token", "node").mapInArrow(runs, "token bigint, first bigint, node bigint")
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """Counts in as few bytes each as hold them; the first byte says how many."""
+    width = 1 if counts.max() < 1 << 8 else 2 if counts.max() < 1 << 16 else 4
+    return bytes([width]) + counts.astype(f"<u{width}").tobytes()
+
+
+def _size(point: bytes) -> int:
+    return (len(point) - 1) // point[0]
+
+
 def _fold(point: bytes, dims: int) -> np.ndarray:
-    return np.frombuffer(point, "<u4").reshape(-1, dims).sum(axis=0)
+    return np.frombuffer(point, f"<u{point[0]}", offset=1).reshape(-1, dims).sum(axis=0, dtype=np.int32)
 
 
 def _needs(n, m, s: Settings):
@@ -171,7 +181,7 @@ def _passing(pairs: DataFrame, nodes: DataFrame, settings: Settings) -> DataFram
         for batch in batches:
             keep = []
             for n, p, m, q in zip(*(batch.column(c).to_pylist() for c in ("n", "p", "m", "q"))):
-                dims = min(len(p), len(q)) // 4
+                dims = min(_size(p), _size(q))
                 keep.append(int(np.minimum(_fold(p, dims), _fold(q, dims)).sum()) >= _needs(n, m, settings))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
@@ -250,7 +260,10 @@ class Tree:
 def _cells(lists: DataFrame, nodes: DataFrame, labels: DataFrame, settings: Settings) -> DataFrame:
     """Pairs (a, b) from the lists that hold several components, by R-tree joins of their cells."""
     named = lists.select("token", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    mixed = named.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("token")
+    spread = F.xxhash64("node", F.lit(1)).cast("decimal(38,0)")
+    mixed = named.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.sum(spread).alias("s"), F.bit_xor(F.xxhash64("node")).alias("x"), F.count("*").alias("c"))
+    # Lists of the same nodes, many for two near copies, are joined once.
+    mixed = mixed.where("lo < hi").groupBy("s", "x", "c").agg(F.min("token").alias("token")).select("token")
     held = named.join(mixed, "token").join(nodes.selectExpr("row AS node", "n", "point", "int(ln(n) / ln(1.25)) AS band"), "node")
     # A band's cell also holds the next band, the only other one that it has links with.
     held = held.select("*", F.explode(F.array("band", F.col("band") - 1)).alias("cell"))
@@ -264,8 +277,8 @@ def _cells(lists: DataFrame, nodes: DataFrame, labels: DataFrame, settings: Sett
         cell, i, j = (table.column(c)[0].as_py() for c in ("cell", "i", "j"))
         nodes, labels, sizes, bands, own = (table.column(c).to_numpy() for c in ("node", "label", "n", "band", "own"))
         cells = table.column("point").to_pylist()
-        dims = min(len(c) for c in cells) // 4
-        points = np.stack([_fold(c, dims) for c in cells]).astype(np.int32)
+        dims = min(map(_size, cells))
+        points = np.stack([_fold(c, dims) for c in cells])
         out = []
         lower, left = bands == cell, own == i
         # Both bands of both blocks; pairs within the upper band belong to its own cell.
