@@ -59,7 +59,7 @@ def covid_screening(
         "InformationDate",
         as_day_text(parse_dt(F.col("__asked"))).alias("assessment_date"),
         F.col("user_id").alias("UserID"),
-        *questions.values(),
+        *[F.col("__asked" if q == date_question else name).alias(name) for q, name in questions.items()],
     )
     flagged = across(out, lambda c: c in yes_no_columns or c.startswith(tuple(yes_no_prefixes)), yes_no)
     if "c_covid19_test_results" in flagged.columns:

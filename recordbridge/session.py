@@ -25,9 +25,13 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder that every executor can reach: ``spark.checkpoint.dir``, else one in the warehouse."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_intermediate"
+    """Folder of this application that every executor can reach, for intermediate tables.
+
+    It lies in ``spark.checkpoint.dir``, else in the warehouse, and can be deleted when the
+    application has ended.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_intermediate"
+    return f"{folder.rstrip('/')}/recordbridge-{spark.sparkContext.applicationId}"
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

@@ -52,12 +52,13 @@ def test_screening_loses_earlier_answers(make):
         "client_id long, question_code string, val string, date_effective timestamp, provider_id long, user_id long, active boolean",
         (1, "COHCOV19CHILLS", "Y", t0, 10, 5, True), (1, "COHCOV19HEADACHE", "N", t1, 10, 5, True), (1, "COVID19TESTRESULTS", "Unknown", t1, 10, 5, True),
         (1, "COHCOV19HEADACHE", "Y", t1, 11, 5, True), (1, "OTHER", "Y", t1, 10, 5, True), (1, "COHCOV19CHILLS", "Y", t1, 10, 5, False),
-        (2, "COHCOV19CHILLS", "Y", t1, 10, 5, True),
+        (2, "COHCOV19CHILLS", "Y", t1, 10, 5, True), (1, "COHCOV19ASSESSMENTDATE", "2020-12-30 00:00:00", t1, 10, 5, True),
     )
     crosswalk = make("Legacy_ProgramID long, Target_AgencyID int", (10, 77))
     out = assessments.covid_screening(answers, make("client_id long", (1,)), crosswalk).orderBy("AgencyID").collect()
-    assert len(out) == 2 and len(out[0]) == 7 + len(fixed.SCREENING_QUESTIONS)
+    assert len(out) == 2 and len(out[0]) == 8 + len(fixed.SCREENING_QUESTIONS)
     first, second = out
+    assert (first["assessment_date"], second["assessment_date"]) == ("2020-12-30", None)
     assert (first["AgencyID"], first["c_symptom_chills"], first["c_symptom_headache"], first["c_covid19_test_results"]) == (77, None, 0, 2)
     assert (second["AgencyID"], second["c_symptom_headache"], second["InformationDate"]) == (299, 1, "2021-01-01")
     assert sorted(r["AssessmentCustomID"] for r in out) == [1, 2]
