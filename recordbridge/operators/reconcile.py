@@ -119,12 +119,15 @@ def amount_reconcile(left: DataFrame, right: DataFrame, extra: DataFrame, key: s
     return off.where(F.col("Amt_diff") > off.agg(F.avg("Amt_diff")).scalar())
 
 
+PREFIX_LENGTH = 30  # letters by which two texts are compared, unless told otherwise
+
+
 def distance_limit(text: Column) -> Column:
     """Edits allowed when two prefixes are compared: a tenth of the length, rounded up."""
     return F.ceil(F.char_length(text) / F.lit(10.0)).cast("int")
 
 
-def fuzzy_prefix(a: DataFrame, b: DataFrame, key: str, text: str, length: int = 30) -> DataFrame:
+def fuzzy_prefix(a: DataFrame, b: DataFrame, key: str, text: str, length: int = PREFIX_LENGTH) -> DataFrame:
     """Distinct (key, prefix) rows of ``a`` with no similar prefix under the same key in ``b``.
 
     The texts are read once: their distinct prefixes are written and compared from there.
@@ -137,7 +140,7 @@ def fuzzy_prefix(a: DataFrame, b: DataFrame, key: str, text: str, length: int =
     return unmatched_prefixes(left, right, key, length)
 
 
-def unmatched_prefixes(left: DataFrame, right: DataFrame, key: str, length: int = 30) -> DataFrame:
+def unmatched_prefixes(left: DataFrame, right: DataFrame, key: str, length: int = PREFIX_LENGTH) -> DataFrame:
     """Rows (key, prefix) of ``left`` with no similar prefix under the same key in ``right``.
 
     Similar means within ``distance_limit`` edits. Candidates are found without pairing
@@ -191,19 +194,21 @@ def unmatched_prefixes(left: DataFrame, right: DataFrame, key: str, length: int
         & (F.col("__l.size") == F.col("__size"))
         & (F.col("no") == F.col("__no"))
         & (F.col("piece") == F.col("__piece"))
-        & (F.levenshtein(F.col("prefix"), F.col("__other"), most) >= 0)
-        & (F.levenshtein(F.col("prefix"), F.col("__other")) <= F.col("__l.limit")),
+        # One bounded comparison; it gives -1 beyond the largest limit.
+        & F.array_contains(F.sequence(F.lit(0), F.col("__l.limit")), F.levenshtein(F.col("prefix"), F.col("__other"), most)),
         "left_semi",
     )
     return anti_exclude(left, candidates.select(key, "prefix"), [key, "prefix"])
 
 
-def text_reconcile(a: DataFrame, b: DataFrame, key: str, text: str) -> DataFrame:
+def text_reconcile(a: DataFrame, b: DataFrame, key: str, text: str, length: int = PREFIX_LENGTH) -> DataFrame:
     """Cleaned notes that one side has and the other has not, per person and side.
 
     ``side`` says who has the note; ``similar`` is 1 where the other side's missing
-    notes hold one that starts about the same. The texts are cleaned and compared in
-    one pass; the one-sided notes are written once, as several steps read them.
+    notes hold one whose first ``length`` letters are about the same as this note's, of
+    which words ending in "com" are left out first. The texts are cleaned and compared
+    in one pass; the one-sided notes are written once with both their prefixes, from
+    which the comparison works, and are read whole only for the result.
     """
     def cleaned(df: DataFrame, side: int) -> DataFrame:
         noted = df.where(F.col(text).isNotNull())
@@ -211,17 +216,18 @@ def text_reconcile(a: DataFrame, b: DataFrame, key: str, text: str) -> DataFrame
 
     grouped = cleaned(a, 1).unionByName(cleaned(b, 2)).groupBy(key, "note")
     sides = grouped.agg(F.min("side").alias("lo"), F.max("side").alias("hi")).where("lo = hi")
-    one_sided = materialise(sides.select(key, "note", "lo"), "one-sided")
-    only_left, only_right = (one_sided.where(F.col("lo") == side).select(key, "note") for side in (1, 2))
-
-    def report(mine: DataFrame, theirs: DataFrame, side: str) -> DataFrame:
-        with_prefix = mine.withColumn("prefix", F.substring("note", 1, 30))
-        others = theirs.select(key, F.substring("note", 1, 30).alias("prefix")).distinct()
-        alone = unmatched_prefixes(with_prefix.select(key, "prefix").distinct(), others, key).withColumn("alone", F.lit(True))
-        joined = ns_join(with_prefix, alone, [key, "prefix"], "left")
-        return joined.select(key, "note", F.lit(side).alias("side"), F.when(F.col("alone"), 0).otherwise(1).alias("similar"))
-
-    return report(only_left, only_right, "left").unionByName(report(only_right, only_left, "right"))
+    asked = F.substring(F.regexp_replace("note", "[A-Za-z0-9]*com", ""), 1, length)
+    one_sided = materialise(sides.select(key, "note", "lo", F.substring("note", 1, length).alias("start"), asked.alias("prefix")), "one-sided")
+    starts = materialise(one_sided.select(key, "lo", "start", "prefix").distinct(), "one-sided-starts")
+
+    def alone(side: int) -> DataFrame:
+        mine, theirs = starts.where(F.col("lo") == side), starts.where(F.col("lo") != side)
+        found = unmatched_prefixes(mine.select(key, "prefix").distinct(), theirs.select(key, F.col("start").alias("prefix")).distinct(), key, length)
+        return found.withColumn("lo", F.lit(side))
+
+    lonely = alone(1).unionByName(alone(2)).withColumn("alone", F.lit(True))
+    joined = ns_join(one_sided.drop("start"), lonely, [key, "prefix", "lo"], "left")
+    return joined.select(key, "note", F.when(F.col("lo") == 1, "left").otherwise("right").alias("side"), F.when(F.col("alone"), 0).otherwise(1).alias("similar"))
 
 
 def code_verify(expected: DataFrame, actual: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -108,9 +108,10 @@ def fuzzy_prefix(t: Tables):
 
 @query("text_reconcile", f"""
 WITH {HALVES_SQL}, da AS (SELECT DISTINCT source, note FROM a), db AS (SELECT DISTINCT source, note FROM b),
- oa AS (SELECT * FROM da EXCEPT SELECT * FROM db), ob AS (SELECT * FROM db EXCEPT SELECT * FROM da)
-SELECT source, note, 'left' AS side, CASE WHEN EXISTS (SELECT 1 FROM ob WHERE ob.source = oa.source AND levenshtein(substr(oa.note, 1, 30), substr(ob.note, 1, 30)) <= ceil(least(length(oa.note), 30) / 10.0)) THEN 1 ELSE 0 END AS similar FROM oa
-UNION ALL SELECT source, note, 'right', CASE WHEN EXISTS (SELECT 1 FROM oa WHERE ob.source = oa.source AND levenshtein(substr(oa.note, 1, 30), substr(ob.note, 1, 30)) <= ceil(least(length(ob.note), 30) / 10.0)) THEN 1 ELSE 0 END FROM ob""".replace(" AS similar", ' AS "similar"'))
+ oa AS (SELECT *, substr(regexp_replace(note, '[A-Za-z0-9]*com', '', 'g'), 1, 30) AS p FROM (SELECT * FROM da EXCEPT SELECT * FROM db)),
+ ob AS (SELECT *, substr(regexp_replace(note, '[A-Za-z0-9]*com', '', 'g'), 1, 30) AS p FROM (SELECT * FROM db EXCEPT SELECT * FROM da))
+SELECT source, note, 'left' AS side, CASE WHEN EXISTS (SELECT 1 FROM ob WHERE ob.source = oa.source AND levenshtein(oa.p, substr(ob.note, 1, 30)) <= ceil(length(oa.p) / 10.0)) THEN 1 ELSE 0 END AS similar FROM oa
+UNION ALL SELECT source, note, 'right', CASE WHEN EXISTS (SELECT 1 FROM oa WHERE ob.source = oa.source AND levenshtein(substr(oa.note, 1, 30), ob.p) <= ceil(length(ob.p) / 10.0)) THEN 1 ELSE 0 END FROM ob""".replace(" AS similar", ' AS "similar"'))
 def text_reconcile(t: Tables):
     a, b = halves(t)
     return reconcile.text_reconcile(a, b, "source", "text")
