@@ -588,8 +588,8 @@ def inventory_not_adding_up(t: Tables):
 
 @query("access_points", """
 WITH p AS (SELECT s_suppkey AS id, s_name AS name, CASE WHEN s_acctbal > 5000 THEN 'day' END AS hours, CASE WHEN s_acctbal > 7000 THEN s_name END AS web FROM supplier WHERE s_nationkey < 15),
- g AS (SELECT id, string_agg(seg, ', ' ORDER BY seg) AS general_service_area FROM (SELECT DISTINCT CAST(c_nationkey AS BIGINT) AS id, c_mktsegment AS seg FROM customer WHERE c_acctbal > 9000) JOIN p USING (id) GROUP BY 1),
- sc AS (SELECT DISTINCT l_suppkey AS id, l_returnflag AS code, CASE WHEN l_tax < 0.04 THEN l_linestatus END AS area FROM lineitem JOIN p ON p.id = l_suppkey WHERE l_quantity = 50),
+ g AS (SELECT id, string_agg(seg, ', ' ORDER BY seg) AS general_service_area FROM (SELECT DISTINCT CAST(c_nationkey AS BIGINT) AS id, c_mktsegment AS seg FROM customer) JOIN p USING (id) GROUP BY 1),
+ sc AS (SELECT DISTINCT l_suppkey AS id, l_returnflag AS code, CASE WHEN l_tax < 0.04 THEN l_linestatus END AS area FROM lineitem JOIN p ON p.id = l_suppkey),
  v AS (SELECT id, area AS veteran_service_area FROM sc WHERE code = 'A'), y AS (SELECT id, area AS youth_service_area FROM sc WHERE code = 'N' AND area IS NOT NULL),
  d AS (SELECT id, area AS dv_service_area FROM sc WHERE code = 'R' AND area IS NOT NULL), h AS (SELECT id, hours, web AS website_address FROM p WHERE hours IS NOT NULL OR web IS NOT NULL)
 SELECT s_name AS "SP_ProjectName", CASE WHEN s_acctbal > 2000 THEN 'Agency ' || s_nationkey END AS "Target_AgencyName", CASE WHEN s_acctbal > 2000 THEN s_name END AS "Target_ProgramName",
@@ -600,8 +600,8 @@ def access_points(t: Tables):
         F.col("s_suppkey").alias("provider_id"), F.col("s_name").alias("name"), F.when(F.col("s_nationkey") < 15, "access").alias("program_type_code"),
         F.when(F.col("s_acctbal") > 5000, "day").alias("hours"), F.when(F.col("s_acctbal") > 7000, F.col("s_name")).alias("website_address"),
     )
-    counties = t.customer.where("c_acctbal > 9000").select(F.col("c_nationkey").cast("long").alias("provider_id"), F.col("c_mktsegment").alias("county"))
-    offered = t.lineitem.where("l_quantity = 50").select(
+    counties = t.customer.select(F.col("c_nationkey").cast("long").alias("provider_id"), F.col("c_mktsegment").alias("county"))
+    offered = t.lineitem.select(
         F.col("l_suppkey").alias("provider_id"), F.col("l_returnflag").alias("service_code"), F.when(F.col("l_tax") < 0.04, F.col("l_linestatus")).alias("service_area")
     ).distinct()
     crosswalk = t.supplier.where("s_acctbal > 2000").select(

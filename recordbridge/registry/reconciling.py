@@ -130,7 +130,7 @@ def code_verify(t: Tables):
 @query("checks", """
 SELECT 'no status' AS name, CAST(count(*) FILTER (nullif(o_orderstatus, 'P') IS NULL) = 0 AS INTEGER) AS ok, count(*) FILTER (nullif(o_orderstatus, 'P') IS NULL) AS failing FROM orders
 UNION ALL SELECT 'negative price', CAST(count(*) FILTER (o_totalprice < 0) = 0 AS INTEGER), count(*) FILTER (o_totalprice < 0) FROM orders
-UNION ALL SELECT 'order key is unique', 1, 0 UNION ALL SELECT 'line is unique', CAST(count(*) = 0 AS INTEGER), count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)""")
+UNION ALL SELECT 'order key is unique', CAST(count(*) = 0 AS INTEGER), count(*) FROM (SELECT 1 FROM orders GROUP BY o_orderkey HAVING count(*) > 1) UNION ALL SELECT 'line is unique', CAST(count(*) = 0 AS INTEGER), count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)""")
 def checks(t: Tables):
     return reconcile.all_checks(
         reconcile.checks(t.orders, {"no status": nullif("o_orderstatus", "P").isNull(), "negative price": F.col("o_totalprice") < 0}),
