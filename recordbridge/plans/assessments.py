@@ -205,18 +205,19 @@ def vulnerability_scores(
 
 
 def combined_assessments(
-    *kinds: DataFrame, order: Sequence[str], dates: Sequence[str] = (), skip_clients: Iterable[int] = (fixed.COMBINED_TEST_CLIENT,)
+    *kinds: DataFrame, order: Sequence[str], dates: Sequence[str] = fixed.ASSESSMENT_DATES, skip_clients: Iterable[int] = (fixed.COMBINED_TEST_CLIENT,)
 ) -> DataFrame:
     """All assessment kinds in one wide, numbered table.
 
     The kinds are stacked: their assessment numbers differ, so no two rows of
-    different kinds could ever be merged. ``dates`` hold text that becomes days. Rows
+    different kinds could ever be merged. ``dates`` hold text that becomes days, those
+    that no kind has left out. Rows
     are numbered before the test person is taken out.
     """
     stacked = union_sparse(*[k.drop("AssessmentCustomID") for k in kinds])
     dated = stacked.withColumn(
         "assessment_date", F.coalesce(as_day_text(parse_dt(F.col("assessment_date"))), F.when(F.col("assessment_date").isNull(), F.col("InformationDate")))
-    ).withColumns({c: as_day_text(parse_dt(F.col(c))) for c in dates})
+    ).withColumns({c: as_day_text(parse_dt(F.col(c))) for c in dates if c in stacked.columns})
     return surrogate_id(dated, order, "AssessmentCustomID").where(not_in(F.col("PersonalID"), skip_clients))
 
 

@@ -220,6 +220,12 @@ AREA_CODES = ("OH-504", "OH-507")
 AREA_COUNTY = "Mahoning"
 OUT_OF_STATE_AGENCY, OUT_OF_STATE_GEOCODE = 2455, "429003"
 
+# Columns of the combined assessments that hold days.
+ASSESSMENT_DATES = (
+    "c_covid19_investigated_contact_date", "c_covid19_investigation_determination_date", "c_covid19_test_date",
+    "c_covid19_confirmed_contact_date", "c_offer_accept_decline_date",
+)
+
 # Users.
 ADMIN_USERS = (641, 835, 1041, 1545, 1624, 2169)
 SYSTEM_AGENCY = 1695

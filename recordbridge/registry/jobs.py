@@ -13,7 +13,7 @@ from ..functions import codes, dates
 from ..operators import joins
 from ..plans import assessments, clients, cohort, extract, helpers, import_tables, notes, services
 from ..sources.readers import literal_table
-from .base import Tables, money, nullif, query
+from .base import ORACLE, Tables, money, nullif, query
 from .basics import CROSSWALK_SQL, crosswalk_tables, provider_table
 
 
@@ -302,25 +302,20 @@ def vulnerability_scores(t: Tables):
     )
 
 
+ALL_KINDS = (
+    "AssessmentID", "PersonalID", "InformationDate", "AgencyID", "UserID", "assessment_date", "c_covid19_client_contact_info", "c_covid19_notes", "c_covid19_risk_view", "c_covid19_test_date",
+    "c_covid19_vaccine_documentation", "c_covid19_vaccine_manufacturer", "c_offer_accept_decline_date", "c_offer_accepted", "c_offer_type", "c_symptom_click", "c_vispdat_program_name", "c_vispdat_score", "c_vispdat_type",
+)
+
+
 @query("combined_assessments", f"""
 WITH {SCREENING_SQL},
- o AS (SELECT 194 AS "AssessmentID", 'Offers' AS "AssessmentName", o_custkey AS "PersonalID", 299 AS "AgencyID", strftime(o_orderdate, '%Y-%m-%d') AS "InformationDate",
-   CASE WHEN o_orderstatus = 'O' THEN NULL WHEN o_orderstatus = 'F' THEN strftime(o_orderdate + INTERVAL 1 DAY, '%Y-%m-%d') END AS assessment_date, o_orderstatus, o_orderkey AS c_offer_id FROM orders),
- u AS (SELECT * FROM (SELECT * FROM screening UNION ALL BY NAME SELECT * FROM o))
-SELECT * FROM (SELECT row_number() OVER (ORDER BY "AssessmentID", "PersonalID", "InformationDate", c_offer_id NULLS LAST) AS "AssessmentCustomID",
- * EXCLUDE (o_orderstatus) REPLACE (CASE WHEN o_orderstatus = 'P' THEN NULL ELSE coalesce(assessment_date, "InformationDate") END AS assessment_date) FROM u)
-WHERE "PersonalID" NOT IN (13, 14)""")
+ u AS (SELECT * FROM screening UNION ALL BY NAME SELECT * FROM ({ORACLE["vaccine_doses"]}) UNION ALL BY NAME SELECT * FROM ({ORACLE["housing_offers"]}) UNION ALL BY NAME SELECT * FROM ({ORACLE["vulnerability_scores"]})),
+ d AS (SELECT * REPLACE (CASE WHEN assessment_date IS NULL THEN "InformationDate" ELSE strftime(try_cast(assessment_date AS DATE), '%Y-%m-%d') END AS assessment_date, CAST(NULL AS VARCHAR) AS c_covid19_test_date) FROM u)
+SELECT * FROM (SELECT row_number() OVER (ORDER BY {", ".join(f'"{c}" NULLS LAST' for c in ALL_KINDS)}) AS "AssessmentCustomID", * FROM d) WHERE "PersonalID" NOT IN (13, 14)""")
 def combined_assessments(t: Tables):
     screening = assessments.covid_screening(answers(t), people(t), agency_crosswalk(t), SCREENING, numbered=False, date_question="signup")
-    next_day = F.date_format(F.col("o_orderdate") + F.expr("INTERVAL 1 DAY"), "yyyy-MM-dd")
-    offers = t.orders.select(
-        F.lit(194).alias("AssessmentID"), F.lit("Offers").alias("AssessmentName"), F.col("o_custkey").alias("PersonalID"), F.lit(299).alias("AgencyID"),
-        dates.as_day_text(F.col("o_orderdate")).alias("InformationDate"),
-        F.when(F.col("o_orderstatus") == "F", next_day).when(F.col("o_orderstatus") == "P", "unreadable").alias("assessment_date"),
-        F.col("o_orderkey").alias("c_offer_id"),
-    )
-    order = ["AssessmentID", "PersonalID", "InformationDate", "c_offer_id"]
-    return assessments.combined_assessments(screening, offers, order=order, skip_clients=(13, 14))
+    return assessments.combined_assessments(screening, vaccine_doses(t), housing_offers(t), vulnerability_scores(t), order=ALL_KINDS, skip_clients=(13, 14))
 
 
 # --- clients ----------------------------------------------------------------------
