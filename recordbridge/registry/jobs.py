@@ -366,38 +366,40 @@ def client_files(t: Tables):
 
 
 def note_sources(t: Tables):
-    """User turns as client notes, answers as goals, documents as needs, enrolments as exits."""
+    """Turns as client, goal and service notes by role, documents as needs (some of an unreadable provider), enrolments as exits."""
     said = t.conversations.select(
-        F.col("conv_id").alias("client_id"), F.lit(True).alias("active"), F.col("text").alias("note"), "role",
+        F.col("conv_id").alias("client_id"), F.lit(True).alias("active"), F.col("text").alias("note"), "role", (F.col("conv_id") * 100 + F.col("turn")).alias("need_service_id"),
         (F.col("conv_id") % 100).alias("provider_id"), (F.col("conv_id") % 100).alias("provider_creating_id"),
         *[F.date_add(dates.day("2021-01-01"), F.col("turn").cast("int")).cast("timestamp_ntz").alias(c) for c in ("note_date", "date_added", "date_updated")],
     )
     wanted = t.documents.select(
         F.col("doc_id").alias("client_id"), F.lit(True).alias("active"), F.col("text").alias("note"), F.col("lang").alias("status"),
-        nullif("source", "src1").alias("outcome"), F.lit(None).cast("string").alias("reason_unmet"), (F.col("doc_id") % 100).cast("string").alias("provider_id"),
+        nullif("source", "src1").alias("outcome"), F.lit(None).cast("string").alias("reason_unmet"), F.when(F.col("doc_id") % 97 == 5, "none").otherwise((F.col("doc_id") % 100).cast("string")).alias("provider_id"),
         *[stamp("2021-02-03 04:05:06").alias(c) for c in ("date_set", "date_added", "date_updated")],
     )
     left = entries(t).withColumns({"notes": F.concat(F.lit("left \r\n "), F.col("entry_exit_id").cast("string")), "date_added": F.col("entry_date"), "date_updated": F.col("exit_date")})
+    given = said.where("role = 'system'").withColumnsRenamed({"note": "service_note", "provider_id": "provide_provider_id", "note_date": "provide_start_date"})
     return notes.note_rows(
-        people(t), agency_crosswalk(t), client_notes=said.where("role = 'user'"), goals=said.where("role = 'assistant'"), needs=wanted,
+        people(t), agency_crosswalk(t), client_notes=said.where("role = 'user'"), goals=said.where("role = 'assistant'"), needs=wanted, services=given,
         exits=left, cutoff="2000-06-01",
     )
 
 
 SQUISH = r"trim(regexp_replace({0}, '\s+', ' ', 'g'))"
 NOTES_SQL = f"""{PEOPLE_SQL}, {ENTRIES_SQL}, cw AS (SELECT s_suppkey AS prog, s_name AS pname, s_nationkey + 100 AS agency FROM supplier WHERE s_acctbal > 2000),
- n AS (SELECT conv_id AS pid, conv_id % 100 AS prog, '' AS eid, CASE role WHEN 'user' THEN 'imported from Client' ELSE 'imported from Goals' END AS title,
+ n AS (SELECT conv_id AS pid, conv_id % 100 AS prog, '' AS eid, CASE role WHEN 'user' THEN 'imported from Client' WHEN 'system' THEN 'imported from ServicePoint Service' ELSE 'imported from Goals' END AS title,
    strftime(DATE '2021-01-01' + CAST(turn AS INTEGER), '%Y-%m-%d') AS day, {SQUISH.format('text')} AS note, strftime(DATE '2021-01-01' + CAST(turn AS INTEGER), '%Y-%m-%d') || ' 00:00:00' AS made,
-   strftime(DATE '2021-01-01' + CAST(turn AS INTEGER), '%Y-%m-%d') || ' 00:00:00' AS changed FROM conversations WHERE role IN ('user', 'assistant')
-  UNION ALL SELECT doc_id, doc_id % 100, '', 'imported from ServicePoint Need', '2021-02-03', {SQUISH.format("'Note: ' || text || ' Status: ' || lang || ' Outcome: ' || coalesce(nullif(source, 'src1'), 'NA') || ' Reason Unmet: NA'")},
-   '2021-02-03 04:05:06', '2021-02-03 04:05:06' FROM documents
+   strftime(DATE '2021-01-01' + CAST(turn AS INTEGER), '%Y-%m-%d') || ' 00:00:00' AS changed,
+   CASE WHEN role = 'system' THEN CAST(conv_id * 100 + turn AS VARCHAR) ELSE '' END AS sid FROM conversations WHERE role IN ('user', 'assistant', 'system')
+  UNION ALL SELECT doc_id, CASE WHEN doc_id % 97 <> 5 THEN doc_id % 100 END, '', 'imported from ServicePoint Need', '2021-02-03', {SQUISH.format("'Note: ' || text || ' Status: ' || lang || ' Outcome: ' || coalesce(nullif(source, 'src1'), 'NA') || ' Reason Unmet: NA'")},
+   '2021-02-03 04:05:06', '2021-02-03 04:05:06', '' FROM documents
   UNION ALL SELECT client_id, provider_id, CAST(entry_exit_id AS VARCHAR), 'Exit note: Exited ' || coalesce(pname, 'NA') || ' on ' || strftime(exit_date, '%Y-%m-%d %H:%M:%S'), strftime(exit_date, '%Y-%m-%d'),
-   'left ' || entry_exit_id, strftime(entry_date, '%Y-%m-%d %H:%M:%S'), strftime(exit_date, '%Y-%m-%d %H:%M:%S') FROM entries LEFT JOIN cw ON prog = provider_id WHERE active AND exit_date >= TIMESTAMP '2000-06-01'),
+   'left ' || entry_exit_id, strftime(entry_date, '%Y-%m-%d %H:%M:%S'), strftime(exit_date, '%Y-%m-%d %H:%M:%S'), '' FROM entries LEFT JOIN cw ON prog = provider_id WHERE active AND exit_date >= TIMESTAMP '2000-06-01'),
  placed AS (SELECT n.*, CASE n.prog WHEN 7 THEN 134 WHEN 12 THEN 9 ELSE agency END AS aid FROM n LEFT JOIN cw ON cw.prog = n.prog WHERE pid IN (SELECT client_id FROM people))"""
 
 
 @query("all_notes", f"""
-WITH {NOTES_SQL} SELECT row_number() OVER (ORDER BY pid, day, title, eid, made, note) AS "NoteID", pid AS "PersonalID", aid AS "AgencyID", eid AS "EnrollmentID", '' AS "ServicesID",
+WITH {NOTES_SQL} SELECT row_number() OVER (ORDER BY pid, day, title, eid, sid, made, note, aid, changed) AS "NoteID", pid AS "PersonalID", aid AS "AgencyID", eid AS "EnrollmentID", sid AS "ServicesID",
  title AS "Title", day AS "Date", note AS "Note", made AS "DateCreated", changed AS "DateUpdated" FROM placed WHERE aid IS NOT NULL""")
 def all_notes(t: Tables):
     return notes.all_notes(note_sources(t), agency_crosswalk(t), FILE_FIXES)
