@@ -174,7 +174,8 @@ def replace(df: DataFrame, text: str, key: str = "surrogates", count: str | None
     names = [c for c in marked.columns if c != "__has"]
     with_count = [F.lit(0).cast("bigint").alias(count)] if count else []
     clean = marked.where(~F.col("__has")).select(*[F.col(f"`{c}`") for c in names], *with_count)
-    dirty = marked.where("__has").drop("__has").withColumn("__key", F.sha2(F.col(text).cast("binary"), 256))
+    # Written once: three steps read the texts with entities, and finding them is what costs most.
+    dirty = materialise(marked.where("__has").drop("__has").withColumn("__key", F.sha2(F.col(text).cast("binary"), 256)), "texts-with-entities")
     found = dirty.select("__key", F.regexp_extract_all(F.col(text), F.lit(PATTERN), F.lit(0)).alias("all")).groupBy("__key").agg(F.first("all").alias("all"))
     found = found.select("__key", F.posexplode("all").alias("pos", "match"))
     parts = found.select("__key", "pos", F.posexplode(_parts(F.col("match"))).alias("nth", "p")).select("__key", "pos", "nth", "p.kind", "p.canon", "p.raw")
