@@ -80,6 +80,24 @@ def unquote_rewrite(t: Tables):
     return readers.read_text_csv(t.spark, f"{plain}/Supplier.csv")
 
 
+@query("repair_extract", """
+SELECT 'Client' AS file, CAST(c_custkey AS VARCHAR) AS id, CASE WHEN c_acctbal > 0 THEN '1' ELSE '0' END AS flag, strftime(DATE '2021-02-01' + CAST(c_custkey % 28 AS INTEGER), '%Y-%m-%d 00:00:00') AS made FROM customer
+UNION ALL SELECT 'Funder', CAST(s_suppkey AS VARCHAR), CASE WHEN s_acctbal > 0 THEN 'TRUE' ELSE 'FALSE' END, '2/' || (s_suppkey % 28 + 1) || '/2021' FROM supplier""")
+def repair_extract(t: Tables):
+    quoted, plain = new_folder(t), new_folder(t)
+
+    def extract(df, key, balance, name):
+        day = F.concat(F.lit("2/"), (F.col(key) % 28 + 1).cast("string"), F.lit("/2021"))
+        rows = df.select(F.col(key).alias("id"), F.when(F.col(balance) > 0, "TRUE").otherwise("FALSE").alias("flag"), day.alias("DateCreated"))
+        rows.write.options(header=True, quoteAll=True).csv(f"{quoted}/{name}.csv")
+
+    extract(t.customer, "c_custkey", "c_acctbal", "Client")
+    extract(t.supplier, "s_suppkey", "s_acctbal", "Funder")
+    writers.repair_extract(t.spark, quoted, plain, ["Client", "Funder"], unbroken=["Client"])
+    read = readers.read_dump_dir(t.spark, plain, views=False, unbroken=["Client", "Funder"], names=["Client", "Funder"])
+    return read["Client"].withColumn("file", F.lit("Client")).unionByName(read["Funder"].withColumn("file", F.lit("Funder"))).select("file", "id", "flag", F.col("DateCreated").alias("made"))
+
+
 @query("literal_table", """
 SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 'now' WHEN '2-HIGH' THEN 'soon' END AS wait FROM orders""")
 def literal_table(t: Tables):

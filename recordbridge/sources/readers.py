@@ -23,8 +23,13 @@ def header_of(spark: SparkSession, path: str) -> list[str]:
     return spark.read.options(header=True, quote='"', escape='"').csv(path).columns
 
 
-def list_csv(spark: SparkSession, path: str) -> dict[str, str]:
-    """CSV files of a folder by table name, on any file system Spark can reach."""
+def list_csv(spark: SparkSession, path: str, names: Sequence[str] | None = None) -> dict[str, str]:
+    """CSV files of a folder by table name, on any file system Spark can reach.
+
+    With ``names`` the folder is not listed, which a remote session could not do.
+    """
+    if names is not None:
+        return {n: f"{path.rstrip('/')}/{n}.csv" for n in names}
     jvm = spark.sparkContext._jvm
     folder = jvm.org.apache.hadoop.fs.Path(path)
     fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -39,14 +44,14 @@ def read_text_csv(spark: SparkSession, path: str, line_breaks: bool = True) -> D
 
 
 def read_dump_dir(spark: SparkSession, path: str, schemas: Mapping[str, T.StructType] | None = None, views: bool = True,
-                  unbroken: Collection[str] = ()) -> dict[str, DataFrame]:
+                  unbroken: Collection[str] = (), names: Sequence[str] | None = None) -> dict[str, DataFrame]:
     """Every CSV of a folder as a named table and, if asked, a temporary view.
 
     Files without a declared schema come as text. Tables named in ``unbroken`` hold no
     line breaks inside texts and are read in parallel splits.
     """
     tables = {}
-    for name, file in list_csv(spark, path).items():
+    for name, file in list_csv(spark, path, names).items():
         schema = (schemas or {}).get(name)
         broken = name not in unbroken
         tables[name] = _csv(spark, broken).schema(schema).csv(file) if schema else read_text_csv(spark, file, broken)
@@ -61,12 +66,12 @@ def read_typed_csv(spark: SparkSession, path: str, letters: str, names: Sequence
     return _csv(spark, line_breaks).schema(schema_of(names, letters)).csv(path)
 
 
-def read_sheet_export(spark: SparkSession, path: str, schema: T.StructType | None = None, excel_dates: Sequence[str] = ()) -> DataFrame:
+def read_sheet_export(spark: SparkSession, path: str, schema: T.StructType | None = None, excel_dates: Sequence[str] = (), line_breaks: bool = True) -> DataFrame:
     """A spreadsheet sheet saved as CSV or Parquet; day numbers become dates."""
     if path.endswith(".parquet"):
         df = spark.read.parquet(path)
     else:
-        df = _csv(spark).schema(schema).csv(path) if schema else read_text_csv(spark, path)
+        df = _csv(spark, line_breaks).schema(schema).csv(path) if schema else read_text_csv(spark, path, line_breaks)
     return df.withColumns({c: excel_date(F.col(c)) for c in excel_dates})
 
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.dates import as_time_text, parse_dt
 from .readers import list_csv, read_text_csv
 
 DAY, TIME = "yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss"
@@ -37,15 +38,49 @@ def write_import_csv(df: DataFrame, path: str, dates: Sequence[str] = (), timest
     out.write.options(header=True, nullValue="", emptyValue="", quote='"', escape='"', quoteAll=False, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
 
 
-def unquote_rewrite(spark: SparkSession, source: str, target: str, files: Sequence[str] | None = None) -> None:
-    """Rewrite the CSV files of a folder with minimal quoting into a new folder."""
+def _new_folder(source: str, target: str) -> str:
     if source.rstrip("/") == target.rstrip("/"):
         raise ValueError("the target must be a new folder")
-    for name, file in list_csv(spark, source).items():
-        if files is None or name in files:
-            write_import_csv(read_text_csv(spark, file), f"{target.rstrip('/')}/{name}.csv")
+    return target.rstrip("/")
 
 
+def unquote_rewrite(spark: SparkSession, source: str, target: str, files: Sequence[str] | None = None, unbroken: Collection[str] = ()) -> None:
+    """Rewrite the CSV files of a folder with minimal quoting into a new folder.
+
+    Tables named in ``unbroken`` hold no line breaks inside texts and are read in
+    parallel splits. With ``files`` only those are rewritten, and the folder is not listed.
+    """
+    target = _new_folder(source, target)
+    for name, file in list_csv(spark, source, files).items():
+        write_import_csv(read_text_csv(spark, file, name not in unbroken), f"{target}/{name}.csv")
+
+
+def logical_columns(df: DataFrame) -> list[str]:
+    """Text columns that hold nothing but true and false."""
+    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+    found = df.agg(*[F.bool_and(F.col(f"`{c}`").isin(*TRUE, *FALSE)).alias(c) for c in texts]).head() if texts else None
+    return [c for c in texts if found[c]]
+
+
+def repair_extract(
+    spark: SparkSession, source: str, target: str, files: Sequence[str] | None = None, repaired: Collection[str] | None = None,
+    stamps: Sequence[str] = ("DateCreated", "DateUpdated"), unbroken: Collection[str] = (),
+) -> None:
+    """Rewrite the extract's files without needless quotes; in the ``repaired`` ones also
+    write ``stamps`` as time text and true and false as 1 and 0."""
+    target = _new_folder(source, target)
+    repaired = REPAIRED_FILES if repaired is None else repaired
+    for name, file in list_csv(spark, source, UNQUOTED_FILES if files is None else files).items():
+        df = read_text_csv(spark, file, name not in unbroken)
+        if name in repaired:
+            df = df.withColumns({c: F.when(F.col(f"`{c}`").isin(*TRUE), "1").when(F.col(f"`{c}`").isin(*FALSE), "0") for c in logical_columns(df)})
+            df = df.withColumns({c: as_time_text(parse_dt(F.col(c))) for c in stamps if c in df.columns})
+        write_import_csv(df, f"{target}/{name}.csv")
+
+
+# Spellings of true and false in the extract.
+TRUE, FALSE = ("TRUE", "T", "true", "True"), ("FALSE", "F", "false", "False")
+
 # Files of the standard extract that are rewritten without needless quotes.
 UNQUOTED_FILES = (
     "Affiliation", "Assessment", "AssessmentQuestions", "AssessmentResults", "Client",
@@ -53,3 +88,9 @@ UNQUOTED_FILES = (
     "EnrollmentCoC", "Event", "Exit", "Export", "Funder", "HealthAndDV", "IncomeBenefits",
     "Inventory", "ProjectCoC", "Services", "User",
 )
+
+# Those of them whose stamps and logicals are repaired.
+REPAIRED_FILES = (
+    "Client", "CurrentLivingSituation", "Disabilities", "EmploymentEducation", "Enrollment",
+    "EnrollmentCoC", "Exit", "HealthAndDV", "IncomeBenefits", "Services",
+)
