@@ -156,6 +156,7 @@ def on_slices(column: str, work: Callable[[pa.RecordBatch], pa.RecordBatch]):
         for batch in batches:
             for part in slices(batch, column):
                 yield work(part)
+        pa.default_memory_pool().release_unused()  # the worker lives on for other stages
 
     return run
 
