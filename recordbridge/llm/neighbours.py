@@ -1,14 +1,15 @@
 """Approximate nearest neighbours by inner product: a robust-pruned directed graph for each shard.
 
-Equal vectors are indexed once with their smallest ids, as many as an answer can hold. Shards are cut
-by a hash of the vector and hold about ``shard_rows`` each, whatever the size of the table; one task
-builds one shard's graph. Points are inserted in batches: a greedy search of the graph so far proposes
+Equal vectors are indexed once with their smallest ids, as many as an answer can hold. Each length of
+vectors has shards of its own, cut by a hash of the vector; they hold about ``shard_rows`` each,
+whatever the size of the table, and one task builds one shard's graph. Points are inserted in batches: a greedy search of the graph so far proposes
 neighbours, the relaxed rule (a candidate goes if a kept neighbour is ``alpha`` times nearer to it
 than the point is) keeps few and diverse ones, and edges back are pruned alike. Inner products become
 distances on a sphere by one further coordinate.
 
-Queries meet every shard: blocks of queries against shards, a beam search each; the answers of all
-shards are merged by a ranking that is cut before it is shuffled.
+Queries meet every shard of their length: blocks of queries against shards, a beam search each; the answers of all
+shards are merged by a ranking that is cut before it is shuffled. Graphs work on single precision after
+scaling by a power of two, scores on the vectors as they are in the table.
 """
 
 from __future__ import annotations
@@ -120,12 +121,23 @@ def build_graph(vectors: np.ndarray, settings: Settings) -> tuple[np.ndarray, in
 
 
 def _usable(df: DataFrame, key: str, vector: str) -> DataFrame:
-    """(id, vector) of the distinct rows that take part: not null, not zero, finite, of the largest length."""
-    rows = df.select(F.col(key).cast("bigint").alias("id"), F.col(vector).cast("array<float>").alias("vector"))
+    """(id, vector, width) of the distinct rows that take part: not null, not zero, finite. Floats stay floats, all else is double."""
+    kind = "array<float>" if df.schema[vector].dataType.simpleString() == "array<float>" else "array<double>"
+    rows = df.select(F.col(key).cast("bigint").alias("id"), F.col(vector).cast(kind).alias("vector"))
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = rows.where(F.col("id").isNotNull() & finite & F.exists("vector", lambda x: x != 0))
-    size = rows.agg(F.max(F.size("vector"))).head()[0]
-    return rows.where(F.size("vector") == (size or 0)).distinct()
+    return rows.distinct().withColumn("width", F.size("vector"))
+
+
+def _matrix(cells: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    """Vectors of one length as rows, in their own precision."""
+    cells = cells.combine_chunks() if isinstance(cells, pa.ChunkedArray) else cells
+    return cells.flatten().to_numpy(zero_copy_only=False).reshape(len(cells), -1)
+
+
+def _scaled(vectors: np.ndarray, axis: int | None = None) -> np.ndarray:
+    """Single precision, with the largest entry (of all, or of each row) brought under 1 by a power of two."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=axis, keepdims=True))[1]).astype(np.float32)
 
 
 def build(df: DataFrame, key: str, vector: str, k: int, settings: Settings = Settings()) -> DataFrame:
@@ -134,54 +146,53 @@ def build(df: DataFrame, key: str, vector: str, k: int, settings: Settings = Set
     Written to the shared folder. An empty table gives an empty index.
     """
     ranked = _usable(df, key, vector).withColumn("nth", F.row_number().over(Window.partitionBy("vector").orderBy("id"))).where(F.col("nth") <= k + 1)
-    distinct = materialise(ranked.groupBy("vector").agg(F.array_sort(F.collect_list("id")).alias("ids")), "vectors")
-    shards = -(-distinct.count() // settings.shard_rows) or 1
-    placed = distinct.withColumn("shard", F.pmod(F.xxhash64("vector"), F.lit(shards)).cast("int"))
+    distinct = materialise(ranked.groupBy("vector", "width").agg(F.array_sort(F.collect_list("id")).alias("ids")), "vectors")
+    # Few rows: a table of n lengths has n * n / 2 numbers at least.
+    shards = distinct.groupBy("width").agg(F.ceil(F.count("*") / settings.shard_rows).alias("shards"))
+    placed = distinct.join(F.broadcast(shards), "width").withColumn("shard", F.pmod(F.xxhash64("vector"), "shards").cast("int"))
 
     def made(table: pa.Table) -> pa.Table:
-        cells = table.column("vector").combine_chunks()
-        vectors = cells.flatten().to_numpy(zero_copy_only=False).reshape(len(cells), -1).astype(np.float32)
-        graph, entry = build_graph(vectors, settings)
-        return pa.table({"shard": table.column("shard")[:1], "entry": pa.array([entry], pa.int32()), "width": pa.array([vectors.shape[1]], pa.int32()), "vectors": pa.array([vectors.tobytes()], pa.binary()), "graph": pa.array([graph.astype(np.int32).tobytes()], pa.binary()), "ids": pa.array([table.column("ids").to_pylist()], pa.list_(pa.list_(pa.int64())))})
+        vectors = _matrix(table.column("vector"))
+        graph, entry = build_graph(_scaled(vectors), settings)
+        return pa.table({"shard": table.column("shard")[:1], "entry": pa.array([entry], pa.int32()), "width": pa.array([vectors.shape[1]], pa.int32()), "kind": pa.array([vectors.dtype.str]), "vectors": pa.array([vectors.tobytes()], pa.binary()), "graph": pa.array([graph.astype(np.int32).tobytes()], pa.binary()), "ids": pa.array([table.column("ids").to_pylist()], pa.list_(pa.list_(pa.int64())))})
 
-    index = placed.groupBy("shard").applyInArrow(made, "shard int, entry int, width int, vectors binary, graph binary, ids array<array<bigint>>")
+    index = placed.groupBy("width", "shard").applyInArrow(made, "shard int, entry int, width int, kind string, vectors binary, graph binary, ids array<array<bigint>>")
     return materialise(index, "graph-index")
 
 
 def search(index: DataFrame, queries: DataFrame, key: str, vector: str, k: int, settings: Settings = Settings()) -> DataFrame:
     """(query_id, rank, vec_id, score): for each usable query its ``k`` nearest found, its own id apart.
 
-    Scores are inner products in double precision; ties go to the smaller id. A query id that occurs
+    Scores are inner products in double precision; ties go to the smaller id. A query meets the vectors
+    of its own length, others have no inner product with it. A query id that occurs
     with several vectors is answered for each, and the best answers are kept.
     """
     asked = _usable(queries, key, vector)
-    blocks, shards = -(-asked.count() // settings.block_rows) or 1, index.agg(F.max("shard")).head()[0]
-    shards = 0 if shards is None else shards + 1
+    blocks = -(-asked.count() // settings.block_rows) or 1
+    shards = index.groupBy("width").agg(F.max("shard").alias("last"))
     left = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    right = asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(max(shards - 1, 0)))))
+    right = asked.join(F.broadcast(shards), "width").withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).withColumn("shard", F.explode(F.sequence(F.lit(0), "last")))
 
     def answer(shard: pa.Table, asked: pa.Table) -> pa.Table:
         out = {"query_id": [], "vec_id": [], "score": []}
         if shard.num_rows and asked.num_rows:
             row = shard.slice(0, 1).to_pylist()[0]
-            vectors = np.frombuffer(row["vectors"], np.float32).reshape(-1, row["width"])
+            vectors = np.frombuffer(row["vectors"], row["kind"]).reshape(-1, row["width"])
+            points = _scaled(vectors)
             graph = np.frombuffer(row["graph"], np.int32).reshape(len(vectors), -1)
-            cells = asked.column("vector").combine_chunks()
-            wanted = cells.flatten().to_numpy(zero_copy_only=False).reshape(len(cells), -1).astype(np.float32)
-            if wanted.shape[1] == row["width"]:
-                own = asked.column("id").to_numpy()
-                for at in range(0, len(wanted), settings.batch):
-                    some = wanted[at : at + settings.batch]
-                    found, _ = _search(vectors, graph, row["entry"], some, max(settings.beam, k))
-                    exact = np.einsum("qnd,qd->qn", vectors[found].astype(np.float64), some.astype(np.float64))
-                    for me, ids, scores in zip(own[at : at + settings.batch].tolist(), found.tolist(), exact.tolist()):
-                        near = sorted((-s, i) for v, s in zip(ids, scores) if v >= 0 for i in row["ids"][v] if i != me)[:k]
-                        out["query_id"] += [me] * len(near)
-                        out["vec_id"] += [i for _, i in near]
-                        out["score"] += [-s for s, _ in near]
+            wanted, own = _matrix(asked.column("vector")), asked.column("id").to_numpy()
+            for at in range(0, len(wanted), settings.batch):
+                some = wanted[at : at + settings.batch]
+                found, _ = _search(points, graph, row["entry"], _scaled(some, 1), max(settings.beam, k))
+                exact = np.einsum("qnd,qd->qn", vectors[found].astype(np.float64), some.astype(np.float64))
+                for me, ids, scores in zip(own[at : at + settings.batch].tolist(), found.tolist(), exact.tolist()):
+                    near = sorted((-s, i) for v, s in zip(ids, scores) if v >= 0 for i in row["ids"][v] if i != me)[:k]
+                    out["query_id"] += [me] * len(near)
+                    out["vec_id"] += [i for _, i in near]
+                    out["score"] += [-s for s, _ in near]
         return pa.table({"query_id": pa.array(out["query_id"], pa.int64()), "vec_id": pa.array(out["vec_id"], pa.int64()), "score": pa.array(out["score"], pa.float64())})
 
-    found = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInArrow(answer, "query_id bigint, vec_id bigint, score double")
+    found = left.groupBy("width", "shard", "block").cogroup(right.groupBy("width", "shard", "block")).applyInArrow(answer, "query_id bigint, vec_id bigint, score double")
     best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

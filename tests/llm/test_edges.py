@@ -124,3 +124,11 @@ def test_neighbours(spark):
     assert got == [(6, 1, 13, 41.0), (6, 2, 20, 41.0), (6, 3, 27, 41.0), (20, 1, 6, 41.0), (20, 2, 13, 41.0), (20, 3, 27, 41.0)]
     none = df.where("false")
     assert neighbours.search(neighbours.build(none, "vec_id", "embedding", 3), none, "vec_id", "embedding", 3).count() == 0
+
+
+def test_neighbours_of_every_length_and_precision(spark):
+    rows = [(i, [float(i), 1.0]) for i in range(1, 5)] + [(10, [1.0, 0.0, 0.1]), (11, [2.0, 0.0, 0.1]), (12, [1e300, 0.0, 0.0, 0.0, 0.0]), (13, [1.0, 0.1, 0.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id int, embedding array<double>")
+    out = neighbours.search(neighbours.build(df, "vec_id", "embedding", 2), df.where("vec_id IN (1, 10, 13)"), "vec_id", "embedding", 2)
+    got = [tuple(r) for r in out.orderBy("query_id", "rank").collect()]
+    assert got == [(1, 1, 4, 5.0), (1, 2, 3, 4.0), (10, 1, 11, 2.0 + 0.1 * 0.1), (13, 1, 12, 1e300)]
