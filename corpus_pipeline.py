@@ -22,15 +22,19 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: the one of the smallest id, and of its rows the first by text.
+    """One row of each near-duplicate group: that of the smallest id (nulls last), and of its rows the first by text hash.
 
-    Texts without words are in no group and stay, a row repeated under one id once.
+    Rows are judged one by one: different texts that share an id, or have none, stay. Texts without
+    words are in no group, and all their rows stay.
     """
-    linked = jaccard.link(docs, "doc_id", "text")
-    kept = linked.where(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("__id")).distinct()
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text"))
-    return rows.withColumn("__nth", first).where("__nth = 1").select(docs.columns)
+    wordy = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    # Null ids as two columns without nulls, so that the join and the numbering are dealt alike.
+    place = {"__none": F.col("doc_id").isNull(), "__id": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0).cast("bigint"))}
+    kept = jaccard.firsts(docs, "doc_id", "text").withColumns(place).withColumnRenamed("text_hash", "__hash").select(*place, "__hash")
+    rows = docs.where(wordy).withColumns(place | {"__hash": F.xxhash64("text")}).join(kept, [*place, "__hash"], "left_semi")
+    first = F.row_number().over(Window.partitionBy(*place, "__hash").orderBy("text"))
+    alone = rows.withColumn("__nth", first).where("__nth = 1").select(docs.columns)
+    return alone.unionByName(docs.where(~wordy))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -89,7 +89,7 @@ def frequent(df: DataFrame, text: str, words: int) -> np.ndarray:
 
 
 def _nodes(df: DataFrame, key: str, text: str, settings: Settings) -> DataFrame:
-    """(id, row, n, h1, h2, prefix, point) of every row, written to the shared folder."""
+    """(id, text_hash, row, n, h1, h2, prefix, point) of every row, written to the shared folder."""
     hot = df.sparkSession.sparkContext.broadcast(np.packbits(frequent(df, text, settings.words)))
 
     def work(batches):
@@ -109,13 +109,13 @@ def _nodes(df: DataFrame, key: str, text: str, settings: Settings) -> DataFrame:
                     dims = int(_dims(n))
                     points.append(_packed(np.bincount((own & U(dims - 1)).astype(np.int64), minlength=dims)))
                 yield pa.record_batch({
-                    "id": part.column(key), "row": pa.array(np.arange(row, row + part.num_rows)), "n": pa.array(sizes, pa.int32()),
+                    "id": part.column(key), "text_hash": part.column("__hash"), "row": pa.array(np.arange(row, row + part.num_rows)), "n": pa.array(sizes, pa.int32()),
                     "h1": pa.array([a for a, _ in prints], pa.int64()), "h2": pa.array([b for _, b in prints], pa.int64()),
                     "prefix": pa.array(prefixes, pa.list_(pa.int64())), "point": pa.array(points, pa.binary()),
                 })
                 row += part.num_rows
 
-    made = df.select(F.col(key).cast("bigint").alias(key), text).mapInArrow(work, "id bigint, row bigint, n int, h1 bigint, h2 bigint, prefix array<bigint>, point binary")
+    made = df.select(F.col(key).cast("bigint").alias(key), text, F.xxhash64(text).alias("__hash")).mapInArrow(work, "id bigint, text_hash bigint, row bigint, n int, h1 bigint, h2 bigint, prefix array<bigint>, point binary")
     return materialise(made, "shingle-sets")
 
 
@@ -297,16 +297,11 @@ def _cells(lists: DataFrame, nodes: DataFrame, labels: DataFrame, settings: Sett
     return held.groupBy("token", "cell", "i", "j").applyInArrow(join, "a bigint, b bigint").distinct()
 
 
-def link(df: DataFrame, key: str, text: str, settings: Settings = Settings()) -> DataFrame:
-    """(key, n_shingles, component_id) of every row: set size, and the smallest id reachable by links.
-
-    A null, empty or wordless text has an empty set and is linked with nothing: its component is its
-    own id. Rows with equal sets are linked, whatever their ids; a null id never is the smallest
-    unless the component has no other. Ids should be integers.
-    """
+def _labelled(df: DataFrame, key: str, text: str, settings: Settings) -> DataFrame:
+    """(id, text_hash, row, n, class, label) of every row; rows of one component share a label, wordless ones have none."""
     nodes = _nodes(df, key, text, settings)
     classes = materialise(nodes.where("n > 0").groupBy("h1", "h2").agg(F.min("row").alias("class"), F.count("*").alias("c")), "classes")
-    own = nodes.select("id", "row", "n", "h1", "h2").join(classes.select("h1", "h2", "class"), ["h1", "h2"], "left").select("id", "row", "n", "class")
+    own = nodes.select("id", "text_hash", "row", "n", "h1", "h2").join(classes.select("h1", "h2", "class"), ["h1", "h2"], "left").select("id", "text_hash", "row", "n", "class")
     own = materialise(own, "class-members")
     repeats = own.where("row <> class").select("row")
     repeats = F.broadcast(repeats) if repeats.count() <= settings.small else repeats
@@ -319,7 +314,28 @@ def link(df: DataFrame, key: str, text: str, settings: Settings = Settings()) ->
     second = _cells(lists, kept, labels, settings).join(checked, ["a", "b"], "left_anti")
     more = _verified(second, nodes, df, key, text, settings)
     labels = components(first.unionByName(more))
-    marked = own.join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn("label", F.coalesce("label", "class"))
+    return own.join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn("label", F.coalesce("label", "class"))
+
+
+def link(df: DataFrame, key: str, text: str, settings: Settings = Settings()) -> DataFrame:
+    """(key, n_shingles, component_id) of every row: set size, and the smallest id reachable by links.
+
+    A null, empty or wordless text has an empty set and is linked with nothing: its component is its
+    own id. Rows with equal sets are linked, whatever their ids; a null id never is the smallest
+    unless the component has no other. Ids should be integers.
+    """
+    marked = _labelled(df, key, text, settings)
     smallest = marked.where("label IS NOT NULL").groupBy("label").agg(F.min("id").alias("least"))
     out = marked.join(smallest, "label", "left")
     return out.select(F.col("id").alias(key), F.col("n").cast("bigint").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("id")).alias("component_id"))
+
+
+def firsts(df: DataFrame, key: str, text: str, settings: Settings = Settings()) -> DataFrame:
+    """(key, text_hash): for each component the id and the ``xxhash64`` of the text of its first row.
+
+    The first row has the smallest id, nulls last, and of its texts the one of the smallest hash.
+    Wordless texts are in no component.
+    """
+    order = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("text_hash").alias("text_hash"))
+    best = _labelled(df, key, text, settings).where("label IS NOT NULL").groupBy("label").agg(F.min(order).alias("first"))
+    return best.select(F.col("first.id").alias(key), "first.text_hash")
