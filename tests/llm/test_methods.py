@@ -167,6 +167,27 @@ def test_a_list_that_begins_with_a_shorter_part_loses_nothing(spark):
     assert {r.doc_id for r in got} == {2, 3, 4, 5}
 
 
+def test_chains_of_exact_repeats_lose_nothing(spark):
+    rng = random.Random(5)
+    rest = lambda: [f"r{rng.random()}" for _ in range(rng.randint(30, 60))]
+    rows, want = [], set()
+    for i in range(0, 120, 3):
+        passage = [f"p{rng.random()}" for _ in range(62)]
+        if i % 2:  # the first document has a common part twice, the second place being the whole one
+            passage[30:33] = passage[20:23]
+        heads = [rest() for _ in range(3)]
+        parts = [passage[:60], passage, passage[12:]]
+        rows += [(i + j, " ".join(heads[j] + parts[j] + rest())) for j in range(3)]
+        want.add((i + 2, len(heads[2]), 50, i + 1, len(heads[1]) + 12, True))
+    # The repeat stands in the first document behind a part of it.
+    whole = [f"q{rng.random()}" for _ in range(50)]
+    firsts, seconds = rest(), rest()
+    rows += [(1000, " ".join(firsts + whole[5:] + ["x"] + whole + rest())), (1001, " ".join(seconds + whole + rest()))]
+    got = {tuple(r) for r in passages.find(spark.createDataFrame(rows, "doc_id int, text string"), "doc_id", "text").collect()}
+    assert want <= got
+    assert any(r[0] == 1001 and r[3] == 1000 and r[1] <= len(seconds) and r[1] + r[2] >= len(seconds) + 50 for r in got)
+
+
 def test_surrogates(spark):
     rows = [
         (1, "Mr. John Smith, Mrs. Anna Smith, Dr Smith and г-н Иванов: +49 (123) 555-1234, 4111 1111 1111 1111, 4111111111111112"),
