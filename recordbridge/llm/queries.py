@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, hmm, jaccard, neighbours, passages, pii, quality, tokencounts, urlrules
+from . import alignment, bpe, decontaminate, hmm, jaccard, neighbours, passages, pii, quality, tokencounts, urlrules
 from .registry import ORACLE, QUERIES, query, table  # noqa: F401
 
 
@@ -89,3 +89,9 @@ def op4(spark, folder):
 @query("op3_passages")
 def op3(spark, folder):
     return passages.find(table(spark, folder, "documents"), "doc_id", "text")
+
+
+@query("op13_alignment")
+def op13(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return alignment.digests(docs, "text", public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
