@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import alignment, bpe, decontaminate, hmm, jaccard, neighbours, passages, pii, quality, tokencounts, urlrules
+from . import alignment, bitslices, bpe, decontaminate, hmm, hyperplanes, jaccard, neighbours, passages, pii, quality, tokencounts, urlrules
 from .registry import ORACLE, QUERIES, query, table  # noqa: F401
 
 
@@ -95,3 +95,33 @@ def op3(spark, folder):
 def op13(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return alignment.digests(docs, "text", public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+VECTORS_SQL = """SELECT DISTINCT vec_id, {label}list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS z FROM embeddings
+     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0"""
+
+
+@query("op11_bit_sliced", f"""
+WITH v AS ({VECTORS_SQL.format(label="")}),
+     s AS (SELECT q.vec_id AS query_id, c.vec_id, max(CAST(list_dot_product(q.z, c.z) AS BIGINT)) AS score
+           FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.z) = len(c.z) GROUP BY ALL)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5""")
+def op11(spark, folder):
+    rows = table(spark, folder, "embeddings")
+    return bitslices.search(bitslices.build(rows, "vec_id", "embedding"), rows.where("vec_id % 50 = 0"), "vec_id", "embedding", 5)
+
+
+@query("op12_hard_negatives", f"""
+WITH v AS ({VECTORS_SQL.format(label="CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, ")} AND label IS NOT NULL),
+     s AS (SELECT a.vec_id AS anchor_id, c.vec_id AS other, a.label = c.label AS same, CAST(list_dot_product(a.z, c.z) AS BIGINT) AS score
+           FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id AND len(a.z) = len(c.z)),
+     p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+           QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5),
+     n AS (SELECT p.*, s.other AS negative_id, s.score AS negative_score, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.other) AS rank
+           FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10""")
+def op12(spark, folder):
+    turned = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, folder, "embeddings").withColumn("label", turned)
+    return hyperplanes.mine(rows, "vec_id", "label", "embedding", F.col("id") % 100 == 0)
