@@ -97,8 +97,8 @@ def op13(spark, folder):
     return alignment.digests(docs, "text", public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
-VECTORS_SQL = """SELECT DISTINCT vec_id, {label}list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS z FROM embeddings
-     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0"""
+VECTORS_SQL = """SELECT DISTINCT vec_id, {label}[floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS z FROM embeddings
+     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0"""
 
 
 @query("op11_bit_sliced", f"""
