@@ -12,6 +12,7 @@ from ..functions.codes import round_even
 from ..functions.dates import days_between
 from ..functions.text import strip_stopwords
 from ..session import materialise
+from .approximate import PREFIX_LENGTH, distance_limit, unmatched_substrings
 from .groups import count_by, surrogate_id
 from .joins import anti_exclude, ns_join
 
@@ -119,25 +120,19 @@ def amount_reconcile(left: DataFrame, right: DataFrame, extra: DataFrame, key: s
     return off.where(F.col("Amt_diff") > off.agg(F.avg("Amt_diff")).scalar())
 
 
-PREFIX_LENGTH = 30  # letters by which two texts are compared, unless told otherwise
+def fuzzy_prefix(a: DataFrame, b: DataFrame, key: str, text: str, length: int = PREFIX_LENGTH, whole: bool = False) -> DataFrame:
+    """Distinct (key, prefix) rows of ``a`` that no prefix under the same key in ``b`` approximately holds.
 
-
-def distance_limit(text: Column) -> Column:
-    """Edits allowed when two prefixes are compared: a tenth of the length, rounded up."""
-    return F.ceil(F.char_length(text) / F.lit(10.0)).cast("int")
-
-
-def fuzzy_prefix(a: DataFrame, b: DataFrame, key: str, text: str, length: int = PREFIX_LENGTH) -> DataFrame:
-    """Distinct (key, prefix) rows of ``a`` with no similar prefix under the same key in ``b``.
-
-    The texts are read once: their distinct prefixes are written and compared from there.
+    Holds means anywhere inside, within ``distance_limit`` edits; with ``whole`` both prefixes
+    are compared as wholes instead. The texts are read once: their distinct prefixes are written and
+    compared from there.
     """
     def prefixes(df: DataFrame, side: int) -> DataFrame:
         return df.select(key, F.substring(F.col(text), 1, length).alias("prefix"), F.lit(side).alias("side")).distinct()
 
     stored = materialise(prefixes(a, 1).unionByName(prefixes(b, 2)), "prefixes").where(F.col("prefix").isNotNull())
     left, right = (stored.where(F.col("side") == side).select(key, "prefix") for side in (1, 2))
-    return unmatched_prefixes(left, right, key, length)
+    return unmatched_prefixes(left, right, key, length) if whole else unmatched_substrings(left, right, key)
 
 
 def unmatched_prefixes(left: DataFrame, right: DataFrame, key: str, length: int = PREFIX_LENGTH) -> DataFrame:
@@ -204,9 +199,9 @@ def unmatched_prefixes(left: DataFrame, right: DataFrame, key: str, length: int
 def text_reconcile(a: DataFrame, b: DataFrame, key: str, text: str, length: int = PREFIX_LENGTH) -> DataFrame:
     """Cleaned notes that one side has and the other has not, per person and side.
 
-    ``side`` says who has the note; ``similar`` is 1 where the other side's missing
-    notes hold one whose first ``length`` letters are about the same as this note's, of
-    which words ending in "com" are left out first. The texts are cleaned and compared
+    ``side`` says who has the note; ``similar`` is 1 where the first ``length`` letters of
+    this note, words ending in "com" left out before, are found approximately anywhere in the first
+    ``length`` letters of one of the other side's missing notes. The texts are cleaned and compared
     in one pass; the one-sided notes are written once with both their prefixes, from
     which the comparison works, and are read whole only for the result.
     """
@@ -222,7 +217,7 @@ def text_reconcile(a: DataFrame, b: DataFrame, key: str, text: str, length: int
 
     def alone(side: int) -> DataFrame:
         mine, theirs = starts.where(F.col("lo") == side), starts.where(F.col("lo") != side)
-        found = unmatched_prefixes(mine.select(key, "prefix").distinct(), theirs.select(key, F.col("start").alias("prefix")).distinct(), key, length)
+        found = unmatched_substrings(mine.select(key, "prefix").distinct(), theirs.select(key, F.col("start").alias("prefix")).distinct(), key)
         return found.withColumn("lo", F.lit(side))
 
     lonely = alone(1).unionByName(alone(2)).withColumn("alone", F.lit(True))

@@ -98,20 +98,34 @@ HALVES_SQL = f"""a AS (SELECT doc_id, source, lang, {CLEAN_SQL.format('text')} A
  b AS (SELECT doc_id, source, lang, {CLEAN_SQL.format('text')} AS note FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels))"""
 
 
+#: Pattern p (n letters, d edits) in text o: the fewest edits to any of its substrings. Spots and lengths of substrings as a table.
+INSIDE_SQL = """SELECT 1 FROM {other} o, range(1, 32) s(i), range(0, 34) l(m) WHERE o.{key} = {own}.{key} AND i <= length(o.{text}) + 1 AND i + m <= length(o.{text}) + 1
+  AND abs(m - length({own}.{pattern})) <= ceil(length({own}.{pattern}) / 10.0) AND levenshtein({own}.{pattern}, substr(o.{text}, i, m)) <= ceil(length({own}.{pattern}) / 10.0)"""
+
+
 @query("fuzzy_prefix", f"""
 WITH {HALVES_SQL}, pa AS (SELECT DISTINCT lang, substr(note, 1, 30) AS prefix FROM a), pb AS (SELECT DISTINCT lang, substr(note, 1, 30) AS prefix FROM b)
-SELECT lang, prefix FROM pa WHERE NOT EXISTS (SELECT 1 FROM pb WHERE pb.lang = pa.lang AND levenshtein(pa.prefix, pb.prefix) <= ceil(length(pa.prefix) / 10.0))""")
+SELECT lang, prefix FROM pa WHERE NOT EXISTS ({INSIDE_SQL.format(other="pb", own="pa", key="lang", text="prefix", pattern="prefix")})""")
 def fuzzy_prefix(t: Tables):
     a, b = (half.select("lang", strip_stopwords(F.col("text")).alias("note")) for half in halves(t))
     return reconcile.fuzzy_prefix(a, b, "lang", "note")
 
 
+@query("fuzzy_whole_prefix", f"""
+WITH {HALVES_SQL}, pa AS (SELECT DISTINCT lang, substr(note, 1, 30) AS prefix FROM a), pb AS (SELECT DISTINCT lang, substr(note, 1, 30) AS prefix FROM b)
+SELECT lang, prefix FROM pa WHERE NOT EXISTS (SELECT 1 FROM pb WHERE pb.lang = pa.lang AND levenshtein(pa.prefix, pb.prefix) <= ceil(length(pa.prefix) / 10.0))""")
+def fuzzy_whole_prefix(t: Tables):
+    a, b = (half.select("lang", strip_stopwords(F.col("text")).alias("note")) for half in halves(t))
+    return reconcile.fuzzy_prefix(a, b, "lang", "note", whole=True)
+
+
 @query("text_reconcile", f"""
 WITH {HALVES_SQL}, da AS (SELECT DISTINCT source, note FROM a), db AS (SELECT DISTINCT source, note FROM b),
  oa AS (SELECT *, substr(regexp_replace(note, '[A-Za-z0-9]*com', '', 'g'), 1, 30) AS p FROM (SELECT * FROM da EXCEPT SELECT * FROM db)),
- ob AS (SELECT *, substr(regexp_replace(note, '[A-Za-z0-9]*com', '', 'g'), 1, 30) AS p FROM (SELECT * FROM db EXCEPT SELECT * FROM da))
-SELECT source, note, 'left' AS side, CASE WHEN EXISTS (SELECT 1 FROM ob WHERE ob.source = oa.source AND levenshtein(oa.p, substr(ob.note, 1, 30)) <= ceil(length(oa.p) / 10.0)) THEN 1 ELSE 0 END AS similar FROM oa
-UNION ALL SELECT source, note, 'right', CASE WHEN EXISTS (SELECT 1 FROM oa WHERE ob.source = oa.source AND levenshtein(substr(oa.note, 1, 30), ob.p) <= ceil(length(ob.p) / 10.0)) THEN 1 ELSE 0 END FROM ob""".replace(" AS similar", ' AS "similar"'))
+ ob AS (SELECT *, substr(regexp_replace(note, '[A-Za-z0-9]*com', '', 'g'), 1, 30) AS p FROM (SELECT * FROM db EXCEPT SELECT * FROM da)),
+ sa AS (SELECT DISTINCT source, substr(note, 1, 30) AS start FROM oa), sb AS (SELECT DISTINCT source, substr(note, 1, 30) AS start FROM ob)
+SELECT source, note, 'left' AS side, CASE WHEN EXISTS ({INSIDE_SQL.format(other="sb", own="oa", key="source", text="start", pattern="p")}) THEN 1 ELSE 0 END AS similar FROM oa
+UNION ALL SELECT source, note, 'right', CASE WHEN EXISTS ({INSIDE_SQL.format(other="sa", own="ob", key="source", text="start", pattern="p")}) THEN 1 ELSE 0 END FROM ob""".replace(" AS similar", ' AS "similar"'))
 def text_reconcile(t: Tables):
     a, b = halves(t)
     return reconcile.text_reconcile(a, b, "source", "text")

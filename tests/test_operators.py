@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from recordbridge.functions import codes, dates, text
-from recordbridge.operators import groups, joins, reconcile, reshape, shape, translate
+from recordbridge.operators import approximate, groups, joins, reconcile, reshape, shape, translate
 
 DAY = dt.date
 
@@ -170,11 +170,40 @@ def test_fuzzy_prefix_is_exact(make, rows):
 
     a = [(rnd.choice([1, 2, None]), s) for s in base]
     b = [(rnd.choice([1, 2, None]), altered(s)) for s in base for _ in range(2)]
-    want = sorted(
-        {(k, s[:30]) for k, s in a if not any(q == k and edits(s[:30], t[:30]) <= -(-len(s[:30]) // 10) for q, t in b)}, key=repr
-    )
-    out = reconcile.fuzzy_prefix(make("k int, t string", *a), make("k int, t string", *b), "k", "t")
-    assert rows(out) == want and 0 < len(want) < len(set(a))
+    for whole, distance in ((True, edits), (False, edits_inside)):
+        want = sorted(
+            {(k, s[:30]) for k, s in a if not any(q == k and distance(s[:30], t[:30]) <= -(-len(s[:30]) // 10) for q, t in b)}, key=repr
+        )
+        out = reconcile.fuzzy_prefix(make("k int, t string", *a), make("k int, t string", *b), "k", "t", whole=whole)
+        assert rows(out) == want and 0 < len(want) < len(set(a))
+
+
+def edits_inside(pattern, text):
+    """Fewest edits between the pattern and any substring of the text."""
+    row = [0] * (len(text) + 1)
+    for i, x in enumerate(pattern, 1):
+        row, last = [i] + row[1:], row
+        for j, y in enumerate(text, 1):
+            row[j] = min(last[j] + 1, row[j - 1] + 1, last[j - 1] + (x != y))
+    return min(row)
+
+
+def test_substring_that_stands_later(make, rows):
+    a = make("k int, t string", (1, "asked for rent help"), (1, "never mentioned"), (2, "asked for rent help"), (None, "asked for rent help"), (1, ""), (3, "x"), (4, "x"))
+    b = make("k int, t string", (1, "today asked for rnt help again"), (2, "other words"), (None, "then asked for rent helq"), (3, ""))
+    assert rows(reconcile.fuzzy_prefix(a, b, "k", "t")) == [(1, "never mentioned"), (2, "asked for rent help"), (4, "x")]
+
+
+def test_a_common_piece_makes_no_pairs(spark):
+    """3,000 prefixes a side share 12 of 30 letters: pieces are taken from the other 18."""
+    i = F.col("id")
+    word = lambda seed: F.substring(F.translate(F.sha2(F.concat(i.cast("string"), F.lit(seed)), 256), "0123456789", "ghijklmnop"), 1, 9)
+    side = lambda seed: spark.range(3000).select(F.lit(1).alias("k"), F.concat(word(seed), F.lit("phone called"), word(seed + "2")).alias("prefix"))
+    sized = side("a").withColumns({"n": F.lit(30), "d": F.lit(3), "q": F.lit(5)})
+    met = approximate.candidates(sized, side("b").withColumnRenamed("prefix", "text"), "k", "prefix", "text").count()
+    assert met < 12_000  # of 9,000,000 pairs
+    assert approximate.unmatched_substrings(side("a"), side("b"), "k").count() == 3000
+    assert approximate.unmatched_substrings(side("a"), side("a").select("k", F.concat(F.lit("so "), "prefix").alias("prefix")), "k").count() == 0
 
 
 def test_text_reconcile(make, rows):
