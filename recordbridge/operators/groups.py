@@ -132,17 +132,46 @@ def with_group(df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column]) -
     return ns_join(df, group_profile(df, keys, aggs), list(keys), "left")
 
 
-def seq_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "n", slice_by: Column | None = None) -> DataFrame:
+def _places(df: DataFrame, order: Sequence[str], keep: Sequence[str], unique: bool) -> tuple[DataFrame, DataFrame]:
+    """``df`` written once with a mark (``__row``), and the places of the marks in a total order.
+
+    Places are (the columns ``keep``, ``__row``, ``__part``, ``__place``): sorted part, and place in it
+    from 0. The order is ended by all other columns, unless the given ones are ``unique``, and by the
+    mark, so that rows of one key at one moment spread over parts too. What is sorted again is never
+    the written table itself: only marks and ``keep`` are written behind the sort.
+    """
+    rest = [] if unique else [f.name for f in df.schema if f.name not in order and f.dataType.typeName() not in ("map", "variant")]
+    rows = materialise(df.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    ranked = rows.orderBy(*[F.col(f"`{c}`").asc_nulls_last() for c in [*order, *rest]], "__row")
+    at = F.monotonically_increasing_id().alias("__at")
+    stored = materialise(ranked.select(*[f"`{c}`" for c in keep], "__row", at), "places")
+    part, place = F.shiftright("__at", 33), F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+    return rows, stored.withColumns({"__part": part, "__place": place}).drop("__at")
+
+
+def seq_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "n", slice_by: Column | None = None, small: bool = False, unique: bool = False) -> DataFrame:
     """Number the rows of each group 1..n in an explicit order.
 
-    ``slice_by`` must never fall when the order rises (the day of the first order
-    column, say). Rows are then numbered inside a slice, and the sizes of earlier
-    slices added, so no task ever holds a whole group. Leave it out only for groups
-    known to be small, or where just the first few numbers are kept.
+    The rows are sorted by range over keys and order together, so a large group spreads over many
+    sorted parts, whatever its moments. A row's number is its place since its group began in its part,
+    and the rows of the group in earlier parts: a group has at most one summand a part. The order
+    is made total by all other columns unless keys and order are ``unique`` together.
+
+    ``slice_by`` saves the sort where it never falls when the order rises (the day of the first
+    order column, say) and no slice of a group is large: rows are numbered inside a slice, and
+    the sizes of earlier slices added. ``small`` numbers each group in one task; it is for groups known
+    to be small, or where just the first few numbers are kept.
     """
     ordering = [F.col(c).asc_nulls_last() for c in order]
-    if slice_by is None:
+    if small:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*ordering)))
+    if slice_by is None:
+        rows, places = _places(df, [*keys, *order], keys, unique)
+        parts = places.groupBy(*keys, "__part").agg(F.min("__place").alias("__first"), F.count(F.lit(1)).alias("__n"))
+        earlier = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+        added = parts.select(*keys, "__part", (F.coalesce(F.sum("__n").over(earlier), F.lit(0)) - F.col("__first") + 1).alias("__added"))
+        numbers = ns_join(places, added, [*keys, "__part"], "inner").select(F.col("__row").alias("__of"), (F.col("__place") + F.col("__added")).alias("__number"))
+        return rows.join(numbers, F.col("__row") == F.col("__of")).select(*[F.col(f"`{c}`") for c in df.columns if c != name], F.col("__number").alias(name))
     sliced = df.withColumn("__slice", slice_by)
     before = Window.partitionBy(*keys).orderBy(F.col("__slice").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
     sizes = sliced.groupBy(*keys, "__slice").agg(F.count(F.lit(1)).alias("__n"))
@@ -152,26 +181,17 @@ def seq_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], name:
     return numbered.withColumn(name, (F.col("__i") + F.col("__before")).cast("long")).drop("__slice", "__i", "__before")
 
 
-def surrogate_id(df: DataFrame, order: Sequence[str], name: str, start: int = 1) -> DataFrame:
+def surrogate_id(df: DataFrame, order: Sequence[str], name: str, start: int = 1, unique: bool = False) -> DataFrame:
     """Number all rows start..N in an explicit order, ended by all other columns to make it total.
 
-    The rows are written once, so that what made them does not run again when the range
-    sort takes its sample. The sort spreads the rows; each notes its place in its sorted
-    partition. The sorted table is written too, then the row counts of earlier partitions
-    (one number per partition) are added.
+    Each row is written once. The sort notes only where each row's mark came to stand; the row
+    counts of earlier sorted parts (one number a part) are added, and the numbers joined back. Where the
+    order columns are ``unique``, nothing else is sorted.
     """
-    total = [*order, *(f.name for f in df.schema if f.name not in order and f.dataType.typeName() not in ("map", "variant"))]
-    unsorted = materialise(df, "unsorted")
-    ranked = unsorted.orderBy(*[F.col(f"`{c}`").asc_nulls_last() for c in total]).withColumn("__at", F.monotonically_increasing_id())
-    stored = materialise(ranked, "ordered")
-    part, place = F.shiftright(F.col("__at"), 33), F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
-    sizes = stored.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
+    rows, places = _places(df, order, [], unique)
+    sizes = places.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     # One row per sort partition: bounded by the shuffle partition setting.
     offsets = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    return (
-        stored.withColumn("__part", part)
-        .join(F.broadcast(offsets), "__part")
-        .select((place + F.col("__before") + start).alias(name), *[F.col(f"`{c}`") for c in df.columns])
-    )
-
+    numbers = places.join(F.broadcast(offsets), "__part").select("__row", (F.col("__place") + F.col("__before") + start).alias("__number"))
+    return rows.join(numbers, "__row").select(F.col("__number").alias(name), *[F.col(f"`{c}`") for c in df.columns])

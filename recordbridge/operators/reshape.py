@@ -117,7 +117,7 @@ def spread_numbered(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str], n: int
 ) -> DataFrame:
     """The first ``n`` rows of a group side by side: ``<value>_1`` .. ``<value>_n``."""
-    numbered = seq_in_group(df, keys, order, "__i").where(F.col("__i") <= n)
+    numbered = seq_in_group(df, keys, order, "__i", small=True).where(F.col("__i") <= n)
     cells = [
         F.max(F.when(F.col("__i") == i, F.col(v))).alias(f"{v}_{i}") for v in values for i in range(1, n + 1)
     ]

@@ -34,7 +34,7 @@ def client_custom(
     out = wide.withColumns(days | codes).select(
         F.col("client_id").alias("PersonalID"), stamp_export_id(as_of).alias("ExportID"), *questions.values()
     )
-    return surrogate_id(out, ["PersonalID"], "ClientCustomID") if numbered else out
+    return surrogate_id(out, ["PersonalID"], "ClientCustomID", unique=True) if numbered else out
 
 
 def stray_answers(

@@ -137,9 +137,17 @@ def seq_in_group(t: Tables):
     return groups.seq_in_group(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], slice_by=month).drop("o_orderdate")
 
 
+@query("seq_in_large_group", """
+SELECT l_orderkey, l_linenumber, l_returnflag, row_number() OVER (PARTITION BY l_returnflag ORDER BY date_trunc('year', l_shipdate), l_orderkey, l_linenumber) AS n FROM lineitem""")
+def seq_in_large_group(t: Tables):
+    """Three groups, each with a heap of rows at one moment."""
+    lines = t.lineitem.select("l_returnflag", F.date_trunc("year", "l_shipdate").alias("year"), "l_orderkey", "l_linenumber")
+    return groups.seq_in_group(lines, ["l_returnflag"], ["year", "l_orderkey", "l_linenumber"], unique=True).drop("year")
+
+
 @query("surrogate_id", "SELECT row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS id, o_orderkey, o_custkey FROM orders")
 def surrogate_id(t: Tables):
-    return groups.surrogate_id(t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), ["o_orderdate", "o_orderkey"], "id").drop("o_orderdate")
+    return groups.surrogate_id(t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), ["o_orderdate", "o_orderkey"], "id", unique=True).drop("o_orderdate")
 
 
 @query("sort_rows", "SELECT p_partkey, nullif(p_brand, 'Brand#1') AS brand, p_name FROM part ORDER BY brand NULLS LAST, p_name, p_partkey")

@@ -73,7 +73,9 @@ def test_duplicates(make, rows):
 
 def test_sequence_with_and_without_slices(make, rows):
     df = make("k int, t int, v int", *[(i % 3 if i % 5 else None, i // 4, i) for i in range(60)])
-    plain = rows(groups.seq_in_group(df, ["k"], ["t", "v"]).select("k", "v", F.col("n").cast("int")))
+    plain = rows(groups.seq_in_group(df, ["k"], ["t", "v"], small=True).select("k", "v", F.col("n").cast("int")))
+    for unique in (False, True):
+        assert plain == rows(groups.seq_in_group(df, ["k"], ["t", "v"], unique=unique).select("k", "v", F.col("n").cast("int")))
     sliced = rows(groups.seq_in_group(df, ["k"], ["t", "v"], slice_by=F.floor(F.col("t") / 3)).select("k", "v", F.col("n").cast("int")))
     assert plain == sliced
 

@@ -90,6 +90,27 @@ def test_group_values_on_a_hot_key(skew, hot):
     assert got == {(80_000, 80_000), (1, 160_000)} and "skew=true" in text
 
 
+def test_numbers_of_a_hot_key_spread(spark, hot):
+    """80,000 of 240,000 rows under one key, 40,000 of them at one moment: no sorted part holds a third, all numbers are there."""
+    _, places = groups._places(hot, ["k", "at"], ["k"], False)
+    sizes = [r.n for r in places.where("k = -1").groupBy("__part").agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) > 2 and max(sizes) < 50_000
+    out = groups.seq_in_group(hot, ["k"], ["at"]).where("k = -1").agg(F.min("n"), F.max("n"), F.count_distinct("n"), F.count("*")).head()
+    assert tuple(out) == (1, 80_000, 80_000, 80_000)
+    low, high = (groups.seq_in_group(hot, ["k"], ["at"]).where("k = -1").agg(f(F.when(F.col("at") < 10**9, F.col("n")))).head()[0] for f in (F.min, F.max))
+    assert (low, high) == (1, 40_000)
+
+
+def test_ids_write_each_row_once(spark, hot, monkeypatch):
+    """Behind the sort only marks and places are written."""
+    written = []
+    keep = groups.materialise
+    monkeypatch.setattr(groups, "materialise", lambda df, label: (written.append(df.columns), keep(df, label))[1])
+    out = groups.surrogate_id(hot, ["at", "v"], "id")
+    assert written == [["k", "at", "v", "text", "__row"], ["__row", "__at"]]
+    assert out.agg(F.min("id"), F.max("id"), F.count_distinct("id")).head()[:3] == (1, 240_000, 240_000)
+
+
 def test_latest_with_ties_on_a_hot_key(skew, hot):
     got, text = counted(groups.latest(hot, ["k"], "at", many_ties=True), F.col("k") == -1)
     assert got == {(True, 40_000), (False, 160_000)} and "skew=true" in text
