@@ -118,6 +118,26 @@ def fanout_report(right: DataFrame, keys: Sequence[str]) -> DataFrame:
     return right.groupBy(*keys).agg(F.count(F.lit(1)).alias("count")).where("count > 1")
 
 
+#: Blocks (level, block) that make up the whole numbers __lo to __hi: on a level at most the first and the
+#: last block inside, where the block of twice the size around it would reach beyond.
+_FIRST, _LAST = "shiftright(__lo + shiftleft(1L, l) - 1, l)", "(shiftright(__hi + 1, l) - 1)"
+_COVER = f"""
+flatten(transform(sequence(0, cast(floor(log2(__hi - __lo + 1)) AS int)), l -> transform(
+  filter(array_distinct(array(if({_FIRST} % 2 <> 0, {_FIRST}, NULL), if({_LAST} % 2 = 0, {_LAST}, NULL))), b -> b IS NOT NULL AND {_FIRST} <= {_LAST}),
+  b -> named_struct('level', l, 'block', b))))"""
+
+
+def dyadic_cover(df: DataFrame, lo: Column, hi: Column) -> DataFrame:
+    """Each row once for every block of the shortest cover of the whole numbers lo..hi: ``__level``, ``__bin``.
+
+    Block b of a level holds the numbers b * 2^level to (b + 1) * 2^level - 1; a stretch of n
+    numbers has at most 2 * log2(n) + 1 of them.
+    """
+    ends = df.withColumns({"__lo": lo.cast("bigint"), "__hi": hi.cast("bigint")})
+    blocks = ends.withColumn("__block", F.explode(F.expr(_COVER)))
+    return blocks.withColumns({"__level": F.col("__block.level"), "__bin": F.col("__block.block")}).drop("__lo", "__hi", "__block")
+
+
 def interval_join(
     events: DataFrame,
     spans: DataFrame,
@@ -132,20 +152,22 @@ def interval_join(
 
     Both ends count as inside; a missing end means ``as_of``. Events inside no span
     are dropped, events inside several come out once per span. Rows meet on the keys
-    and a calendar bin, so a key holding most of the events is spread over its bins
-    and an event is compared only with spans that touch its own bin.
+    and a block of calendar bins. A span is cut into dyadic blocks, so that its rows
+    grow with the logarithm of its length; an event has one block on each level that some span
+    uses. A key holding most of the events is spread over its blocks, and an event is compared only
+    with spans that cover its own bin.
     """
 
     def bin_of(c: Column) -> Column:
-        return F.floor(F.unix_date(c.cast("date")) / bin_days).cast("int")
+        return F.floor(F.unix_date(c.cast("date")) / bin_days)
 
     shut = F.coalesce(F.col(end), as_of.cast(spans.schema[end].dataType))
-    binned = (
-        spans.withColumn("__shut", shut)
-        .where(F.col(start) <= F.col("__shut"))
-        .withColumn("__bin", F.explode(F.sequence(bin_of(F.col(start)), bin_of(F.col("__shut")))))
-    )
-    placed = events.withColumn("__bin", bin_of(F.col(at)))
-    joined = ns_join(placed, binned, [*key_pairs(keys), "__bin"], "inner")
+    closed = spans.withColumn("__shut", shut).where(F.col(start) <= F.col("__shut"))
+    binned = dyadic_cover(closed, bin_of(F.col(start)), bin_of(F.col("__shut")))
+    # The levels in use: a few numbers, found once.
+    levels = dyadic_cover(closed.select(start, "__shut"), bin_of(F.col(start)), bin_of(F.col("__shut"))).agg(F.collect_set("__level").alias("levels")).scalar()
+    placed = events.withColumns({"__levels": levels, "__day": bin_of(F.col(at))}).withColumn("__level", F.explode("__levels"))
+    placed = placed.withColumn("__bin", F.expr("shiftright(__day, __level)")).drop("__levels", "__day")
+    joined = ns_join(placed, binned, [*key_pairs(keys), "__level", "__bin"], "inner")
     inside = (F.col(start) <= F.col(at)) & (F.col(at) <= F.col("__shut"))
-    return joined.where(inside).drop("__bin", "__shut")
+    return joined.where(inside).drop("__level", "__bin", "__shut")

@@ -28,6 +28,22 @@ def test_interval_join_bounds(make, rows):
     assert rows(out.select("e", "id")) == [(1, "a"), (2, "a"), (2, "b"), (3, "a"), (3, "b"), (4, "b"), (8, "n")]
 
 
+def test_dyadic_cover(make):
+    spans = [(lo, lo + n) for lo in (-9, -8, -1, 0, 1, 5, 6, 32768) for n in (0, 1, 2, 3, 7, 8, 30, 1000)]
+    got = {}
+    for r in joins.dyadic_cover(make("lo int, hi int", *spans), F.col("lo"), F.col("hi")).collect():
+        got.setdefault((r.lo, r.hi), []).append((r["__level"], r["__bin"]))
+    for lo, hi in spans:
+        blocks = got[lo, hi]
+        assert sorted(x for level, b in blocks for x in range(b << level, (b + 1) << level)) == list(range(lo, hi + 1))
+        assert len(blocks) <= 2 * (hi - lo + 1).bit_length()
+
+
+def test_an_open_span_takes_few_rows(make):
+    day = lambda *x: F.floor(F.unix_date(F.lit(DAY(*x))))
+    assert joins.dyadic_cover(make("k int", (1,)), day(1990, 3, 7), day(9999, 12, 31)).count() < 40
+
+
 @pytest.mark.parametrize("bin_days", [1, 10, 1000])
 def test_interval_join_against_brute_force(make, rows, bin_days):
     rnd = random.Random(3)
