@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
+from operator import or_
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.codes import recode_literal, yes_no
@@ -12,7 +15,7 @@ from ..functions.dates import as_day_text, date_or_fallback, parse_dt
 from ..functions.nulls import not_in
 from ..operators.groups import latest, surrogate_id
 from ..operators.joins import lookup_join, ns_join, semi_restrict
-from ..operators.reshape import eav_pivot, latest_pivot, union_sparse
+from ..operators.reshape import latest_pivot, union_sparse
 from ..operators.shape import across
 from ..operators.translate import agency_fallback
 from . import fixed
@@ -70,32 +73,78 @@ def covid_screening(
     return surrogate_id(flagged, ["PersonalID", "InformationDate", "AgencyID", "UserID"], "AssessmentCustomID")
 
 
-def recordset_rows(
-    recordsets: DataFrame, answers: DataFrame, clients: DataFrame, kinds: Iterable[str], questions: Mapping[str, str]
-) -> DataFrame:
-    """Sub-records of the given kinds with their latest answers as columns.
+class SubKind(NamedTuple):
+    """Which sub-records belong to a kind, and which of their answers become which columns."""
+
+    names: tuple[str, ...]
+    newest: Mapping[str, str] = {}  # question: column with the answer added last
+    every: Mapping[str, str] = {}  # question: column with a list of all different answers
+    last_ones: Mapping[str, str] = {}  # question: column with a list of the answers added last, as structs
+    by_creator: bool = True  # answers of different users or providers stay apart
+
 
-    Answers of one sub-record given by different users or providers stay apart, as
-    those who gave them are part of the row. A sub-record without answers is kept.
+def subrecords(recordsets: DataFrame, answers: DataFrame, clients: DataFrame, kinds: Mapping[str, SubKind]) -> DataFrame:
+    """Sub-records of several kinds with their answers as columns, in one pass over the answers.
+
+    Both tables are read once for all kinds: an answer is kept if its question is one of its
+    sub-record's kind, and one aggregate fills the columns of all kinds, each from its own rows.
+    Ranking and aggregate work on the partitions of the join by sub-record. ``kind`` tells the rows
+    apart; columns of other kinds are null. A sub-record without answers is kept.
     """
-    subs = recordsets.where(F.col("active") & F.col("question").isin(*kinds)).select(
-        "recordset_id", "client_id", "date_effective",
-        F.col("question").alias("subassessment_name"),
-        F.col("provider_creating_id").alias("sub_provider_created"),
-        F.col("user_creating_id").alias("sub_user_created"),
+    kind_of = {name: kind for kind, k in kinds.items() for name in k.names}
+    questions = {kind: [*k.newest, *k.every, *k.last_ones] for kind, k in kinds.items()}
+    subs = recordsets.where(F.col("active") & F.col("question").isin(*kind_of)).select(
+        "recordset_id", "client_id", "date_effective", F.col("date_added").alias("sub_date_added"),
+        F.col("question").alias("subassessment_name"), recode_literal(F.col("question"), kind_of).alias("kind"),
+        F.col("provider_creating_id").alias("sub_provider_created"), F.col("user_creating_id").alias("sub_user_created"),
     )
     subs = semi_restrict(subs, clients, "client_id", nulls_match=False)
-    given = answers.where(F.col("active") & F.col("question").isin(*questions)).select(
-        "recordset_id", F.col("question").alias("question_name"), "val",
-        F.col("date_added").alias("answer_date_added"),
-        F.col("provider_creating_id").alias("answer_provider_created"),
-        F.col("user_creating_id").alias("answer_user_created"),
+    given = answers.where(F.col("active") & F.col("question").isin(*{q for own in questions.values() for q in own})).select(
+        F.col("recordset_id").alias("__of"), F.col("question").alias("__question"), F.col("val").alias("__val"), F.col("date_added").alias("__added"),
+        F.col("provider_creating_id").alias("answer_provider_created"), F.col("user_creating_id").alias("answer_user_created"),
+    )
+    asked = reduce(or_, [(F.col("__kind") == kind) & F.col("__question").isin(*own) for kind, own in questions.items()])
+    whose = subs.select(F.col("recordset_id").alias("__sub"), F.col("kind").alias("__kind")).distinct()
+    given = given.join(whose, F.col("__of") == F.col("__sub")).where(asked)
+    added_last = Window.partitionBy("__of", "__kind", "__question").orderBy(F.col("__added").desc_nulls_last())
+    given = given.withColumn("__i", F.rank().over(added_last))
+    apart = F.col("__kind").isin(*[kind for kind, k in kinds.items() if k.by_creator])
+    given = given.withColumns({c: F.when(apart, F.col(c)) for c in ("answer_provider_created", "answer_user_created")})
+
+    def cells(part: str) -> dict[str, Column]:
+        """For each column of a part, the rows that fill it."""
+        found: dict[str, Column] = {}
+        for kind, k in kinds.items():
+            for question, column in getattr(k, part).items():
+                here = (F.col("__kind") == kind) & (F.col("__question") == question)
+                found[column] = found[column] | here if column in found else here
+        return found
+
+    newest, value = F.col("__i") == 1, F.col("__val")
+    # Whoever gave only answers that were replaced later makes no row.
+    used = reduce(or_, cells("every").values(), newest)
+    wide = given.where(used).groupBy("__of", "__kind", "answer_provider_created", "answer_user_created").agg(
+        *[F.max(F.when(newest & here, value)).alias(c) for c, here in cells("newest").items()],
+        *[F.collect_set(F.when(here, value)).alias(c) for c, here in cells("every").items()],
+        *[F.collect_list(F.when(newest & here, F.struct(value.alias("val")))).alias(c) for c, here in cells("last_ones").items()],
     )
-    given = semi_restrict(given, subs, "recordset_id", nulls_match=False)
-    newest = latest(given, ["recordset_id", "question_name"], "answer_date_added")
-    ids = ["recordset_id", "answer_provider_created", "answer_user_created"]
-    wide = eav_pivot(newest, ids, "question_name", "val", questions)
-    return lookup_join(subs, wide, "recordset_id")
+    same = (F.col("recordset_id") == F.col("__of")) & (F.col("kind") == F.col("__kind"))
+    return subs.join(wide, same, "left").drop("__of", "__kind")
+
+
+DOSES, OFFERS, SCORES = "doses", "offers", "scores"
+
+
+def dose_kind(name: str = fixed.DOSE_KIND, questions: Mapping[str, str] = fixed.DOSE_QUESTIONS) -> SubKind:
+    return SubKind((name,), questions)
+
+
+def offer_kind(name: str = fixed.OFFER_KIND, questions: Mapping[str, str] = fixed.OFFER_QUESTIONS) -> SubKind:
+    return SubKind((name,), questions)
+
+
+def score_kind(names: Iterable[str] = fixed.SCORE_KINDS, score_question: str = fixed.SCORE_QUESTION, start_question: str = fixed.SCORE_START_QUESTION) -> SubKind:
+    return SubKind(tuple(names), every={start_question: "__starts"}, last_ones={score_question: "__totals"}, by_creator=False)
 
 
 def provider_agencies(providers: DataFrame, crosswalk: DataFrame) -> DataFrame:
@@ -114,11 +163,9 @@ def _number(df: DataFrame, order: Sequence[str], numbered: bool) -> DataFrame:
     return surrogate_id(df, order, "AssessmentCustomID") if numbered else df
 
 
-def vaccine_doses(
-    recordsets: DataFrame, answers: DataFrame, clients: DataFrame, providers: DataFrame, crosswalk: DataFrame,
-    kind: str = fixed.DOSE_KIND, questions: Mapping[str, str] = fixed.DOSE_QUESTIONS, numbered: bool = True,
-) -> DataFrame:
-    rows = _with_agency(recordset_rows(recordsets, answers, clients, [kind], questions), providers, crosswalk)
+def doses_of(rows: DataFrame, providers: DataFrame, crosswalk: DataFrame, numbered: bool = True) -> DataFrame:
+    """The doses among ``subrecords``."""
+    rows = _with_agency(rows.where(F.col("kind") == DOSES), providers, crosswalk)
     agency = agency_fallback(F.col("sub_provider_created"), F.col("Target_AgencyID"), fixed.DOSE_AGENCY_OVERRIDES)
     out = rows.select(
         "recordset_id",
@@ -135,12 +182,16 @@ def vaccine_doses(
     return _number(out, order, numbered).drop("recordset_id")
 
 
-def housing_offers(
+def vaccine_doses(
     recordsets: DataFrame, answers: DataFrame, clients: DataFrame, providers: DataFrame, crosswalk: DataFrame,
-    kind: str = fixed.OFFER_KIND, questions: Mapping[str, str] = fixed.OFFER_QUESTIONS, numbered: bool = True,
+    kind: str = fixed.DOSE_KIND, questions: Mapping[str, str] = fixed.DOSE_QUESTIONS, numbered: bool = True,
 ) -> DataFrame:
-    """Offers; an offer date that does not parse is replaced by the information date."""
-    rows = _with_agency(recordset_rows(recordsets, answers, clients, [kind], questions), providers, crosswalk)
+    return doses_of(subrecords(recordsets, answers, clients, {DOSES: dose_kind(kind, questions)}), providers, crosswalk, numbered)
+
+
+def offers_of(rows: DataFrame, providers: DataFrame, crosswalk: DataFrame, numbered: bool = True) -> DataFrame:
+    """The offers among ``subrecords``; an offer date that does not parse is replaced by the information date."""
+    rows = _with_agency(rows.where(F.col("kind") == OFFERS), providers, crosswalk)
     out = rows.select(
         "recordset_id",
         *_kind("offers"),
@@ -156,33 +207,28 @@ def housing_offers(
     return _number(out, order, numbered).drop("recordset_id")
 
 
-def vulnerability_scores(
-    recordsets: DataFrame, answers: DataFrame, clients: DataFrame, crosswalk: DataFrame, county_providers: DataFrame,
-    kinds: Mapping[str, int] = fixed.SCORE_KINDS, score_question: str = fixed.SCORE_QUESTION,
-    start_question: str = fixed.SCORE_START_QUESTION, numbered: bool = True,
+def housing_offers(
+    recordsets: DataFrame, answers: DataFrame, clients: DataFrame, providers: DataFrame, crosswalk: DataFrame,
+    kind: str = fixed.OFFER_KIND, questions: Mapping[str, str] = fixed.OFFER_QUESTIONS, numbered: bool = True,
 ) -> DataFrame:
-    """Scores dated by their own start-date answer.
+    return offers_of(subrecords(recordsets, answers, clients, {OFFERS: offer_kind(kind, questions)}), providers, crosswalk, numbered)
+
+
+def scores_of(rows: DataFrame, crosswalk: DataFrame, county_providers: DataFrame, kinds: Mapping[str, int] = fixed.SCORE_KINDS, numbered: bool = True) -> DataFrame:
+    """The scores among ``subrecords``, dated by their own start-date answer.
 
     Per client, day and kind the sub-record added last counts, and of it the total
     answered last. Sub-records without a readable start date are left out.
     ``county_providers``: provider_id of those that get the county's agency.
     """
-    subs = recordsets.where(F.col("active") & F.col("question").isin(*kinds)).select(
-        "recordset_id", "client_id", F.col("question").alias("subassessment_name"),
-        F.col("date_added").alias("sub_date_added"), F.col("provider_creating_id").alias("provider_id"),
+    days = F.array_distinct(F.transform("__starts", lambda x: as_day_text(parse_dt(x))))
+    dated = rows.where(F.col("kind") == SCORES).select(
+        "recordset_id", "client_id", "subassessment_name", "sub_date_added", F.col("sub_provider_created").alias("provider_id"), "__totals",
+        F.explode(days).alias("InformationDate"),
     )
-    subs = semi_restrict(subs, clients, "client_id", nulls_match=False)
-    active = answers.where(F.col("active"))
-    active = semi_restrict(active, subs, "recordset_id", nulls_match=False)
-    starts = active.where(F.col("question") == start_question).select("recordset_id", F.col("val").alias("__start"))
-    dated = lookup_join(subs, starts.distinct(), "recordset_id")
-    dated = dated.withColumn("InformationDate", as_day_text(parse_dt(F.col("__start")))).drop("__start").distinct()
+    dated = dated.where(F.col("InformationDate").isNotNull()).distinct()
     newest = latest(dated, ["client_id", "InformationDate", "subassessment_name"], "sub_date_added")
-    totals = active.where(F.col("question") == score_question).select(
-        "recordset_id", F.col("val").alias("c_vispdat_score"), F.col("date_added").alias("answer_date_added")
-    )
-    totals = latest(totals, ["recordset_id"], "answer_date_added").drop("answer_date_added")
-    scored = ns_join(newest.where(F.col("InformationDate").isNotNull()), totals, "recordset_id", "inner", nulls_match=False)
+    scored = newest.select("*", F.explode("__totals").alias("__total")).withColumn("c_vispdat_score", F.col("__total.val")).drop("__totals", "__total")
     named = lookup_join(scored, crosswalk.select("Legacy_ProgramID", "Legacy_ProgramName"), [("provider_id", "Legacy_ProgramID")])
     county = county_providers.select("provider_id").distinct().withColumn("__county", F.lit(True))
     placed = lookup_join(named, county, "provider_id")
@@ -204,6 +250,15 @@ def vulnerability_scores(
     return _number(out, order, numbered).drop("recordset_id")
 
 
+def vulnerability_scores(
+    recordsets: DataFrame, answers: DataFrame, clients: DataFrame, crosswalk: DataFrame, county_providers: DataFrame,
+    kinds: Mapping[str, int] = fixed.SCORE_KINDS, score_question: str = fixed.SCORE_QUESTION,
+    start_question: str = fixed.SCORE_START_QUESTION, numbered: bool = True,
+) -> DataFrame:
+    rows = subrecords(recordsets, answers, clients, {SCORES: score_kind(kinds, score_question, start_question)})
+    return scores_of(rows, crosswalk, county_providers, kinds, numbered)
+
+
 def combined_assessments(
     *kinds: DataFrame, order: Sequence[str], dates: Sequence[str] = fixed.ASSESSMENT_DATES, skip_clients: Iterable[int] = (fixed.COMBINED_TEST_CLIENT,)
 ) -> DataFrame:

@@ -7,11 +7,14 @@ The tables are given the shape of the source systems' tables (``events`` as answ
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 from pyspark.sql import functions as F
 
 from ..functions import codes, dates
 from ..operators import joins
 from ..plans import assessments, clients, cohort, extract, helpers, import_tables, notes, services
+from ..session import materialise
 from ..sources.readers import literal_table
 from .base import ORACLE, Tables, money, nullif, query
 from .basics import CROSSWALK_SQL, crosswalk_tables, provider_table
@@ -237,19 +240,27 @@ PIVOT_SQL = """a AS (SELECT l_orderkey AS rid, usr, flag, val, rank() OVER (PART
   max(CASE flag WHEN 'NO' THEN val END) AS no_ FROM a WHERE i = 1 GROUP BY 1, 2)"""
 
 
-@query("vaccine_doses", f"""
+def numbered_sql(rows: str, *order: str) -> str:
+    """Rows with ids in an order that is ended by all that may differ; ``rid`` is left out."""
+    return f"SELECT row_number() OVER (ORDER BY {', '.join(f'{c} NULLS LAST' for c in order)}) AS \"AssessmentCustomID\", * EXCLUDE (rid) FROM ({rows})"
+
+
+DOSES_SQL = f"""
 WITH {CROSSWALK_SQL}, {RECORDSETS_SQL},
  vals AS (SELECT *, CASE flag WHEN 'AF' THEN CASE WHEN l_quantity < 15 THEN 'Moderna' WHEN l_quantity < 30 THEN 'Pfizer' ELSE 'Unheard of' END
    WHEN 'AO' THEN CASE WHEN l_quantity < 25 THEN 'Self-report' ELSE 'Vaccine card' END WHEN 'NF' THEN strftime(l_shipdate, '%Y-%m-%d') ELSE flag END AS val FROM lines), {PIVOT_SQL},
  ag AS (SELECT DISTINCT "Legacy_AgencyID" AS la, "Target_AgencyID" AS ta FROM crosswalk),
  pa AS (SELECT provider_id, ta FROM provider LEFT JOIN ag ON la IS NOT DISTINCT FROM hud_organization_id)
-SELECT 195 AS "AssessmentID", 'COVID-19 Vaccine Doses' AS "AssessmentName", client_id AS "PersonalID", ta AS "AgencyID", strftime(added, '%Y-%m-%d') AS "InformationDate",
+SELECT subs.rid, 195 AS "AssessmentID", 'COVID-19 Vaccine Doses' AS "AssessmentName", client_id AS "PersonalID", ta AS "AgencyID", strftime(added, '%Y-%m-%d') AS "InformationDate",
  nf AS assessment_date, no_ AS c_covid19_client_contact_info, CASE af WHEN 'Moderna' THEN 2 WHEN 'Pfizer' THEN 3 END AS c_covid19_vaccine_manufacturer,
  CASE ao WHEN 'Self-report' THEN 2 WHEN 'Vaccine card' THEN 3 END AS c_covid19_vaccine_documentation
-FROM subs LEFT JOIN w ON w.rid = subs.rid LEFT JOIN pa ON pa.provider_id = subs.provider WHERE kind = '1-URGENT'""")
+FROM subs LEFT JOIN w ON w.rid = subs.rid LEFT JOIN pa ON pa.provider_id = subs.provider WHERE kind = '1-URGENT'"""
+
+
+@query("vaccine_doses", numbered_sql(DOSES_SQL, '"PersonalID"', '"InformationDate"', "rid", "assessment_date", "c_covid19_client_contact_info", "c_covid19_vaccine_manufacturer", "c_covid19_vaccine_documentation", '"AgencyID"'))
 def vaccine_doses(t: Tables):
     return assessments.vaccine_doses(
-        recordsets(t), recordset_answers(t, line_flag(), doses_val()), people(t), provider_table(t), crosswalk_tables(t)[0], "1-URGENT", DOSES, numbered=False
+        recordsets(t), recordset_answers(t, line_flag(), doses_val()), people(t), provider_table(t), crosswalk_tables(t)[0], "1-URGENT", DOSES
     )
 
 
@@ -265,43 +276,67 @@ def offers_val():
 OFFERS = {"AF": "c_offer_accepted", "AO": "c_offer_type", "NF": "offer_date", "NO": "c_offer_accept_decline_date"}
 
 
-@query("housing_offers", f"""
+OFFERS_SQL = f"""
 WITH {CROSSWALK_SQL}, {RECORDSETS_SQL},
  vals AS (SELECT *, CASE flag WHEN 'AF' THEN CASE WHEN l_quantity < 25 THEN 'Y' ELSE 'N' END
    WHEN 'AO' THEN CASE WHEN l_quantity < 15 THEN 'HUD VASH' WHEN l_quantity < 30 THEN 'Other RRH' ELSE 'Unheard of' END
    WHEN 'NF' THEN CASE WHEN l_quantity < 25 THEN strftime(l_shipdate, '%Y-%m-%d') ELSE 'soon' END ELSE strftime(l_shipdate, '%Y-%m-%d') END AS val FROM lines), {PIVOT_SQL},
  ag AS (SELECT DISTINCT "Legacy_AgencyID" AS la, "Target_AgencyID" AS ta FROM crosswalk),
  pa AS (SELECT provider_id, ta FROM provider LEFT JOIN ag ON la IS NOT DISTINCT FROM hud_organization_id)
-SELECT 194 AS "AssessmentID", 'Offers of Permanent Housing' AS "AssessmentName", client_id AS "PersonalID", coalesce(ta, 299) AS "AgencyID",
+SELECT subs.rid, 194 AS "AssessmentID", 'Offers of Permanent Housing' AS "AssessmentName", client_id AS "PersonalID", coalesce(ta, 299) AS "AgencyID",
  strftime(added, '%Y-%m-%d') AS "InformationDate", coalesce(nullif(nf, 'soon'), strftime(added, '%Y-%m-%d')) AS assessment_date,
  CASE ao WHEN 'HUD VASH' THEN 1 WHEN 'Other RRH' THEN 3 END AS c_offer_type, CASE af WHEN 'N' THEN 0 WHEN 'Y' THEN 1 END AS c_offer_accepted, no_ AS c_offer_accept_decline_date
-FROM subs LEFT JOIN w ON w.rid = subs.rid LEFT JOIN pa ON pa.provider_id = subs.provider WHERE kind = '2-HIGH'""")
+FROM subs LEFT JOIN w ON w.rid = subs.rid LEFT JOIN pa ON pa.provider_id = subs.provider WHERE kind = '2-HIGH'"""
+
+
+@query("housing_offers", numbered_sql(OFFERS_SQL, '"PersonalID"', '"InformationDate"', "rid", "assessment_date", "c_offer_type", "c_offer_accepted", "c_offer_accept_decline_date", '"AgencyID"'))
 def housing_offers(t: Tables):
     return assessments.housing_offers(
-        recordsets(t), recordset_answers(t, line_flag(), offers_val()), people(t), provider_table(t), crosswalk_tables(t)[0], "2-HIGH", OFFERS, numbered=False
+        recordsets(t), recordset_answers(t, line_flag(), offers_val()), people(t), provider_table(t), crosswalk_tables(t)[0], "2-HIGH", OFFERS
     )
 
 
-@query("vulnerability_scores", f"""
+SCORES_SQL = f"""
 WITH {RECORDSETS_SQL},
  starts AS (SELECT DISTINCT l_orderkey AS rid, l_shipdate AS d, CASE WHEN l_quantity > 45 THEN NULL ELSE l_shipdate END AS ok FROM lines WHERE l_returnflag = 'R'),
  dated AS (SELECT DISTINCT subs.rid, client_id, kind, added, provider, strftime(ok, '%Y-%m-%d') AS day FROM subs LEFT JOIN starts ON starts.rid = subs.rid WHERE kind IN ('3-MEDIUM', '5-LOW')),
  newest AS (SELECT * FROM (SELECT *, rank() OVER (PARTITION BY client_id, day, kind ORDER BY added DESC) AS i FROM dated) WHERE i = 1 AND day IS NOT NULL),
  totals AS (SELECT rid, val FROM (SELECT l_orderkey AS rid, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS val, rank() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC) AS i FROM lines WHERE l_returnflag = 'A') WHERE i = 1)
-SELECT 193 AS "AssessmentID", 'ServicePoint VI-SPDAT Assessment' AS "AssessmentName", client_id AS "PersonalID", CASE WHEN provider < 25 THEN 300 ELSE 299 END AS "AgencyID",
+SELECT newest.rid, 193 AS "AssessmentID", 'ServicePoint VI-SPDAT Assessment' AS "AssessmentName", client_id AS "PersonalID", CASE WHEN provider < 25 THEN 300 ELSE 299 END AS "AgencyID",
  day AS "InformationDate", day AS assessment_date, 1 AS assessment_type, 2 AS assessment_level, 0 AS assessment_location, CASE kind WHEN '3-MEDIUM' THEN 1 ELSE 3 END AS c_vispdat_type,
  CASE WHEN s_acctbal > 2000 THEN s_name END AS c_vispdat_program_name, val AS c_vispdat_score
-FROM newest JOIN totals ON totals.rid = newest.rid LEFT JOIN supplier ON s_suppkey = provider""")
+FROM newest JOIN totals ON totals.rid = newest.rid LEFT JOIN supplier ON s_suppkey = provider"""
+
+
+@query("vulnerability_scores", numbered_sql(SCORES_SQL, '"PersonalID"', '"InformationDate"', "rid", "c_vispdat_score", '"AgencyID"', "c_vispdat_type", "c_vispdat_program_name"))
 def vulnerability_scores(t: Tables):
-    start = F.when(F.col("l_quantity") > 45, "unknown").otherwise(F.date_format("l_shipdate", "yyyy-MM-dd"))
-    val = F.when(F.col("l_returnflag") == "R", start).otherwise(F.col("l_quantity").cast("long").cast("string"))
-    county = t.nation.select(F.col("n_nationkey").cast("long").alias("provider_id"))
     return assessments.vulnerability_scores(
-        recordsets(t), recordset_answers(t, F.col("l_returnflag"), val), people(t), agency_crosswalk(t), county,
-        {"3-MEDIUM": 1, "5-LOW": 3}, "A", "R", numbered=False,
+        recordsets(t), recordset_answers(t, F.col("l_returnflag"), scores_val()), people(t), agency_crosswalk(t), county_providers(t), SCORE_KINDS, "A", "R"
     )
 
 
+SCORE_KINDS = {"3-MEDIUM": 1, "5-LOW": 3}
+
+
+def scores_val():
+    start = F.when(F.col("l_quantity") > 45, "unknown").otherwise(F.date_format("l_shipdate", "yyyy-MM-dd"))
+    return F.when(F.col("l_returnflag") == "R", start).otherwise(F.col("l_quantity").cast("long").cast("string"))
+
+
+def county_providers(t: Tables):
+    return t.nation.select(F.col("n_nationkey").cast("long").alias("provider_id"))
+
+
+def answers_of_all_kinds(t: Tables):
+    """Lines as answers in the form of their order's kind, as all kinds' answers lie in one table."""
+    kind = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderpriority")
+    scored = F.col("o_orderpriority").isin(*SCORE_KINDS)
+    question = F.when(scored, F.col("l_returnflag")).otherwise(line_flag())
+    val = F.when(F.col("o_orderpriority") == "1-URGENT", doses_val()).when(F.col("o_orderpriority") == "2-HIGH", offers_val()).when(scored, scores_val())
+    lines = t.lineitem.join(kind, "l_orderkey").select("l_orderkey", "l_discount", "l_shipdate", "l_suppkey", question.alias("question"), val.alias("val"))
+    return recordset_answers(SimpleNamespace(lineitem=lines), F.col("question"), F.col("val"))
+
+
 ALL_KINDS = (
     "AssessmentID", "PersonalID", "InformationDate", "AgencyID", "UserID", "assessment_date", "c_covid19_client_contact_info", "c_covid19_notes", "c_covid19_risk_view", "c_covid19_test_date",
     "c_covid19_vaccine_documentation", "c_covid19_vaccine_manufacturer", "c_offer_accept_decline_date", "c_offer_accepted", "c_offer_type", "c_symptom_click", "c_vispdat_program_name", "c_vispdat_score", "c_vispdat_type",
@@ -310,12 +345,20 @@ ALL_KINDS = (
 
 @query("combined_assessments", f"""
 WITH {SCREENING_SQL},
- u AS (SELECT * FROM screening UNION ALL BY NAME SELECT * FROM ({ORACLE["vaccine_doses"]}) UNION ALL BY NAME SELECT * FROM ({ORACLE["housing_offers"]}) UNION ALL BY NAME SELECT * FROM ({ORACLE["vulnerability_scores"]})),
+ u AS (SELECT * FROM screening UNION ALL BY NAME SELECT * EXCLUDE (rid) FROM ({DOSES_SQL}) UNION ALL BY NAME SELECT * EXCLUDE (rid) FROM ({OFFERS_SQL}) UNION ALL BY NAME SELECT * EXCLUDE (rid) FROM ({SCORES_SQL})),
  d AS (SELECT * REPLACE (CASE WHEN assessment_date IS NULL THEN "InformationDate" ELSE strftime(try_cast(assessment_date AS DATE), '%Y-%m-%d') END AS assessment_date, CAST(NULL AS VARCHAR) AS c_covid19_test_date) FROM u)
 SELECT * FROM (SELECT row_number() OVER (ORDER BY {", ".join(f'"{c}" NULLS LAST' for c in ALL_KINDS)}) AS "AssessmentCustomID", * FROM d) WHERE "PersonalID" NOT IN (13, 14)""")
 def combined_assessments(t: Tables):
     screening = assessments.covid_screening(answers(t), people(t), agency_crosswalk(t), SCREENING, numbered=False, date_question="signup")
-    return assessments.combined_assessments(screening, vaccine_doses(t), housing_offers(t), vulnerability_scores(t), order=ALL_KINDS, skip_clients=(13, 14))
+    kinds = {
+        assessments.DOSES: assessments.dose_kind("1-URGENT", DOSES), assessments.OFFERS: assessments.offer_kind("2-HIGH", OFFERS),
+        assessments.SCORES: assessments.score_kind(SCORE_KINDS, "A", "R"),
+    }
+    # Written once, so that the answers are read once for all three kinds.
+    rows = materialise(assessments.subrecords(recordsets(t), answers_of_all_kinds(t), people(t), kinds), "subrecords")
+    doses, offers = (of(rows, provider_table(t), crosswalk_tables(t)[0], numbered=False) for of in (assessments.doses_of, assessments.offers_of))
+    scores = assessments.scores_of(rows, agency_crosswalk(t), county_providers(t), SCORE_KINDS, numbered=False)
+    return assessments.combined_assessments(screening, doses, offers, scores, order=ALL_KINDS, skip_clients=(13, 14))
 
 
 # --- clients ----------------------------------------------------------------------
