@@ -51,6 +51,43 @@ def read_typed_csv(t: Tables):
     return as_text(readers.read_typed_csv(t.spark, path, "nciDTncc", line_breaks=False))
 
 
+SPOILT_SQL = """spoilt AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 50 = 0 THEN 'n/a' ELSE CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) END AS "Price",
+  CASE WHEN o_orderkey % 70 = 0 THEN 'soon' WHEN o_orderkey % 70 = 1 THEN '1996-13-45' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS "Day",
+  CASE WHEN o_orderkey % 30 = 0 THEN NULL WHEN o_orderkey % 30 = 1 THEN 'maybe' ELSE 'true' END AS "Open" FROM orders),
+ texts AS (SELECT *, k || ',' || "Price" || ',' || "Day" || ',' || coalesce("Open", '') AS row_text FROM spoilt),
+ bad AS (SELECT row_text, 'Price' AS "column", "Price" AS value, 'double' AS expected FROM texts WHERE "Price" = 'n/a'
+  UNION ALL SELECT row_text, 'Day', "Day", 'date' FROM texts WHERE "Day" IN ('soon', '1996-13-45') UNION ALL SELECT row_text, 'Open', "Open", 'boolean' FROM texts WHERE "Open" = 'maybe')"""
+
+
+def spoilt_file(t: Tables) -> str:
+    """Orders as a file in which some prices, days and logicals cannot be read."""
+    k, path = F.col("o_orderkey"), new_folder(t)
+    day = F.when(k % 70 == 0, "soon").when(k % 70 == 1, "1996-13-45").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    rows = t.orders.select(
+        k.alias("OrderID"), F.when(k % 50 == 0, "n/a").otherwise(F.floor("o_totalprice").cast("long").cast("string")).alias("Price"), day.alias("Day"),
+        F.when(k % 30 == 0, F.lit(None)).when(k % 30 == 1, "maybe").otherwise("true").alias("Open"),
+    )
+    writers.write_import_csv(rows, f"{path}/order.csv")
+    return path
+
+
+@query("rejected_values", f"WITH {SPOILT_SQL} SELECT * FROM bad")
+def rejected_values(t: Tables):
+    return readers.read_checked_csv(t.spark, f"{spoilt_file(t)}/order.csv", "nnDl", line_breaks=False).rejects.drop("file")
+
+
+@query("rejected_dump_values", f"""
+WITH {SPOILT_SQL} SELECT 'order' AS "table", "column", value, expected, count(*) AS n FROM bad GROUP BY ALL
+UNION ALL SELECT 'nation', 'n_name', n_name, 'int', count(*) FROM nation GROUP BY ALL""")
+def rejected_dump_values(t: Tables):
+    """How often each value of the files of a folder was rejected."""
+    path = spoilt_file(t)
+    writers.write_import_csv(t.nation, f"{path}/nation.csv")
+    nation = T.StructType([T.StructField(f.name, T.IntegerType() if f.name == "n_name" else f.dataType) for f in t.nation.schema])
+    schemas = {"order": T.StructType.fromDDL("OrderID long, Price double, Day date, Open boolean"), "nation": nation}
+    return readers.read_checked_dump(t.spark, path, schemas, unbroken=["order", "nation"])[1].groupBy("table", "column", "value", "expected").agg(F.count("*").alias("n"))
+
+
 @query("read_dump_dir", """
 SELECT c_custkey, c_name, n_name, 'a' || chr(10) || 'b' AS note FROM customer JOIN nation ON c_nationkey = n_nationkey""")
 def read_dump_dir(t: Tables):

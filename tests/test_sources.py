@@ -37,6 +37,25 @@ def test_type_letters(spark, folder):
     assert schemas.client_letters(["c"] * 36) == schemas.EXTRACT_TYPES["Client"]
 
 
+@pytest.mark.parametrize("line_breaks", [True, False])
+def test_no_value_is_lost_in_silence(spark, tmp_path, line_breaks):
+    text = 'id,amount,day,note\n1,2.5,2020-01-02,fine\n2,x,soon,"quoted, with comma"\n3,,,\n4,1\n5,1,2020-01-01,a,b\nsix,1,2020-01-01,\n'
+    (tmp_path / "t.csv").write_text(text + ('7,y,2020-01-01,"two\nlines"\n' if line_breaks else ""))
+    table, rejects = readers.read_checked_csv(spark, str(tmp_path / "t.csv"), "inDc", line_breaks=line_breaks)
+    got = sorted((tuple(r)[1:] for r in rejects.collect()), key=repr)
+    want = [
+        ("2,x,soon,\"quoted, with comma\"", "amount", "x", "double"), ("2,x,soon,\"quoted, with comma\"", "day", "soon", "date"),
+        ("4,1", None, None, "4 cells"), ("5,1,2020-01-01,a,b", None, None, "4 cells"), ("six,1,2020-01-01,", "id", "six", "int"),
+    ]
+    assert got == sorted(want + ([('7,y,2020-01-01,"two\nlines"', "amount", "y", "double")] if line_breaks else []), key=repr)
+    assert {r.file.rsplit("/")[-1] for r in rejects.collect()} == {"t.csv"}
+    plain = readers.read_typed_csv(spark, str(tmp_path / "t.csv"), "inDc", line_breaks=line_breaks)
+    assert sorted(map(tuple, table.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+    assert table.where("id = 2").head()["note"] == "quoted, with comma"
+    clean, none = readers.read_checked_csv(spark, str(tmp_path / "t.csv"), "cccc", line_breaks=line_breaks)
+    assert none.count() == 2 and {r.expected for r in none.collect()} == {"4 cells"}
+
+
 def test_sheet_export(spark, tmp_path):
     (tmp_path / "s.csv").write_text("id,day\n1,44000\n2,\n")
     out = readers.read_sheet_export(spark, str(tmp_path / "s.csv"), T.StructType.fromDDL("id int, day int"), ["day"])
