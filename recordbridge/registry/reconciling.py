@@ -24,6 +24,18 @@ def table_diff(t: Tables):
     return reconcile.table_diff(before, after, ["c_custkey"], ["c_name", "nation", "c_mktsegment"])
 
 
+@query("table_diff_cells", f"""
+WITH {SNAPSHOT_SQL}, j AS (SELECT coalesce(b.c_custkey, a.c_custkey) AS c_custkey, b.c_custkey AS bk, a.c_custkey AS ak, b.c_name AS n1, a.c_name AS n2, b.nation AS x1, a.nation AS x2,
+  b.c_mktsegment AS s1, a.c_mktsegment AS s2 FROM before b FULL JOIN after a ON a.c_custkey = b.c_custkey), m AS (SELECT * FROM j WHERE ak IS NOT NULL AND bk IS NOT NULL)
+SELECT 'c_name' AS "column", c_custkey, n1 AS "left", n2 AS "right" FROM m WHERE n1 IS DISTINCT FROM n2
+UNION ALL SELECT 'nation', c_custkey, CAST(x1 AS VARCHAR), CAST(x2 AS VARCHAR) FROM m WHERE x1 IS DISTINCT FROM x2
+UNION ALL SELECT 'c_mktsegment', c_custkey, s1, s2 FROM m WHERE s1 IS DISTINCT FROM s2
+UNION ALL SELECT CASE WHEN ak IS NULL THEN '(only left)' ELSE '(only right)' END, c_custkey, NULL, NULL FROM j WHERE ak IS NULL OR bk IS NULL""")
+def table_diff_cells(t: Tables):
+    before, after = snapshots(t)
+    return reconcile.cell_diff(before, after, ["c_custkey"], ["c_name", "nation", "c_mktsegment"])
+
+
 @query("table_diff_by_position", f"""
 WITH {SNAPSHOT_SQL}, b AS (SELECT *, row_number() OVER (ORDER BY c_custkey) AS i FROM before), a AS (SELECT *, row_number() OVER (ORDER BY c_custkey) AS i FROM after),
  j AS (SELECT b.i AS bk, a.i AS ak, b.c_name IS DISTINCT FROM a.c_name AS d1, b.c_mktsegment IS DISTINCT FROM a.c_mktsegment AS d3 FROM b FULL JOIN a ON a.i = b.i)

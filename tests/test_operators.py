@@ -231,6 +231,28 @@ def test_text_reconcile(make, rows):
     assert got == {(1, "left", 1), (1, "right", 1), (2, "left", 0), (3, "right", 0)}
 
 
+def test_cells_that_differ(make, rows):
+    a = make("k int, x int, y string", (1, 1, "a"), (2, None, "b"), (3, 3, "c"), (None, 7, "n"), (5, 5, "e"))
+    b = make("k int, x int, y string", (1, 1, "z"), (2, 2, None), (4, 3, "c"), (None, 8, "n"), (5, 5, "e"))
+    assert rows(reconcile.cell_diff(a, b, ["k"], ["x", "y"])) == sorted([
+        ("y", 1, "a", "z"), ("x", 2, None, "2"), ("y", 2, "b", None), ("x", None, "7", "8"), ("(only left)", 3, None, None), ("(only right)", 4, None, None),
+    ], key=repr)
+    twice = a.unionByName(a.where("k = 1"))
+    assert rows(reconcile.code_verify(twice, a, ["k", "y"])) == [(1, "a", "expected only")]
+
+
+def test_equal_tables_ship_checksums_only(spark):
+    a = spark.range(200_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    b = a.orderBy(F.desc("text"))
+    out = reconcile.cell_diff(a, b, ["id"], ["text"])
+    assert out.collect() == []
+    text = out._jdf.queryExecution().executedPlan().toString()
+    final = text[text.index("== Final Plan ==") : text.index("== Initial Plan ==")]
+    assert "hashpartitioning(id" not in final  # no row was dealt by its key
+    changed = b.withColumn("text", F.when(F.col("id") == 77, "other").otherwise(F.col("text")))
+    assert [tuple(r)[:2] for r in reconcile.cell_diff(a, changed, ["id"], ["text"]).collect()] == [("text", 77)]
+
+
 def test_reconcile_tables(make, rows):
     a = make("k int, x int, y string", (1, 1, "a"), (2, None, "b"), (3, 3, "c"))
     b = make("k int, x int, y string", (1, 1, "z"), (2, None, "b"), (4, 3, "c"))
