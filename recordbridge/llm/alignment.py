@@ -1,10 +1,10 @@
 """Two tokenizers' tokens of the same texts, aligned by diagonal run skipping.
 
 Each text with one space before it is encoded by a byte-level BPE (A) and by a piece model that adds
-the space itself (B). Both ends of token i are byte offsets, so the tokens of A and B that end
+the space itself (B). The ends of their tokens are byte offsets, and tokens of A and B that end
 together cut the text into groups. The two arrays of ends are compared at the current index shift:
-slices of 1, 2, 4, ... entries as long as they are equal, then halves back to the end of the run, so
-a one-to-one stretch is jumped in a few comparisons. Where the run breaks, the side that lags is
+8, 16, 32, ... entries at once as long as they are equal, the first difference read off their bits, so a
+one-to-one stretch is jumped in a few comparisons. Where the run breaks, the side that lags is
 advanced until both end together again, which makes one irregular group and the next shift.
 
 The last tokens of a group end together and are linked. How often a pair of ids is linked in the whole
@@ -13,7 +13,8 @@ table; the others, each of them a share of at most 2 / ``head`` of all links, ar
 
 Texts longer than ``chunk`` characters are encoded in parts cut at single blanks between other
 characters: neither tokenizer has a token across such a place, and both sides end there. Where a
-tokenizer's file does not guarantee that, texts stay whole.
+tokenizer's file does not guarantee that, texts stay whole. A file of A that holds plain byte-level
+merges in the order of their ids is encoded by rank with a faster library, any other by its own.
 
 A text that is null or empty, or that either side does not spell again byte for byte, has no tokens:
 all its counts are 0 and its digest is ''. Equal rows are rows of their own, ids are not looked at,
@@ -39,6 +40,10 @@ from . import texts
 
 CHUNK = 1 << 18  # characters encoded at once
 HEAD = 1 << 18  # pairs of ids that travel to the tasks
+PROBE = 8  # ends compared at first
+END = (1 << 32) - 1
+#: Fixed value: the pattern by which byte-level tokenizer files split texts unless they say otherwise.
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -59,19 +64,31 @@ class Tokenizers:
 
         with open(a_path, encoding="utf-8") as file:
             said = json.load(file)
-        letters = byte_letters()
+        letters, model, before = byte_letters(), said["model"], said.get("pre_tokenizer") or {}
         self.a = tokenizers.Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True
         self.a.no_truncation()
         self.a.no_padding()
-        spelled = {i: bytes(letters[c] for c in token) for token, i in said["model"]["vocab"].items() if all(c in letters for c in token)}
+        spelled = {i: bytes(letters[c] for c in token) for token, i in model["vocab"].items() if all(c in letters for c in token)}
         self.a_bytes = [spelled.get(i, b"") for i in range(self.a.get_vocab_size(with_added_tokens=True))]
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
-        self.a_sizes, self.b_sizes = (np.array([len(x) for x in side], np.int64) for side in (self.a_bytes, self.b_bytes))
-        before = said.get("pre_tokenizer") or {}
-        self.cuts = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not said.get("normalizer") and not any("▁" in p.lstrip("▁") for p in pieces)
+        self.a_sizes, self.b_sizes = (np.array([len(x) for x in side], np.uint32) for side in (self.a_bytes, self.b_bytes))
+        byte_level = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space") and not said.get("normalizer")
+        self.cuts = byte_level and not any("▁" in p.lstrip("▁") for p in pieces)
+        # Two forms of every token's id: within its group, and as the group's last of its side.
+        ids_a, ids_b = range(len(self.a_bytes)), range(len(self.b_bytes))
+        self.words = np.array([f"{i}{end}" for ids, ends in ((ids_a, ",|"), (ids_b, ",;")) for i in ids for end in ends], "S")
+        self.ranked = None
+        merged = [model["vocab"].get("".join(m.split(" ") if isinstance(m, str) else m), -1) for m in model.get("merges", [])]
+        special = {t["id"] for t in said.get("added_tokens", [])}
+        odd = any(model.get(x) for x in ("dropout", "byte_fallback", "ignore_merges", "continuing_subword_prefix", "end_of_word_suffix"))
+        if byte_level and not odd and model.get("type") == "BPE" and merged == sorted(set(merged)) and len(merged) + 256 == len(spelled.keys() - special):
+            import tiktoken
+
+            ranks = {token: i for i, token in spelled.items() if i not in special}
+            self.ranked = tiktoken.Encoding("a", pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={})
 
     def parts(self, text: str, chunk: int) -> Iterator[str]:
         """The text behind a space, in parts of about ``chunk`` characters that each begin with one."""
@@ -82,14 +99,15 @@ class Tokenizers:
             begin = cut.start()
         yield text[begin:]
 
-    def encode(self, parts: list[str]) -> Iterator[tuple[list[int], list[int]] | None]:
+    def encode(self, parts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
         """Ids of both sides for each part; None if a side does not spell it again."""
-        left = self.a.encode_batch_fast(parts, add_special_tokens=False)
+        left = map(self.ranked.encode_to_numpy, parts) if self.ranked else (np.array(x.ids) for x in self.a.encode_batch_fast(parts, add_special_tokens=False))
         right = self.b.encode([p[1:] for p in parts], num_threads=1)
         for part, a, b in zip(parts, left, right):
-            raw, a = part.encode(), a.ids
-            same = b"".join([self.a_bytes[i] for i in a]) == raw and b"".join([self.b_bytes[i] for i in b]) == raw
-            yield (a, b) if same else None
+            raw = part.encode()
+            # Encoding by rank leaves out no byte.
+            same = (self.ranked or b"".join(map(self.a_bytes.__getitem__, a.tolist())) == raw) and b"".join(map(self.b_bytes.__getitem__, b)) == raw
+            yield (a.astype(np.int64), np.array(b, np.int64)) if same else None
 
 
 _loaded: dict[tuple[str, str], Tokenizers] = {}
@@ -102,48 +120,49 @@ def tokenizers_of(a_path: str, b_path: str) -> Tokenizers:
     return _loaded[a_path, b_path]
 
 
-def runs(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
-    """(i, j, n): a[i + t] equals b[j + t] for t < n, all equal entries of two rising lists, run by run."""
-    found, i, j, n, m = [], 0, 0, len(a), len(b)
-    while i < n and j < m:
-        begin, shift, step = i, j - i, 1
-        while i < n and (piece := a[i : i + step]) == b[i + shift : i + shift + len(piece)]:
-            i += len(piece)
-            step *= 2
-        while step > 1:  # the run ends within the last slice
-            step //= 2
-            piece = a[i : i + step]
-            if piece and piece == b[i + shift : i + shift + len(piece)]:
-                i += len(piece)
-        j = i + shift
-        if i > begin:
-            found.append((begin, begin + shift, i - begin))
-        while i < n and j < m and a[i] != b[j]:
-            if a[i] < b[j]:
+def runs(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int, int]]:
+    """(i, j, n): a[i + t] equals b[j + t] for t < n, all equal entries of two rising arrays (uint32, below END), run by run."""
+    at_a, at_b = [*a.tolist(), END], [*b.tolist(), END]
+    # Behind the last entries stand different marks, so that every run ends there.
+    raw_a, raw_b = np.append(a, np.uint32(END)).tobytes(), np.append(b, np.uint32(END - 1)).tobytes()
+    found, i, j, whole = [], 0, 0, int.from_bytes
+    while True:
+        x, y = at_a[i], at_b[j]
+        while x != y:  # an irregular group
+            if x < y:
                 i += 1
+                x = at_a[i]
             else:
                 j += 1
-    return found
-
-
-def align(tool: Tokenizers, a: list[int], b: list[int]) -> tuple[np.ndarray, np.ndarray]:
+                y = at_b[j]
+        if x == END:
+            return found
+        here, there, step = 4 * i, 4 * j, 4 * PROBE
+        while not (differ := whole(raw_a[here : here + step], "little") ^ whole(raw_b[there : there + step], "little")):
+            here, there, step = here + step, there + step, 2 * step
+        n = (here >> 2) - i + ((differ & -differ).bit_length() - 1 >> 5)
+        found.append((i, j, n))
+        i, j = i + n, j + n
+
+
+def align(tool: Tokenizers, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each group the places of its last tokens in ``a`` and in ``b``."""
-    ends_a, ends_b = np.cumsum(tool.a_sizes[a]), np.cumsum(tool.b_sizes[b])
-    found = runs(ends_a.tolist(), ends_b.tolist())
+    found = runs(np.cumsum(tool.a_sizes[a], dtype=np.uint32), np.cumsum(tool.b_sizes[b], dtype=np.uint32))
     begins_a, begins_b, sizes = np.array(found, np.int64).reshape(-1, 3).T
     within = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     return np.repeat(begins_a, sizes) + within, np.repeat(begins_b, sizes) + within
 
 
-def spelled(a: list[int], b: list[int], last_a: np.ndarray, last_b: np.ndarray) -> str:
-    """The groups as text: ``a1,a2|b1;a3|b2,b3``."""
-    a, b = list(map(str, a)), list(map(str, b))
-    out, i, j = [], 0, 0
-    for x, y in zip(last_a.tolist(), last_b.tolist()):
-        left = a[x] if x == i else ",".join(a[i : x + 1])
-        out.append(f"{left}|{b[y] if y == j else ','.join(b[j : y + 1])}")
-        i, j = x + 1, y + 1
-    return ";".join(out)
+def spelled(tool: Tokenizers, a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> bytes:
+    """The groups as text: ``a1,a2|b1;a3|b2,b3``, and a semicolon behind the last."""
+    out = np.empty(len(a) + len(b), np.int64)
+    for ids, last, other, base in ((a, last_a, np.concatenate(([0], last_b + 1)), 0), (b, last_b, last_a + 1, 2 * len(tool.a_bytes))):
+        sizes = np.diff(last, prepend=-1)
+        ends = np.zeros(len(ids), np.int64)
+        ends[last] = 1
+        # Before a group's ids stand those of the other side: of the groups before it, for B of its own too.
+        out[np.arange(len(ids)) + np.repeat(other[: len(last)], sizes)] = base + 2 * ids + ends
+    return tool.words[out].tobytes().translate(None, b"\0")
 
 
 class _Row:
@@ -152,14 +171,14 @@ class _Row:
     def __init__(self):
         self.whole, self.a, self.b, self.groups, self.pairs, self.times, self.sha = True, 0, 0, 0, [], [], hashlib.sha256()
 
-    def add(self, tool: Tokenizers, ids: tuple[list[int], list[int]] | None) -> None:
+    def add(self, tool: Tokenizers, ids: tuple[np.ndarray, np.ndarray] | None) -> None:
         self.whole = self.whole and ids is not None
         if not self.whole:
             return
         a, b = ids
         last_a, last_b = align(tool, a, b)
-        self.sha.update(((";" if self.groups else "") + spelled(a, b, last_a, last_b)).encode())
-        pairs, times = np.unique(np.array(a, np.int64)[last_a] << 32 | np.array(b, np.int64)[last_b], return_counts=True)
+        self.sha.update((b";" if self.groups else b"") + spelled(tool, a, b, last_a, last_b)[:-1])
+        pairs, times = np.unique(a[last_a] << 32 | b[last_b], return_counts=True)
         self.pairs.append(pairs)
         self.times.append(times)
         self.a, self.b, self.groups = self.a + len(a), self.b + len(b), self.groups + len(last_a)

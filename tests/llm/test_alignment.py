@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -79,8 +80,21 @@ def test_runs():
     random.seed(1)
     for _ in range(300):
         a, b = (sorted(random.sample(range(60), random.randint(0, 50))) for _ in range(2))
-        got = [a[i + t] for i, j, n in alignment.runs(a, b) for t in range(n) if a[i + t] == b[j + t]]
-        assert got == sorted(set(a) & set(b)) and sum(n for _, _, n in alignment.runs(a, b)) == len(got)
+        found = alignment.runs(np.array(a, np.uint32), np.array(b, np.uint32))
+        got = [a[i + t] for i, j, n in found for t in range(n) if a[i + t] == b[j + t]]
+        assert got == sorted(set(a) & set(b)) and sum(n for _, _, n in found) == len(got)
+    long = np.arange(1000, dtype=np.uint32)
+    assert alignment.runs(long, long) == [(0, 0, 1000)] and alignment.runs(long, np.delete(long, 500)) == [(0, 0, 500), (501, 500, 499)]
+
+
+def test_ranks_are_the_file():
+    """Every code point beside letters, digits, blanks and marks: encoding by rank equals the file's own tokenizer."""
+    tool = alignment.Tokenizers(A, B)
+    assert tool.ranked and tool.cuts
+    probes = [f"a{c}b 1{c}2 {c} {c}{c}!{c}?  {c}" for c in map(chr, range(0x110000)) if not 0xD800 <= ord(c) < 0xE000]
+    for i in range(0, len(probes), 100_000):
+        some = probes[i : i + 100_000]
+        assert [x.ids for x in tool.a.encode_batch_fast(some, add_special_tokens=False)] == [tool.ranked.encode_ordinary(p) for p in some]
 
 
 @pytest.mark.parametrize("chunk, head", [(1 << 18, 1 << 18), (40, 7), (300, 0)])
