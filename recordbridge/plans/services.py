@@ -11,7 +11,8 @@ from ..functions.codes import normalise_labels
 from ..functions.dates import as_day_text, as_time_text, day
 from ..functions.text import contains_any
 from ..operators.groups import count_by, distinct_keep_first, surrogate_id
-from ..operators.joins import interval_join, lookup_join, ns_join, semi_restrict
+from ..operators.guards import guarded_join
+from ..operators.joins import interval_join, ns_join, semi_restrict
 from ..operators.translate import rule_matrix_filter
 from . import fixed
 
@@ -58,12 +59,12 @@ def connected_services(services: DataFrame, crosswalk: DataFrame, entries: DataF
         prep, spans, [("PersonalID", "client_id"), ("Legacy_ProgramID", "provider_id")],
         "DateProvided", "entry_date", "exit_date", as_of,
     ).drop("entry_date", "exit_date")
-    return lookup_join(inside, crosswalk, "Legacy_ProgramID")
+    return guarded_join(inside, crosswalk, "Legacy_ProgramID", label="crosswalk")
 
 
 def translated_services(connected: DataFrame, items: DataFrame, translator: DataFrame) -> DataFrame:
     """Services with the target item of the same program and translated name, each row once."""
-    named = lookup_join(connected, translator, "sp_code")
+    named = guarded_join(connected, translator, "sp_code", label="service translator")
     on = [("item_desc", "ServiceItemName"), "Target_ProgramName", "Target_ProgramID"]
     keep = items.select("Target_ProgramID", "Target_ProgramName", "ServiceItemName", "ServiceItemID")
     return ns_join(named, keep, on, "left").distinct()
@@ -89,16 +90,14 @@ def projects_not_done(translated: DataFrame, integrated: Sequence[str] = fixed.I
     return counted.withColumn("ok", F.when(expected, "ok").otherwise("not ok"))
 
 
-def fund_amounts(funds: DataFrame, services: DataFrame, cutoff: str = "2014-06-01") -> DataFrame:
-    """Amount and source per service, through the service group."""
-    kept = funds.where(
+def fund_amounts(funds: DataFrame, cutoff: str = "2014-06-01") -> DataFrame:
+    """Amount and source per service group."""
+    return funds.where(
         F.col("active")
         & (F.col("date_added") >= day(cutoff))
         & (F.col("source") != fixed.FUND_SOURCE_SKIPPED)
         & F.col("last_action").isin(*fixed.FUND_ACTIONS)
     ).select("need_service_group_id", F.col("cost").alias("FAAmount"), "source")
-    groups = services.select("need_service_group_id", F.col("need_service_id").alias("ServicesID"))
-    return ns_join(kept, groups, "need_service_group_id", "left").select("ServicesID", "source", "FAAmount")
 
 
 def program_funds(funds: DataFrame) -> DataFrame:
@@ -114,12 +113,14 @@ def funded_services(
 ) -> DataFrame:
     """Connected services with amount, corrected source and target fund.
 
+    The amounts are those of a service's group, which its row carries; a group with several
+    amounts gives a row for each, as in the source.
     ``changes``: Target_ProgramID, Target_ProgramName, source, NewSource.
     ``fund_codes``: source, funding_source, funding_source_other, FundingSource. Codes
     hold for the programs that have such a fund; others get neither code nor source text.
     """
     done = translated.where(F.col("ServiceItemID").isNotNull())
-    paid = lookup_join(done, amounts, "ServicesID")
+    paid = ns_join(done, amounts, "need_service_group_id", "left")
     changed = ns_join(paid, changes, ["Target_ProgramID", "Target_ProgramName", "source"], "left")
     changed = changed.withColumn("source", F.coalesce("NewSource", "source")).drop("NewSource")
     having = program_funds(funds).select("Target_ProgramID", "FundingSourceID", "FundingOtherID")

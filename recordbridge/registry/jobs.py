@@ -531,8 +531,7 @@ def funded(t: Tables):
         F.when(F.col("o_totalprice") > 400000, "Diversion").when(F.col("o_totalprice") > 200000, "City").otherwise("State").alias("source"),
         F.when(F.col("o_orderstatus") == "P", "Deleted").otherwise("Modified").alias("last_action"), F.lit(True).alias("active"), F.col("o_orderdate").alias("date_added"),
     )
-    raw = need_services(t).select("need_service_group_id", "need_service_id").distinct()
-    amounts = services.fund_amounts(funds, raw, "1996-01-01")
+    amounts = services.fund_amounts(funds, "1996-01-01")
     spark = t.spark
     changes = literal_table(spark, [(1002, "2-HIGH", "City", "Federal")], "Target_ProgramID long, Target_ProgramName string, source string, NewSource string")
     fund_codes = literal_table(spark, [("City", 46, 2, "Local"), ("State", 46, 6, "Other"), ("Federal", 3, None, "CoC")], "source string, funding_source int, funding_source_other int, FundingSource string")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.text import strip_stopwords
-from ..operators import reconcile
+from ..operators import guards, reconcile
 from ..plans import helpers
 from .base import Tables, money, nullif, query
 from .basics import CLEAN_SQL
@@ -165,6 +165,22 @@ def checks(t: Tables):
     )
 
 
+@query("checks_during_write", """
+SELECT 'no status' AS name, CAST(count(*) FILTER (nullif(o_orderstatus, 'P') IS NULL) = 0 AS INTEGER) AS ok, count(*) FILTER (nullif(o_orderstatus, 'P') IS NULL) AS failing FROM orders
+UNION ALL SELECT 'negative price', CAST(count(*) FILTER (o_totalprice < 0) = 0 AS INTEGER), count(*) FILTER (o_totalprice < 0) FROM orders""")
+def checks_during_write(t: Tables):
+    bad = {"no status": nullif("o_orderstatus", "P").isNull(), "negative price": F.col("o_totalprice") < 0}
+    return guards.checked_write(t.orders, "orders", bad, stop=False)[1]
+
+
+@query("many_to_many_guard_join", """
+SELECT o_orderkey, c_name, c_mktsegment FROM orders LEFT JOIN customer ON c_custkey = o_custkey""")
+def many_to_many_guard_join(t: Tables):
+    """A join that would stop if a customer had two rows."""
+    people = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment")
+    return guards.guarded_join(t.orders.select("o_orderkey", "o_custkey"), people, "o_custkey", label="customers").drop("o_custkey")
+
+
 @query("name_drift", """
 SELECT c_custkey, c_name AS c_name_x, upper(c_name) AS c_name_y FROM customer WHERE c_mktsegment = 'BUILDING'""")
 def name_drift(t: Tables):

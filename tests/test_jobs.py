@@ -155,7 +155,7 @@ def test_services_to_funds(make, rows):
     assert rows(done.select("ServicesID", "EnrollmentID", "ServiceItemID")) == [(1, 100, 7), (2, 100, 7), (2, 101, 7), (4, 102, None)]
     assert services.services_not_connecting(done).count() == 0 and services.services_not_coming(done).count() == 1
     funds = make("need_service_group_id long, cost int, source string, last_action string, active boolean, date_added timestamp", (1, 9, "City", "Modified", True, T0), (1, 9, "Diversion", "Modified", True, T0))
-    amounts = services.fund_amounts(funds, need)
+    amounts = services.fund_amounts(funds)
     changes = make("Target_ProgramID long, Target_ProgramName string, source string, NewSource string", (50, "Ten", "City", "Town"))
     fund_codes = make("source string, funding_source int, funding_source_other int, FundingSource string", ("Town", 46, None, "Local"))
     target = make("Target_ProgramID long, FundingSourceID int, FundingOtherID int, FundingOther string, Active string, TargetFundingSourceID long", (50, 46, None, "t", "Yes", 31), (50, 46, None, "t", "Yes", 30), (50, 46, None, "t", "No", 29))

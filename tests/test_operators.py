@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from recordbridge.functions import codes, dates, text
-from recordbridge.operators import approximate, groups, joins, reconcile, reshape, shape, translate
+from recordbridge.operators import approximate, groups, guards, joins, reconcile, reshape, shape, translate
 
 DAY = dt.date
 
@@ -264,3 +264,24 @@ def test_reconcile_tables(make, rows):
     other = make("k int, amt int", (1, 10), (2, 12), (3, 30), (3, 80), (5, 1))
     extra = make("k int, amt int", (3, 30))
     assert rows(reconcile.amount_reconcile(money, other, extra, "k", "amt")) == [(3, 1, 10, 1, 80, 70)]
+
+
+def test_checks_run_inside_the_write(spark, make, rows):
+    df = make("k int, v int", (1, 1), (2, -1), (3, None))
+    bad = {"negative": F.col("v") < 0, "no key": F.col("k").isNull()}
+    stored, report = guards.checked_write(df, "t", bad, stop=False)
+    assert rows(stored) == rows(df) and rows(report) == [("negative", 0, 1), ("no key", 1, 0)]
+    with pytest.raises(guards.CheckFailed, match="negative") as error:
+        guards.checked_write(df, "t", bad)
+    assert error.value.failing == {"negative": 1}
+    assert rows(guards.checked_write(df.where("false"), "t", bad)[1]) == [("negative", 1, 0), ("no key", 1, 0)]
+
+
+def test_fan_out_stops_the_job(make, rows):
+    left = make("k int, v int", (1, 1), (1, 2), (None, 3), (4, 4))
+    once = make("k int, name string", (1, "a"), (None, "n"), (2, "b"))
+    assert rows(guards.guarded_join(left, once, "k")) == [(1, 1, "a"), (1, 2, "a"), (4, 4, None), (None, 3, "n")]
+    with pytest.raises(Exception, match="crosswalk: key occurs more than once.*1"):
+        guards.guarded_join(left, once.unionByName(once.where("k = 1")), "k", label="crosswalk").collect()
+    with pytest.raises(Exception, match="more than once"):
+        guards.guarded_join(left, once.unionByName(once.where("k IS NULL")), [("k", "k")]).select("v").collect()
