@@ -109,6 +109,21 @@ def read_sheet_export(t: Tables):
     return sheet.withColumn("day", dates.as_day_text(F.col("day")))
 
 
+@query("import_set_manifest", """
+WITH n AS (SELECT *, row_number() OVER (ORDER BY c_mktsegment, c_custkey) - 1 AS i FROM customer),
+ f AS (SELECT i // 400 AS file, count(*) AS rows, 'c_custkey,c_name,c_mktsegment,rich' || chr(10) || string_agg(c_custkey || ',' || c_name || ',' || c_mktsegment || ',' ||
+   CASE WHEN c_acctbal > 500 THEN '1' ELSE '0' END || chr(10), '' ORDER BY i) AS text FROM n GROUP BY 1)
+SELECT 'Client-' || lpad(CAST(file + 1 AS VARCHAR), 5, '0') || '.csv' AS file, rows, CAST(strlen(text) AS BIGINT) AS bytes, sha256(text) AS sha256 FROM f""")
+def import_set_manifest(t: Tables):
+    """Written twice, from tables laid out differently; the manifest of the second, if all files are as it says and equal."""
+    people = t.customer.select("c_custkey", "c_name", "c_mktsegment", (F.col("c_acctbal") > 500).alias("rich"))
+    first, second = new_folder(t), new_folder(t)
+    one = writers.write_import_set(people, first, "Client", ["c_mktsegment", "c_custkey"], 400, unique=True)
+    two = writers.write_import_set(people.repartition(5, "c_name"), second, "Client", ["c_mktsegment", "c_custkey"], 400, unique=True)
+    broken = writers.broken_files(t.spark, second)
+    return two.join(one, ["file", "rows", "bytes", "sha256"], "left_semi").join(broken, "file", "left_anti")
+
+
 @query("unquote_rewrite", "SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name, CAST(s_nationkey AS VARCHAR) AS s_nationkey FROM supplier")
 def unquote_rewrite(t: Tables):
     quoted, plain = new_folder(t), new_folder(t)

@@ -86,3 +86,26 @@ def test_literal_table_is_known_to_be_small(spark):
     assert [tuple(r) for r in df.collect()] == [(1, "a"), (None, "b")]
     joined = spark.range(1000).join(df, F.col("id") == F.col("k"))
     assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_import_set_is_the_same_each_time(spark, tmp_path):
+    df = spark.range(1000).select((F.col("id") % 7).alias("k"), F.concat(F.lit('a "b", '), F.col("id").cast("string")).alias("text"), (F.col("id") % 2 == 0).alias("even"), F.lit(None).cast("string").alias("none"))
+    one = writers.write_import_set(df, str(tmp_path / "one"), "T", ["k"], 300)
+    writers.write_import_set(df.orderBy(F.rand(3)).repartition(9), str(tmp_path / "two"), "T", ["k"], 300)
+    names = sorted(p.name for p in (tmp_path / "one").glob("[!.]*"))
+    assert names == ["T-00001.csv", "T-00002.csv", "T-00003.csv", "T-00004.csv", "manifest.csv"]
+    for n in names:
+        assert (tmp_path / "one" / n).read_bytes() == (tmp_path / "two" / n).read_bytes()
+    assert [r.rows for r in one.orderBy("file").collect()] == [300, 300, 300, 100] and writers.broken_files(spark, str(tmp_path / "one")).count() == 0
+    back = readers.read_text_csv(spark, str(tmp_path / "one" / "T-0*.csv"))
+    assert back.count() == 1000 and back.where("even = 1").count() == 500
+    assert (tmp_path / "one" / "T-00001.csv").read_text().startswith('k,text,even,none\n0,"a ""b"", 0",1,\n')
+    with pytest.raises(ValueError, match="exists"):
+        writers.write_import_set(df, str(tmp_path / "one"), "T", ["k"], 300)
+    with open(tmp_path / "two" / "T-00002.csv", "a") as file:
+        file.write("more\n")
+    (tmp_path / "two" / ".T-00002.csv.crc").unlink(missing_ok=True)
+    (tmp_path / "two" / "T-00004.csv").unlink()
+    assert sorted(map(tuple, writers.broken_files(spark, str(tmp_path / "two")).collect())) == [("T-00002.csv", "changed"), ("T-00004.csv", "missing")]
+    assert writers.write_import_set(df.where("false"), str(tmp_path / "none"), "T", ["k"]).count() == 0
+    assert not list(tmp_path.glob("*.making-*"))
