@@ -15,6 +15,7 @@ from ..functions import codes, dates
 from ..operators import joins
 from ..plans import assessments, clients, cohort, extract, helpers, import_tables, notes, services
 from ..session import materialise
+from ..sources import buckets
 from ..sources.readers import literal_table
 from .base import ORACLE, Tables, money, nullif, query
 from .basics import CROSSWALK_SQL, crosswalk_tables, provider_table
@@ -179,6 +180,21 @@ def client_custom(t: Tables):
     )
 
 
+@query("client_custom_bucketed", ORACLE["client_custom"])
+def client_custom_bucketed(t: Tables):
+    """The same from answers and clients in buckets by client: nothing is shuffled before the ids."""
+    kept = buckets.bucketed_dump(t.spark, {"answers": answers(t), "people": people(t)}, "client_id", 8)
+    return clients.client_custom(
+        kept["answers"], kept["people"], dates.day("2021-06-07"), CLIENT_QUESTIONS, ["c_when"], {"c_list": {"Y": 1, "N": 8}}
+    )
+
+
+@query("covid_screening_bucketed", ORACLE["covid_screening"])
+def covid_screening_bucketed(t: Tables):
+    kept = buckets.bucketed_dump(t.spark, {"answers": answers(t), "people": people(t)}, "client_id", 8)
+    return assessments.covid_screening(kept["answers"], kept["people"], agency_crosswalk(t), SCREENING, date_question="signup")
+
+
 @query("stray_answers", f"""
 WITH {ANSWERS_SQL}, why AS (SELECT o_custkey AS client_id FROM orders WHERE o_orderstatus = 'P' INTERSECT SELECT c_custkey FROM customer WHERE c_acctbal > 500),
  made AS (SELECT o_custkey AS client_id, min(o_orderdate) AS date_added FROM orders GROUP BY 1),

@@ -133,3 +133,31 @@ def test_interval_join_spreads_a_hot_key(spark, hot):
         assert out.count() == 10 * 1441
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_bucketed_tables_are_not_shuffled(spark):
+    """Screening and client answers by client, from buckets by client: no exchange but that of broadcast lookups."""
+    from recordbridge.functions import dates
+    from recordbridge.plans import assessments, clients
+    from recordbridge.registry import jobs
+    from recordbridge.registry.base import Tables
+    from recordbridge.sources import buckets
+
+    t = Tables(spark, CHECKED)
+    kept = buckets.bucketed_dump(spark, {"answers": jobs.answers(t), "people": jobs.people(t)}, "client_id", 8)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "2000")  # for the crosswalk of a few rows
+    try:
+        wide = clients.client_custom(kept["answers"], kept["people"], dates.day("2021-06-07"), jobs.CLIENT_QUESTIONS, ["c_when"], {}, numbered=False)
+        screening = assessments.covid_screening(kept["answers"], kept["people"], readers_literal(spark), jobs.SCREENING, numbered=False, date_question="signup")
+        for df in (wide, screening):
+            text = plan(df)
+            assert "SortMergeJoin" in text and "Exchange hashpartitioning" not in text and "Exchange rangepartitioning" not in text
+            assert df.count() > 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def readers_literal(spark):
+    from recordbridge.sources.readers import literal_table
+
+    return literal_table(spark, [(1, 10)], "Legacy_ProgramID long, Target_AgencyID long")
