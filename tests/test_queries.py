@@ -4,6 +4,7 @@ import re
 
 import pytest
 from oracle import compare, connect
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from recordbridge.operators import groups, joins
@@ -31,17 +32,21 @@ def plan(df):
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_plan_scales(spark, name):
+def test_plan_scales(spark, name, monkeypatch):
+    """Of the query itself, and of every table that it writes on its way."""
+    plans, write = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **b: (plans.append(plan(self._df)), write(self, *a, **b))[1])
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        text = plan(QUERIES[name](spark, SMALL))
+        plans.append(plan(QUERIES[name](spark, SMALL)))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    for operator in ("NestedLoop", "CartesianProduct", "PythonUDF", "ArrowEval", "MapInPandas"):
-        assert operator not in text
-    # The only whole-table window adds up the row counts of partitions.
-    for found in re.findall(r"Window [^\n]*\n[^\n]*Sort[^\n]*\n[^\n]*Exchange SinglePartition", text):
-        assert "__part" in found
+    for text in plans:
+        for operator in ("NestedLoop", "CartesianProduct", "PythonUDF", "ArrowEval", "MapInPandas"):
+            assert operator not in text
+        # The only whole-table window adds up the row counts of partitions.
+        for found in re.findall(r"Window [^\n]*\n[^\n]*Sort[^\n]*\n[^\n]*Exchange SinglePartition", text):
+            assert "__part" in found
 
 
 def test_filters_and_columns_reach_the_scan(spark):
