@@ -201,14 +201,14 @@ WITH {ANSWERS_SQL}, why AS (SELECT o_custkey AS client_id FROM orders WHERE o_or
  r AS (SELECT *, rank() OVER (PARTITION BY client_id, question_code ORDER BY date_effective DESC, date_added DESC) AS i FROM answers
    WHERE active AND question_code IN ('click', 'error') AND client_id IN (SELECT client_id FROM why)),
  s AS (SELECT client_id, max(date_added) AS hi, min(date_added) AS lo FROM r WHERE i = 1 GROUP BY 1)
-SELECT why.client_id, CASE WHEN made.date_added >= TIMESTAMP '1996-01-10' THEN 'client created after file created' END AS created_why,
+SELECT why.client_id, strftime(made.date_added, '%Y-%m-%d %H:%M:%S') AS date_added, strftime(hi, '%Y-%m-%d %H:%M:%S') AS max_added, strftime(lo, '%Y-%m-%d %H:%M:%S') AS min_added, CASE WHEN made.date_added >= TIMESTAMP '1996-01-10' THEN 'client created after file created' END AS created_why,
  CASE WHEN s.client_id IS NULL THEN NULL WHEN hi < TIMESTAMP '2024-01-20' OR lo >= TIMESTAMP '1996-01-10' THEN 'answers added before or after window' ELSE 'don''t know' END AS answer_why
 FROM why LEFT JOIN made ON made.client_id = why.client_id LEFT JOIN s ON s.client_id = why.client_id""")
 def stray_answers(t: Tables):
     strays = t.orders.where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("client_id"))
     made = t.orders.groupBy(F.col("o_custkey").alias("client_id")).agg(F.min("o_orderdate").alias("date_added"))
     out = clients.stray_answers(strays, people(t), made, answers(t), ["click", "error"], "1996-01-10", "2024-01-20")
-    return out.select("client_id", "created_why", "answer_why")
+    return out.withColumns({c: dates.as_time_text(F.col(c)) for c in ("date_added", "max_added", "min_added")})
 
 
 def recordsets(t: Tables):
@@ -627,11 +627,12 @@ def bed_flags(t: Tables):
     return inventory(t).select(F.col("InventoryID").alias("id"), *[c.alias(n) for n, c in codes.bed_flags().items()])
 
 
-@query("program_inventory", f"""WITH {BEDS_SQL} SELECT id, id AS ref_program, 'OH-507' AS coc, bed_non_dedicated, bed_inventory, is_bed_other_youth, 1 AS unit_inventory FROM b""")
+@query("program_inventory", f"""WITH {BEDS_SQL}, named AS (SELECT id AS bed_id, {", ".join(f"{c} AS program_inventory__{c}" for kind in ("youth_veteran", "other_veteran", "other_youth", "non_dedicated", "ch_veteran", "ch_youth", "ch_other") for c in (f"bed_{kind}", f"is_bed_{kind}"))}, bed_inventory AS program_inventory__bed_inventory FROM b)
+SELECT bed_id AS id, bed_id AS ref_program, * EXCLUDE (bed_id), 'OH-507' AS program_inventory__coc, 1 AS program_inventory__unit_inventory, 1 AS program_inventory__ref_household_type, 1 AS program_inventory__ref_bed_type, 1 AS program_inventory__availability,
+ '2020-01-01' AS program_inventory__information_date, '2020-01-01' AS program_inventory__start_date, '2020-01-01' AS program_inventory__end_date, '2020-01-01' AS added_date, '2020-01-01' AS last_updated FROM named""")
 def program_inventory(t: Tables):
     out = import_tables.program_inventory(inventory(t))
-    names = ("coc", "bed_non_dedicated", "bed_inventory", "is_bed_other_youth", "unit_inventory")
-    return out.select("id", "ref_program", *[F.col(f"program_inventory__{c}").alias(c) for c in names])
+    return out.withColumns({f.name: dates.as_day_text(F.col(f.name)) for f in out.schema if f.dataType.typeName() in ("date", "timestamp")})
 
 
 @query("inventory_not_adding_up", f"""WITH {BEDS_SQL} SELECT id, bed_non_dedicated, bed_inventory FROM b
