@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codes import round_even
-from ..functions.dates import days_between
+from ..functions.dates import day, days_between
+from ..functions.nulls import not_in
 from ..functions.text import strip_stopwords
 from ..session import materialise
 from .approximate import PREFIX_LENGTH, distance_limit, unmatched_substrings
@@ -152,6 +153,31 @@ def member_drift(a: DataFrame, b: DataFrame, on: Sequence[str | tuple[str, str]]
     return anti_exclude(a, b, on)
 
 
+def user_comparison(
+    source: DataFrame, target: DataFrame, opened: str, skipped: Sequence[str] = (), support_role: str = "SUPPORT",
+) -> DataFrame:
+    """Users of two systems that need a look, with all attributes of their own system as a map.
+
+    ``created after file``: added to the source on or after ``opened``. ``not in target``: active, not of the
+    support role, not ``skipped``, and unknown to the target. ``not in source``: with a role in the
+    target, unknown to the source. ``source``: users_username, users_status, users_role,
+    users_audit_date_added; ``target``: staff_username, staff_primary_access_role; both may have more.
+    """
+    def found(df: DataFrame, name: str, finding: str) -> DataFrame:
+        attributes = F.map_from_arrays(F.array(*[F.lit(c) for c in df.columns]), F.array(*[F.col(f"`{c}`").cast("string") for c in df.columns]))
+        return df.select(F.lit(finding).alias("finding"), F.col(name).alias("username"), attributes.alias("attributes"))
+
+    staff = target.where(F.col("staff_primary_access_role").isNotNull())
+    late = source.where(F.col("users_audit_date_added") >= day(opened))
+    # An unknown status or role is no reason to expect the user.
+    expected = source.where((F.col("users_status") == "Yes") & (F.col("users_role") != support_role) & not_in(F.col("users_username"), list(skipped)))
+    missing = member_drift(expected, staff, [("users_username", "staff_username")])
+    new = member_drift(staff, source, [("staff_username", "users_username")])
+    return reduce(DataFrame.unionByName, [
+        found(late, "users_username", "created after file"), found(missing, "users_username", "not in target"), found(new, "staff_username", "not in source"),
+    ])
+
+
 def amount_reconcile(left: DataFrame, right: DataFrame, extra: DataFrame, key: str, amount: str) -> DataFrame:
     """Ids whose amounts disagree by more than the average disagreement.
 

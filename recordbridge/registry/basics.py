@@ -351,6 +351,18 @@ def full_coalesce(t: Tables):
     return joins.full_coalesce([a, b, c], ["k"], unique_keys=True)
 
 
+@query("full_coalesce_repeated", """
+WITH a AS (SELECT nullif(n_nationkey, 4) AS k, n_name FROM nation), b AS (SELECT DISTINCT nullif(c_nationkey, 5) AS k, c_mktsegment FROM customer), c AS (SELECT DISTINCT s_nationkey + 10 AS k, s_suppkey % 3 AS third FROM supplier),
+ ab AS (SELECT coalesce(a.k, b.k) AS k, n_name, c_mktsegment FROM a FULL JOIN b ON a.k IS NOT DISTINCT FROM b.k)
+SELECT coalesce(ab.k, c.k) AS k, n_name, c_mktsegment, third FROM ab FULL JOIN c ON ab.k IS NOT DISTINCT FROM c.k""")
+def full_coalesce_repeated(t: Tables):
+    """Keys that occur several times in a frame: the chain of full joins."""
+    a = t.nation.select(F.nullif("n_nationkey", F.lit(4)).alias("k"), "n_name")
+    b = t.customer.select(F.nullif("c_nationkey", F.lit(5)).alias("k"), "c_mktsegment").distinct()
+    c = t.supplier.select((F.col("s_nationkey") + 10).alias("k"), (F.col("s_suppkey") % 3).alias("third")).distinct()
+    return joins.full_coalesce([a, b, c], ["k"])
+
+
 @query("semi_restrict", """
 SELECT c_custkey, c_name FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 450000)""")
 def semi_restrict(t: Tables):

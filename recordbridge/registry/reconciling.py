@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import dates
 from ..functions.text import strip_stopwords
 from ..operators import guards, reconcile
 from ..plans import helpers
@@ -83,6 +84,29 @@ def member_drift(t: Tables):
     return reconcile.member_drift(t.customer.select("c_custkey", "c_name", "c_mktsegment"), large, [("c_custkey", "o_custkey")])
 
 
+@query("user_comparison", """
+WITH s AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE c_name END AS users_username, CASE WHEN c_acctbal > 0 THEN 'Yes' WHEN c_acctbal > -500 THEN 'No' END AS users_status,
+  CASE c_mktsegment WHEN 'BUILDING' THEN 'SUPPORT' WHEN 'MACHINERY' THEN NULL ELSE c_mktsegment END AS users_role, DATE '2021-04-28' + CAST(c_custkey % 20 AS INTEGER) AS added FROM customer),
+ g AS (SELECT c_name AS staff_username, 'staff' AS role FROM customer WHERE c_custkey % 3 <> 0 AND c_custkey % 7 <> 0 UNION ALL SELECT s_name, CASE WHEN s_suppkey % 2 = 0 THEN 'staff' END FROM supplier),
+ t AS (SELECT * FROM g WHERE role IS NOT NULL)
+SELECT 'created after file' AS finding, users_username AS username, users_role AS role FROM s WHERE added >= DATE '2021-05-07'
+UNION ALL SELECT 'not in target', users_username, users_role FROM s WHERE users_status = 'Yes' AND users_role <> 'SUPPORT' AND (users_username IS NULL OR users_username NOT IN ('Customer#000000004', 'Customer#000000006'))
+  AND NOT EXISTS (SELECT 1 FROM t WHERE staff_username IS NOT DISTINCT FROM users_username)
+UNION ALL SELECT 'not in source', staff_username, role FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE users_username IS NOT DISTINCT FROM staff_username)""")
+def user_comparison(t: Tables):
+    k, balance, segment = F.col("c_custkey"), F.col("c_acctbal"), F.col("c_mktsegment")
+    source = t.customer.select(
+        F.when(k % 10 != 0, F.col("c_name")).alias("users_username"), F.when(balance > 0, "Yes").when(balance > -500, "No").alias("users_status"),
+        F.when(segment == "BUILDING", "SUPPORT").when(segment != "MACHINERY", segment).alias("users_role"), F.date_add(dates.day("2021-04-28"), (k % 20).cast("int")).alias("users_audit_date_added"),
+    )
+    target = t.customer.where("c_custkey % 3 <> 0 AND c_custkey % 7 <> 0").select(F.col("c_name").alias("staff_username"), F.lit("staff").alias("staff_primary_access_role")).unionByName(
+        t.supplier.select(F.col("s_name").alias("staff_username"), F.when(F.col("s_suppkey") % 2 == 0, "staff").alias("staff_primary_access_role"))
+    )
+    out = reconcile.user_comparison(source, target, "2021-05-07", ["Customer#000000004", "Customer#000000006"])
+    role = F.coalesce(F.col("attributes")["users_role"], F.col("attributes")["staff_primary_access_role"])
+    return out.select("finding", "username", role.alias("role"))
+
+
 @query("amount_reconcile", """
 WITH l AS (SELECT o_orderkey AS id, count(*) AS n, sum(CAST(o_totalprice AS DECIMAL(12,2))) AS amt FROM orders GROUP BY 1),
  r AS (SELECT l_orderkey AS id, count(*) AS n, sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS amt FROM lineitem GROUP BY 1),
