@@ -44,6 +44,7 @@ class Settings:
     whole: int = 5
     page: int = 32  # points on a leaf of an R-tree
     block: int = 4096  # nodes of a cell joined in one task
+    stars: int = 2  # most rounds of new first nodes
     small: int = 1_000_000  # most ids sent to all executors; beyond, the join is shuffled
 
 
@@ -257,13 +258,37 @@ class Tree:
                 yield self.order[x + begin], other.order[y + theirs.start]
 
 
-def _cells(lists: DataFrame, nodes: DataFrame, labels: DataFrame, settings: Settings) -> DataFrame:
-    """Pairs (a, b) from the lists that hold several components, by R-tree joins of their cells."""
-    named = lists.select("token", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+def _named(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """(token, node, label) of lists; a node without links is its own label."""
+    return lists.select("token", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
+def _mixed(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """(token, node) of the lists that hold several components; lists of the same nodes, many for two near copies, once."""
+    named = _named(lists, labels)
     spread = F.xxhash64("node", F.lit(1)).cast("decimal(38,0)")
     mixed = named.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.sum(spread).alias("s"), F.bit_xor(F.xxhash64("node")).alias("x"), F.count("*").alias("c"))
-    # Lists of the same nodes, many for two near copies, are joined once.
     mixed = mixed.where("lo < hi").groupBy("s", "x", "c").agg(F.min("token").alias("token")).select("token")
+    return named.join(mixed, "token", "left_semi").select("token", "node")
+
+
+def _more_stars(mixed: DataFrame, labels: DataFrame, firsts: DataFrame, checked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(token, first) of the lists with a node outside the components of their ``firsts``, and the new pairs (first, node) as (a, b)."""
+    named = _named(mixed, labels)
+    covered = _named(firsts.select("token", F.col("first").alias("node")), labels).select("token", "label").distinct()
+    open_ = named.join(covered, ["token", "label"], "left_anti")
+    new = open_.groupBy("token").agg(F.min(F.struct("node", "label")).alias("x")).select("token", F.col("x.node").alias("first"), F.col("x.label").alias("own"))
+    new = materialise(new, "new-firsts")
+    pairs = named.join(new, "token").where("label <> own").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
+    known = checked.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
+    fresh = pairs.withColumns({"x": F.least("a", "b"), "y": F.greatest("a", "b")}).join(known, ["x", "y"], "left_anti").select("a", "b")
+    return new.select("token", "first"), materialise(fresh, "star-pairs")
+
+
+def _cells(mixed: DataFrame, nodes: DataFrame, labels: DataFrame, settings: Settings) -> DataFrame:
+    """Pairs (a, b) from the lists that hold several components, by R-tree joins of their cells."""
+    named = _named(mixed, labels)
+    mixed = named.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("token")
     held = named.join(mixed, "token").join(nodes.selectExpr("row AS node", "n", "point", "int(ln(n) / ln(1.25)) AS band"), "node")
     # A band's cell also holds the next band, the only other one that it has links with.
     held = held.select("*", F.explode(F.array("band", F.col("band") - 1)).alias("cell"))
@@ -311,9 +336,18 @@ def _labelled(df: DataFrame, key: str, text: str, settings: Settings) -> DataFra
     kept = nodes.where("n > 0")
     first = materialise(_verified(_passing(checked, kept, settings), nodes, df, key, text, settings), "links")
     labels = components(first)
-    second = _cells(lists, kept, labels, settings).join(checked, ["a", "b"], "left_anti")
-    more = _verified(second, nodes, df, key, text, settings)
-    labels = components(first.unionByName(more))
+    mixed = materialise(_mixed(lists, labels), "mixed-lists")
+    leads, links = mixed.groupBy("token").agg(F.min("node").alias("first")), first
+    for _ in range(settings.stars):
+        new, pairs = _more_stars(mixed, labels, leads, checked)
+        if pairs.isEmpty():
+            break
+        leads, checked = leads.unionByName(new), checked.unionByName(pairs)
+        links = materialise(links.unionByName(_verified(_passing(pairs, kept, settings), nodes, df, key, text, settings)), "links")
+        labels = components(links)
+    known = checked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = _cells(mixed, kept, labels, settings).join(known, ["a", "b"], "left_anti")
+    labels = components(links.unionByName(_verified(rest, nodes, df, key, text, settings)))
     return own.join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn("label", F.coalesce("label", "class"))
 
 

@@ -120,8 +120,26 @@ def test_jaccard_second_round_and_blocks(spark):
             x, y = top(a), top(b)
             up[max(x, y)] = min(x, y)
     df = spark.createDataFrame(rows, "doc_id int, text string")
-    got = {r.doc_id: r.component_id for r in jaccard.link(df, "doc_id", "text", jaccard.Settings(block=8, page=3, small=0)).collect()}
-    assert got == {i: top(i) for i in sets}
+    for stars in (0, 4):
+        got = {r.doc_id: r.component_id for r in jaccard.link(df, "doc_id", "text", jaccard.Settings(block=8, page=3, small=0, stars=stars)).collect()}
+        assert got == {i: top(i) for i in sets}
+
+
+def test_jaccard_cells_do_not_pair_near_copies(spark, monkeypatch):
+    """600 near copies whose lists are all led by unrelated texts: the cells have next to nothing left to pair."""
+    rnd = random.Random(8)
+    base = [f"w{i}" for i in range(120)]
+    leads = [(i, " ".join([f"x{i}-{j}" for j in range(30)] + base[i : i + 5] + [f"y{i}-{j}" for j in range(30)])) for i in range(116)]
+    copies = []
+    for i in range(1000, 1600):
+        own = list(base)
+        own[rnd.randrange(120)] = f"z{i}"
+        copies.append((i, " ".join(own)))
+    made, cells = [], jaccard._cells
+    monkeypatch.setattr(jaccard, "_cells", lambda *x: (out := cells(*x), made.append(out.count()))[0])
+    df = spark.createDataFrame(leads + copies, "doc_id int, text string")
+    got = {r.doc_id: r.component_id for r in jaccard.link(df, "doc_id", "text").collect()}
+    assert got == {i: i for i, _ in leads} | {i: 1000 for i, _ in copies} and made[0] < 600
 
 
 def test_components(spark):
