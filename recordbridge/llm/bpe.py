@@ -16,7 +16,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+from array import array
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -25,7 +27,7 @@ from pyspark.sql.types import StructType
 
 from . import texts
 
-CACHE = 150_000  # pre-tokens whose ids a Python worker keeps
+CACHE = 150_000  # pre-tokens whose ids a Python worker keeps, as bytes
 
 
 class Codec:
@@ -36,7 +38,7 @@ class Codec:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.pattern = regex.compile(pattern)
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one pre-token, by repeated merging of the pair of lowest rank."""
@@ -69,19 +71,19 @@ class Codec:
             i = after[i]
         return ids
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> np.ndarray:
         known, ids = self.known, []
         for piece in self.pattern.findall(text):
             own = known.get(piece)
             if own is None:
-                own = self.merge(piece.encode())
+                own = array("i", self.merge(piece.encode())).tobytes()
                 if len(known) < CACHE and len(piece) < 64:
                     known[piece] = own
-            ids += own
-        return ids
+            ids.append(own)
+        return np.frombuffer(b"".join(ids), np.int32)
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+    def decode(self, ids: np.ndarray | list[int]) -> bytes:
+        return b"".join(map(self.tokens.__getitem__, np.asarray(ids).tolist()))
 
     def boundaries(self, text: str) -> list[int]:
         """Ends of the pre-tokens."""
@@ -171,7 +173,7 @@ def _encoded(df: DataFrame, text: str, path: str, pattern: str, columns: str, fi
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1)
-                values = finish(codec(path, pattern), row.column("__ids")[0].as_py())
+                values = finish(codec(path, pattern), row.column("__ids")[0].values.to_numpy())
                 own = {f.name: pa.array([v], kinds.get(f.dataType.simpleString(), pa.list_(pa.int32()))) for f, v in zip(made.fields, values)}
                 yield texts.with_columns(row.drop_columns(["__ids"]), **own)
 
@@ -188,9 +190,9 @@ def decode(df: DataFrame, ids: str, path: str, pattern: str, output: str = "deco
         for batch in batches:
             tool = codec(path, pattern)
             # Row by row: a Python list takes many times the bytes of an Arrow one.
-            decoded = (tool.decode(x.as_py() or []) for x in batch.column(ids))
+            decoded = (tool.decode(x.values.to_numpy()) if x.is_valid else b"" for x in batch.column(ids))
             yield texts.with_columns(batch, __out=pa.array(decoded, pa.binary()))
-        pa.default_memory_pool().release_unused()
+        texts.release()
 
     return df.mapInArrow(work, StructType([*df.schema.fields]).add("__out", "binary")).withColumnRenamed("__out", output)
 
@@ -198,9 +200,9 @@ def decode(df: DataFrame, ids: str, path: str, pattern: str, output: str = "deco
 def digests(df: DataFrame, text: str, path: str, pattern: str, chunk: int = 65536, overlap: int = 1024) -> DataFrame:
     """Rows with ``n_tokens``, ``ids_sha256`` of the decimal ids joined by spaces, ``decoded_sha256`` of the decoded bytes."""
 
-    def finish(tool: Codec, ids: list[int]):
+    def finish(tool: Codec, ids: np.ndarray):
         sha = lambda x: hashlib.sha256(x).hexdigest()
-        return len(ids), sha(" ".join(map(str, ids)).encode()), sha(tool.decode(ids))
+        return len(ids), sha(" ".join(map(str, ids.tolist())).encode()), sha(tool.decode(ids))
 
     df = df.drop("n_tokens", "ids_sha256", "decoded_sha256")
     return _encoded(df, text, path, pattern, "n_tokens bigint, ids_sha256 string, decoded_sha256 string", finish, chunk, overlap)

@@ -135,6 +135,8 @@ def fit(labelled: DataFrame, text: str, label: str, key: str, settings: Settings
         if docs:
             table, bias = _train(docs, np.array(labels), settings)
             yield pa.record_batch({"table": pa.array([table.astype(np.float32).tobytes()]), "bias": pa.array([bias])})
+        docs.clear()
+        texts.release()
 
     made = rows.repartition(1).mapInArrow(train, "table binary, bias double").collect()
     if not made:

@@ -7,6 +7,7 @@ hashes: two different ones collide with a chance of 2^-64 a pair.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
@@ -14,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-SLICE_BYTES = 4 << 20  # text handled at once within a task; a single longer text is handled alone
+SLICE_BYTES = 1 << 20  # text handled at once within a task; a single longer text is handled alone
 BLOCK = 1 << 18  # bytes hashed at once, so that the working arrays stay in the cache
 
 
@@ -149,6 +150,15 @@ def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
         yield batch.slice(begin)
 
 
+def release() -> None:
+    """Give free memory back to the system: a worker lives on and would keep what its largest task took."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library keeps its own ways
+        pass
+
+
 def on_slices(column: str, work: Callable[[pa.RecordBatch], pa.RecordBatch]):
     """Function for mapInArrow that applies ``work`` to parts of bounded size."""
 
@@ -156,7 +166,7 @@ def on_slices(column: str, work: Callable[[pa.RecordBatch], pa.RecordBatch]):
         for batch in batches:
             for part in slices(batch, column):
                 yield work(part)
-        pa.default_memory_pool().release_unused()  # the worker lives on for other stages
+        release()
 
     return run
 
