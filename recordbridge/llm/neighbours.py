@@ -1,13 +1,15 @@
 """Approximate nearest neighbours by inner product: a robust-pruned directed graph for each shard.
 
-Equal vectors are indexed once with their smallest ids, as many as an answer can hold. Each length of
-vectors has shards of its own, cut by a hash of the vector; they hold about ``shard_rows`` each,
-whatever the size of the table, and one task builds one shard's graph. Points are inserted in batches: a greedy search of the graph so far proposes
+Equal vectors are indexed once with their smallest ids, as many as an answer can hold. Each number of
+components has shards of its own, and within it each range of Euclidean lengths (the longest of a range is
+about 1.4 times its shortest), as points of very different lengths would lie in one spot on a shard's
+sphere; ranges are cut by a hash of the vector into shards of about ``shard_rows`` each, whatever the
+size of the table, and one task builds one shard's graph. Points are inserted in batches: a greedy search of the graph so far proposes
 neighbours, the relaxed rule (a candidate goes if a kept neighbour is ``alpha`` times nearer to it
 than the point is) keeps few and diverse ones, and edges back are pruned alike. Inner products become
 distances on a sphere by one further coordinate.
 
-Queries meet every shard of their length: blocks of queries against shards, a beam search each; the answers of all
+Queries meet every shard of their number of components: blocks of queries against shards, a beam search each; the answers of all
 shards are merged by a ranking that is cut before it is shuffled. Graphs work on single precision after
 scaling by a power of two, scores on the vectors as they are in the table.
 """
@@ -143,20 +145,26 @@ def _scaled(vectors: np.ndarray, axis: int | None = None) -> np.ndarray:
 def build(df: DataFrame, key: str, vector: str, k: int, settings: Settings = Settings()) -> DataFrame:
     """Index of every usable row, one row a shard: vectors, graph, entry point, ids of each vector.
 
-    Written to the shared folder. An empty table gives an empty index.
+    Written to the shared folder. An empty table gives an empty index. It answers at most ``k`` neighbours
+    a query; asked for more, the search stops with an error.
     """
     ranked = _usable(df, key, vector).withColumn("nth", F.row_number().over(Window.partitionBy("vector").orderBy("id"))).where(F.col("nth") <= k + 1)
     distinct = materialise(ranked.groupBy("vector", "width").agg(F.array_sort(F.collect_list("id")).alias("ids")), "vectors")
-    # Few rows: a table of n lengths has n * n / 2 numbers at least.
-    shards = distinct.groupBy("width").agg(F.ceil(F.count("*") / settings.shard_rows).alias("shards"))
-    placed = distinct.join(F.broadcast(shards), "width").withColumn("shard", F.pmod(F.xxhash64("vector"), "shards").cast("int"))
+    # Half powers of two, the middle of a range being a power; the largest component is taken out before squaring.
+    size = F.transform("vector", lambda x: F.abs(x.cast("double")))
+    squares = F.aggregate("__size", F.lit(0.0), lambda sum_, x: sum_ + (x / F.col("__most")) * (x / F.col("__most")))
+    distinct = distinct.withColumn("__size", size).withColumn("__most", F.array_max("__size"))
+    distinct = distinct.withColumn("span", F.floor(2 * F.log2("__most") + F.log2(squares) + 0.5).cast("int")).drop("__size", "__most")
+    # Few rows: a table of n numbers of components has n * n / 2 numbers at least, and doubles have some 4,300 ranges.
+    shards = distinct.groupBy("width", "span").agg(F.ceil(F.count("*") / settings.shard_rows).alias("shards"))
+    placed = distinct.join(F.broadcast(shards), ["width", "span"]).withColumn("shard", F.pmod(F.xxhash64("vector"), "shards").cast("int"))
 
     def made(table: pa.Table) -> pa.Table:
         vectors = _matrix(table.column("vector"))
         graph, entry = build_graph(_scaled(vectors), settings)
-        return pa.table({"shard": table.column("shard")[:1], "entry": pa.array([entry], pa.int32()), "width": pa.array([vectors.shape[1]], pa.int32()), "kind": pa.array([vectors.dtype.str]), "vectors": pa.array([vectors.tobytes()], pa.binary()), "graph": pa.array([graph.astype(np.int32).tobytes()], pa.binary()), "ids": pa.array([table.column("ids").to_pylist()], pa.list_(pa.list_(pa.int64())))})
+        return pa.table({"span": table.column("span")[:1], "shard": table.column("shard")[:1], "most": pa.array([k], pa.int32()), "entry": pa.array([entry], pa.int32()), "width": pa.array([vectors.shape[1]], pa.int32()), "kind": pa.array([vectors.dtype.str]), "vectors": pa.array([vectors.tobytes()], pa.binary()), "graph": pa.array([graph.astype(np.int32).tobytes()], pa.binary()), "ids": pa.array([table.column("ids").to_pylist()], pa.list_(pa.list_(pa.int64())))})
 
-    index = placed.groupBy("width", "shard").applyInArrow(made, "shard int, entry int, width int, kind string, vectors binary, graph binary, ids array<array<bigint>>")
+    index = placed.groupBy("width", "span", "shard").applyInArrow(made, "span int, shard int, most int, entry int, width int, kind string, vectors binary, graph binary, ids array<array<bigint>>")
     return materialise(index, "graph-index")
 
 
@@ -169,7 +177,7 @@ def search(index: DataFrame, queries: DataFrame, key: str, vector: str, k: int,
     """
     asked = _usable(queries, key, vector)
     blocks = -(-asked.count() // settings.block_rows) or 1
-    shards = index.groupBy("width").agg(F.max("shard").alias("last"))
+    shards = index.groupBy("width", (F.col("span") + 0).alias("span")).agg(F.max("shard").alias("last"))  # a column of its own, not the index's
     left = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     right = asked.join(F.broadcast(shards), "width").withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).withColumn("shard", F.explode(F.sequence(F.lit(0), "last")))
 
@@ -177,6 +185,8 @@ def search(index: DataFrame, queries: DataFrame, key: str, vector: str, k: int,
         out = {"query_id": [], "vec_id": [], "score": []}
         if shard.num_rows and asked.num_rows:
             row = shard.slice(0, 1).to_pylist()[0]
+            if k > row["most"]:
+                raise ValueError(f"the index holds equal vectors for {row['most']} answers, not {k}")
             vectors = np.frombuffer(row["vectors"], row["kind"]).reshape(-1, row["width"])
             points = _scaled(vectors)
             graph = np.frombuffer(row["graph"], np.int32).reshape(len(vectors), -1)
@@ -192,7 +202,7 @@ def search(index: DataFrame, queries: DataFrame, key: str, vector: str, k: int,
                     out["score"] += [-s for s, _ in near]
         return pa.table({"query_id": pa.array(out["query_id"], pa.int64()), "vec_id": pa.array(out["vec_id"], pa.int64()), "score": pa.array(out["score"], pa.float64())})
 
-    found = left.groupBy("width", "shard", "block").cogroup(right.groupBy("width", "shard", "block")).applyInArrow(answer, "query_id bigint, vec_id bigint, score double")
+    found = left.groupBy("width", "span", "shard", "block").cogroup(right.groupBy("width", "span", "shard", "block")).applyInArrow(answer, "query_id bigint, vec_id bigint, score double")
     best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from recordbridge.llm import bitslices, hyperplanes
+from recordbridge.llm import bitslices, hyperplanes, neighbours
 
 FEW = bitslices.Settings(cells=1500, queries=7)
 SMALL = hyperplanes.Settings(roots=5, sample=40, shard_rows=30, fan=3, leaf=8, block_rows=11)
@@ -139,3 +139,29 @@ def test_tree_rules_out_what_it_can():
         hyperplanes.Walk.score = score
     fits = np.flatnonzero((scores >= low) & (scores <= high) & (labels != labels[7]))
     assert sorted(walk.found[0][0].tolist()) == fits.tolist() and sum(seen) < len(rows) / 2
+
+
+@pytest.mark.parametrize("lengths", ["unit", "lognormal", "one of 1e6", "one of 1e20"])
+def test_neighbours_of_any_length(spark, lengths):
+    """Recall at 20 against brute force; every answer's score is exact."""
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(1200, 24))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if lengths == "lognormal":
+        x *= rng.lognormal(0, 1.5, len(x))[:, None]
+    elif lengths.startswith("one"):
+        x[17] *= float(lengths.split()[-1])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    index = neighbours.build(df, "vec_id", "embedding", 20)
+    found = {}
+    for r in neighbours.search(index, df.where("vec_id % 10 = 0"), "vec_id", "embedding", 20).collect():
+        found.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    hits = 0
+    for q, answers in found.items():
+        scores = x @ x[q]
+        scores[q] = -np.inf
+        hits += len({i for _, i, _ in answers} & set(np.argsort(-scores)[:20].tolist()))
+        assert [r for r, _, _ in sorted(answers)] == list(range(1, 21)) and all(math.isclose(s, scores[i], rel_tol=1e-9, abs_tol=1e-9) for _, i, s in answers)
+    assert len(found) == 120 and hits >= 0.9 * 20 * 120
+    with pytest.raises(Exception, match="20 answers"):
+        neighbours.search(index, df.where("vec_id = 0"), "vec_id", "embedding", 30).collect()
