@@ -105,7 +105,7 @@ def test_urls(spark):
     urls = [None, "", "no scheme", "http://X.ORG/a", "http://x.org", "https://a.example.org/es/1?q#f", "x://com/fr/", "http://bad.net/z", "http://bad.net/z"]
     pages = spark.createDataFrame([(i, u, "x", "x") for i, u in enumerate(urls)], "page_id int, url string, verdict string, sure2 string")
     seen = spark.createDataFrame([("http://bad.net/q", True)] * 3 + [("http://good.net/q", False)] * 30 + [(None, True), ("http://u.net/", None)], "url string, bad boolean")
-    rules = urlrules.mine(seen, "url", "bad", support=0.05)
+    rules = urlrules.mine(seen, "url", "bad")
     rows = urlrules.judge(pages, "url", rules, urlrules.STATED).orderBy("page_id").collect()
     assert [r.verdict for r in rows] == ["allow"] * 5 + ["block", "allow", "block", "block"]
     assert [r.rule for r in rows] == [None, None, None, "org/", None, "example.org/es/", "com/fr/", None, None]
@@ -132,3 +132,40 @@ def test_neighbours_of_every_length_and_precision(spark):
     out = neighbours.search(neighbours.build(df, "vec_id", "embedding", 2), df.where("vec_id IN (1, 10, 13)"), "vec_id", "embedding", 2)
     got = [tuple(r) for r in out.orderBy("query_id", "rank").collect()]
     assert got == [(1, 1, 4, 5.0), (1, 2, 3, 4.0), (10, 1, 11, 2.0 + 0.1 * 0.1), (13, 1, 12, 1e300)]
+
+
+def site(spark, n, bad, name):
+    """``n`` pages of a site, the first ``bad`` of them bad."""
+    return spark.range(n).select(F.concat(F.lit(f"http://{name}/page/"), F.col("id").cast("string")).alias("url"), (F.col("id") < bad).alias("bad"))
+
+
+@pytest.mark.parametrize("others", [300, 30_000])
+def test_a_rare_bad_site_is_found_at_any_size(spark, others):
+    """Four of six pages bad among a quarter: a rule, however many other pages there are; a site like all others gives none."""
+    mixed = spark.range(others).select(F.concat(F.lit("http://host"), (F.col("id") % 50).cast("string"), F.lit(".net/page/"), F.col("id").cast("string")).alias("url"), (F.col("id") * 7919 % 4 == 0).alias("bad"))
+    rules = urlrules.mine(mixed.unionByName(site(spark, 6, 4, "spamfarm.org")).unionByName(site(spark, 8, 2, "plain.org")), "url", "bad").collect()
+    single = {r.tokens[0]: r.confidence for r in rules if len(r.tokens) == 1}
+    assert abs(single["h:spamfarm"] - 4 / 6) < 1e-9 and "h:plain" not in single and "p:page" not in single
+    assert not [r for r in rules if len(r.tokens) == 1 and r.tokens[0].startswith("h:host") and r.confidence < 0.6]
+
+
+def test_combinations_and_supports(spark):
+    """A pair of tokens that is bad only together; every rule's numbers counted again by brute force."""
+    rows = [(f"http://{h}.com/{p}/x{i}", h == "a" and p == "s") for h in "abcd" for p in ("s", "t", "u") for i in range(10)]
+    seen = spark.createDataFrame(rows, "url string, bad boolean")
+    rules = {tuple(r.tokens): r.confidence for r in urlrules.mine(seen, "url", "bad").collect()}
+    assert rules == {("h:a", "p:s"): 1.0}
+    own = [(set(r.own), r.bad) for r in seen.select(urlrules.tokens("url").alias("own"), "bad").collect()]
+    for tokens, sure in rules.items():
+        fits = [b for t, b in own if set(tokens) <= t]
+        assert sum(fits) >= 3 and abs(sum(fits) / len(fits) - sure) < 1e-9
+
+
+def test_a_trap_of_many_segments_ends(spark):
+    """Urls of 60 segments on half the rows, the same ones and any ones."""
+    same = "/".join(f"s{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60))
+    letters = F.array(*[F.lit(f"t{chr(97 + i % 26)}{chr(97 + i // 26)}") for i in range(90)])
+    marked = F.array_sort(F.transform(letters, lambda x: F.struct(F.xxhash64(x, F.col("id")).alias("mark"), x.alias("x"))))
+    some = F.array_join(F.transform(F.slice(marked, 1, 60), lambda x: x["x"]), "/")
+    trap = spark.range(200).select(F.when(F.col("id") % 2 == 0, F.concat(F.lit("http://x.net/"), F.lit(same))).otherwise(F.concat(F.lit("http://x.net/"), some)).alias("url"), (F.col("id") % 3 == 0).alias("bad"))
+    assert urlrules.mine(trap.unionByName(site(spark, 200, 0, "good.org")), "url", "bad").count() >= 0
