@@ -94,11 +94,14 @@ def full_coalesce(frames: Sequence[DataFrame], keys: Sequence[str], unique_keys:
     """Full outer join of several frames on the same keys.
 
     With ``unique_keys`` (one row per key in each frame) the frames are stacked and
-    grouped: one shuffle for all of them, combined before it.
+    grouped: one shuffle for all of them, combined before it. Else every frame is joined to the
+    different keys of all: the keys stay the left side's own, so their partitions serve all
+    joins, and each frame is shuffled once.
     """
     keys = list(keys)
     if not unique_keys:
-        return reduce(lambda a, b: ns_join(a, b, keys, "full"), frames)
+        every = reduce(DataFrame.unionByName, [f.select(*keys) for f in frames]).distinct()
+        return reduce(lambda a, b: ns_join(a, b, keys, "left"), frames, every)
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     rest = [c for c in stacked.columns if c not in keys]
     return stacked.groupBy(*keys).agg(*[F.max(F.col(c)).alias(c) for c in rest])

@@ -62,6 +62,19 @@ def client_cohort(t: Tables):
     return cohort_of(t)
 
 
+@query("dump_projects", """
+WITH p AS (SELECT c_custkey AS id, c_name AS name, c_acctbal > 0 AS active, CASE WHEN c_custkey % 20 = 0 THEN 5 WHEN c_custkey % 3 = 0 THEN 2999 WHEN c_custkey % 7 = 0 THEN 3000 ELSE c_custkey - c_custkey % 10 END AS agency FROM customer)
+SELECT p.id AS "Legacy_ProgramID", CASE p.id WHEN 85 THEN 'Columbiana - Family Recovery Center - Fleming House - TH' WHEN 416 THEN 'zzScioto - Counseling Center - Transitional Living - TH' ELSE p.name END AS "Legacy_ProgramName",
+ agency AS "Legacy_AgencyID", CASE agency WHEN 2999 THEN 'COORDINATED ENTRY - BoSCoC (OH-507)' WHEN 3000 THEN 'COORDINATED ENTRY - MCHCOC (OH-504)' ELSE c_name END AS "Legacy_AgencyName"
+FROM p LEFT JOIN customer ON c_custkey = agency WHERE active""")
+def dump_projects(t: Tables):
+    k = F.col("c_custkey")
+    agency = F.when(k % 3 == 0, 2999).when(k % 7 == 0, 3000).otherwise(k - k % 10)
+    provider = t.customer.select(k.alias("provider_id"), F.col("c_name").alias("name"), (F.col("c_acctbal") > 0).alias("active"), agency.alias("hud_organization_id"))
+    moves = t.customer.where("c_custkey % 20 = 0").select(k.alias("Legacy_ProgramID"), F.lit(5).cast("long").alias("correct_Legacy_AgencyID"))
+    return cohort.dump_projects(provider, moves)
+
+
 @query("household_move_in", """
 WITH x AS (SELECT l_orderkey AS id, min(l_shipdate) AS moved, max(l_shipdate) AS gone FROM lineitem GROUP BY 1),
  e AS (SELECT o_orderkey AS id, o_custkey AS hh, o_orderdate AS entry, CASE WHEN o_orderstatus <> 'P' THEN moved END AS moved,
