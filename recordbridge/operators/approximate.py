@@ -80,7 +80,10 @@ def unmatched_substrings(left: DataFrame, right: DataFrame, key: str, pattern: s
     Both sides are distinct rows without null texts; a null key equals a null key. A pattern of at
     most as many letters as edits (none or one) stands in every text. Equal texts are taken out first.
     """
-    left = anti_exclude(left.select(key, pattern), right.select(key, text), [key, (pattern, text)])
+    given = key, pattern
+    left, right = (df.select(F.col(key).alias("__key"), F.col(c).alias("__pattern")) for df, c in ((left, pattern), (right, text)))
+    key, pattern = "__key", "__pattern"
+    left = anti_exclude(left, right, [key, pattern])
     sized = left.withColumns({"n": F.char_length(pattern), "d": distance_limit(F.col(pattern))})
     long = sized.where("n > d").withColumn("q", F.least(F.lit(PIECE_LETTERS), F.floor(F.col("n") / (F.col("d") + 1))).cast("int"))
     other, spot, here, d = F.col("__text"), F.col("spot"), F.col("__spot"), F.col("d")
@@ -89,7 +92,7 @@ def unmatched_substrings(left: DataFrame, right: DataFrame, key: str, pattern: s
     rest = F.col("n") - spot - F.col("q")
     behind = lambda e: F.when((rest + e >= 0) & (here + F.col("q") + rest + e <= F.char_length(other)), F.substring(other, here + F.col("q") + 1, rest + e))
     edits = _side(F.substring(F.col(pattern), F.lit(1), spot), before, d) + _side(F.substring(F.col(pattern), spot + F.col("q") + 1, rest), behind, d)
-    found = candidates(long, right.select(key, F.col(text).alias("__of")), key, pattern, "__of").where(edits <= d).select(key, pattern).distinct()
+    found = candidates(long, right.withColumnRenamed(pattern, "__of"), key, pattern, "__of").where(edits <= d).select(key, pattern).distinct()
     anywhere = sized.where("n <= d").select(key, pattern)
-    found = found.unionByName(anywhere.join(right.select(F.col(key).alias("__key")).distinct(), F.col(key).eqNullSafe(F.col("__key")), "left_semi"))
-    return anti_exclude(left, found, [key, pattern])
+    found = found.unionByName(ns_join(anywhere, right.select(key).distinct(), [key], "left_semi"))
+    return anti_exclude(left, found, [key, pattern]).toDF(*given)
