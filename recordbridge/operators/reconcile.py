@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.codes import round_even
 from ..functions.dates import day, days_between
-from ..functions.nulls import not_in
+from ..functions.nulls import not_in, strict_agg
 from ..functions.text import strip_stopwords
 from ..session import materialise
 from .approximate import PREFIX_LENGTH, distance_limit, unmatched_substrings
@@ -202,6 +202,38 @@ def amount_reconcile(left: DataFrame, right: DataFrame, extra: DataFrame, key: s
     return off.where(F.col("Amt_diff") > off.agg(F.avg("Amt_diff")).scalar())
 
 
+def mapped_amounts(
+    left: DataFrame, right: DataFrame, extra: DataFrame, id_map: DataFrame, key: str = "EnrollmentID", person: str = "PersonalID", amount: str = "FAAmount"
+) -> tuple[DataFrame, DataFrame]:
+    """Amounts of two systems whose ids differ, and the left ids that have no counterpart.
+
+    ``id_map``: left_id, right_id. Both sides are summed by the pair of ids; a left id with several
+    right ones adds their sums up, and has unknown ones if the right side lacks a pair. ``extra`` holds
+    records (by left id) that sit in the right system beside the compared ones and are taken off. The first table has the
+    ids whose rounded amounts differ by more than the average of those that do, with each
+    right id and its person; the second the left ids without a right one, with their person.
+    """
+    def sums(df: DataFrame, own: str) -> DataFrame:
+        mapped = ns_join(df.select(F.col(key).alias(own), amount), id_map.select("left_id", "right_id"), own, "left")
+        return mapped.groupBy("left_id", "right_id").agg(F.count(F.lit(1)).alias("N"), F.coalesce(F.sum(amount), F.lit(0)).alias("Amt"))
+
+    ours = sums(left, "left_id")
+    both = ns_join(ours, sums(right, "right_id"), ["left_id", "right_id"], "left", ("_left", "_right"))
+    both = materialise(both, "mapped-amounts")
+    per = both.where(F.col("left_id").isNotNull()).groupBy("left_id").agg(*[strict_agg(F.sum, F.col(c)).alias(c) for c in ("N_left", "Amt_left", "N_right", "Amt_right")])
+    less = extra.groupBy(F.col(key).alias("left_id")).agg(F.count(F.lit(1)).alias("__n"), F.coalesce(F.sum(amount), F.lit(0)).alias("__amt"))
+    net = ns_join(per, less, "left_id", "left").withColumns({
+        "N_right": F.col("N_right") - F.coalesce("__n", F.lit(0)), "Amt_right": F.col("Amt_right") - F.coalesce("__amt", F.lit(0)),
+    }).drop("__n", "__amt")
+    off = net.where(round_even(F.col("Amt_left")) != round_even(F.col("Amt_right"))).withColumn("Amt_diff", F.abs(F.col("Amt_right") - F.col("Amt_left")))
+    off = ns_join(off, both.select("left_id", "right_id").distinct(), "left_id", "left")
+    off = ns_join(off, right.select(F.col(key).alias("right_id"), F.col(person).alias("right_person")).distinct(), "right_id", "left")
+    off = materialise(off, "differing-amounts")
+    people = left.select(F.col(key).alias("left_id"), F.col(person).alias("left_person")).distinct()
+    unmapped = ns_join(both.where(F.col("right_id").isNull()).select("left_id", "N_left", "Amt_left"), people, "left_id", "left")
+    return off.where(F.col("Amt_diff") > off.agg(F.avg("Amt_diff")).scalar()), unmapped
+
+
 def fuzzy_prefix(a: DataFrame, b: DataFrame, key: str, text: str, length: int = PREFIX_LENGTH, whole: bool = False) -> DataFrame:
     """Distinct (key, prefix) rows of ``a`` that no prefix under the same key in ``b`` approximately holds.
 

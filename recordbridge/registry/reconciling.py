@@ -124,6 +124,42 @@ def amount_reconcile(t: Tables):
     return out.withColumns({c: F.col(c).cast("double") for c in ("Amt_left", "Amt_right", "Amt_diff")})
 
 
+MAPPED_SQL = """WITH m AS (SELECT o_orderkey AS lid, o_orderkey * 10 + i AS rid FROM orders, range(0, 2) r(i) WHERE o_orderkey % 13 <> 0 AND (i = 0 OR o_orderkey % 5 = 0)),
+ l AS (SELECT o_orderkey AS lid, rid, count(*) AS n, sum(CAST(o_totalprice AS DECIMAL(12,2))) AS amt FROM orders LEFT JOIN m ON m.lid = o_orderkey GROUP BY ALL),
+ rr AS (SELECT l_orderkey * 10 + CASE WHEN l_orderkey % 5 = 0 THEN l_linenumber % 2 ELSE 0 END AS rid, l_orderkey % 100 AS person, CAST(l_extendedprice AS DECIMAL(12,2)) AS amt FROM lineitem WHERE l_orderkey % 11 <> 0),
+ r AS (SELECT lid, rid, count(*) AS n, sum(amt) AS amt FROM rr LEFT JOIN m USING (rid) GROUP BY ALL),
+ b AS (SELECT l.lid, l.rid, l.n AS nl, l.amt AS al, r.n AS nr, r.amt AS ar FROM l LEFT JOIN r ON r.lid IS NOT DISTINCT FROM l.lid AND r.rid IS NOT DISTINCT FROM l.rid),
+ p AS (SELECT lid, sum(nl) AS nl, sum(al) AS al, CASE WHEN count(nr) = count(*) THEN sum(nr) END AS nr, CASE WHEN count(ar) = count(*) THEN sum(ar) END AS ar FROM b GROUP BY 1),
+ x AS (SELECT l_orderkey AS lid, count(*) AS n, sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS amt FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1),
+ d AS (SELECT p.lid, nl, al, nr - coalesce(x.n, 0) AS nr, ar - coalesce(x.amt, 0) AS ar FROM p LEFT JOIN x ON x.lid = p.lid),
+ o AS (SELECT d.*, abs(d.ar - d.al) AS diff, b.rid, w.person FROM d JOIN b ON b.lid = d.lid LEFT JOIN (SELECT DISTINCT rid, person FROM rr) w ON w.rid = b.rid WHERE CASE WHEN abs(d.al - trunc(d.al)) = 0.5 THEN 2 * round(d.al / 2) ELSE round(d.al) END
+   <> CASE WHEN abs(d.ar - trunc(d.ar)) = 0.5 THEN 2 * round(d.ar / 2) ELSE round(d.ar) END)"""
+
+
+def mapped(t: Tables):
+    """Orders against their lines under other ids; a fifth of the orders have two of them, some none."""
+    left = t.orders.select(F.col("o_orderkey").alias("EnrollmentID"), F.col("o_custkey").alias("PersonalID"), money("o_totalprice").alias("FAAmount"))
+    twice = F.when(F.col("o_orderkey") % 5 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    id_map = t.orders.where("o_orderkey % 13 <> 0").select(F.col("o_orderkey").alias("left_id"), F.explode(twice).alias("i")).select("left_id", (F.col("left_id") * 10 + F.col("i")).alias("right_id"))
+    half = F.when(F.col("l_orderkey") % 5 == 0, F.col("l_linenumber") % 2).otherwise(0)
+    right = t.lineitem.where("l_orderkey % 11 <> 0").select((F.col("l_orderkey") * 10 + half).alias("EnrollmentID"), (F.col("l_orderkey") % 100).alias("PersonalID"), money("l_extendedprice").alias("FAAmount"))
+    extra = t.lineitem.where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("EnrollmentID"), money("l_extendedprice").alias("FAAmount"))
+    return reconcile.mapped_amounts(left, right, extra, id_map)
+
+
+@query("mapped_amounts", MAPPED_SQL + """
+SELECT rid AS right_id, lid AS left_id, CAST(nl AS BIGINT) AS "N_left", CAST(al AS DOUBLE) AS "Amt_left", CAST(nr AS BIGINT) AS "N_right", CAST(ar AS DOUBLE) AS "Amt_right", CAST(diff AS DOUBLE) AS "Amt_diff", person AS right_person
+FROM o WHERE diff > (SELECT avg(diff) FROM o)""")
+def mapped_amounts(t: Tables):
+    return mapped(t)[0].withColumns({c: F.col(c).cast("double") for c in ("Amt_left", "Amt_right", "Amt_diff")})
+
+
+@query("unmapped_amounts", MAPPED_SQL + """
+SELECT lid AS left_id, nl AS "N_left", CAST(al AS DOUBLE) AS "Amt_left", o_custkey AS left_person FROM b JOIN orders ON o_orderkey = lid WHERE rid IS NULL""")
+def unmapped_amounts(t: Tables):
+    return mapped(t)[1].withColumn("Amt_left", F.col("Amt_left").cast("double"))
+
+
 def halves(t: Tables):
     """Documents with a label, and those without, by source."""
     docs = t.documents.select("doc_id", "source", "lang", "text")
