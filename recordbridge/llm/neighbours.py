@@ -150,11 +150,11 @@ def build(df: DataFrame, key: str, vector: str, k: int, settings: Settings = Set
     """
     ranked = _usable(df, key, vector).withColumn("nth", F.row_number().over(Window.partitionBy("vector").orderBy("id"))).where(F.col("nth") <= k + 1)
     distinct = materialise(ranked.groupBy("vector", "width").agg(F.array_sort(F.collect_list("id")).alias("ids")), "vectors")
-    # Half powers of two, the middle of a range being a power; the largest component is taken out before squaring.
-    size = F.transform("vector", lambda x: F.abs(x.cast("double")))
-    squares = F.aggregate("__size", F.lit(0.0), lambda sum_, x: sum_ + (x / F.col("__most")) * (x / F.col("__most")))
-    distinct = distinct.withColumn("__size", size).withColumn("__most", F.array_max("__size"))
-    distinct = distinct.withColumn("span", F.floor(2 * F.log2("__most") + F.log2(squares) + 0.5).cast("int")).drop("__size", "__most")
+    # Half powers of two of the length, the middle of a range being one; by the largest component where squares leave the doubles.
+    squares = F.aggregate("vector", F.lit(0.0), lambda sum_, x: sum_ + x.cast("double") * x.cast("double"))
+    largest = F.array_max(F.transform("vector", lambda x: F.abs(x.cast("double"))))
+    power = F.when((squares > 1e-300) & (squares < 1e300), F.log2(squares)).otherwise(2 * F.log2(largest))
+    distinct = distinct.withColumn("span", F.floor(power + 0.5).cast("int"))
     # Few rows: a table of n numbers of components has n * n / 2 numbers at least, and doubles have some 4,300 ranges.
     shards = distinct.groupBy("width", "span").agg(F.ceil(F.count("*") / settings.shard_rows).alias("shards"))
     placed = distinct.join(F.broadcast(shards), ["width", "span"]).withColumn("shard", F.pmod(F.xxhash64("vector"), "shards").cast("int"))
