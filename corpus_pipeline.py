@@ -2,6 +2,10 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read
 back as the next stage's ``docs``. All but the last return the columns of documents.
+
+Every stage judges rows, not ids: null and repeated ids are rows like any other, and further columns of any
+name pass through. A null or empty text has the quality score of no features, is no near duplicate, is not
+contaminated, holds no personal data and has no tokens. Long texts count whole. An empty table stays empty.
 """
 
 from __future__ import annotations
@@ -16,7 +20,8 @@ from recordbridge.session import materialise
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose predicted quality is 1. The model learns from the labelled rows of ``docs``."""
+    """Documents whose predicted quality is 1. The model learns from the labelled rows of ``docs``; a
+    row without id has no label and is judged like all others."""
     judged = quality.judge(docs, table(spark, sf_dir, "labels"))
     return judged.where("predicted = 1").select(docs.columns)
 

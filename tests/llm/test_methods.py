@@ -12,6 +12,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 from recordbridge.llm import bpe, components, hmm, jaccard, passages, pii, queries, texts
 from recordbridge.llm.queries import ORACLE, QUERIES
@@ -299,10 +300,15 @@ def test_pipeline(spark):
     rows = {r.doc_id: r for r in out.select("doc_id", "text", "n_chars", "token_ids", "n_tokens").collect()}
     before = {r.doc_id: r for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
     assert 0 < len(rows) < len(before)
-    # Each stage's decision by its own query: nothing that stays was rejected.
+    # Each stage's decision by its own operator's query: just what all of them keep stays, with the texts of the fourth.
     good = {r.doc_id for r in queries.QUERIES["op1_quality"](spark, SMALL).collect() if r.predicted}
+    linked = jaccard.link(spark.read.parquet(f"{SMALL}/documents.parquet").where(F.col("doc_id").isin(*good)), "doc_id", "text").collect()
+    alone = {r.doc_id for r in linked if r.component_id == r.doc_id}
     bad = {r.doc_id for r in queries.QUERIES["op10_decontamination"](spark, SMALL).collect() if r.contaminated}
-    assert set(rows) <= good - bad
+    assert set(rows) == alone - bad
+    kept = spark.read.parquet(f"{SMALL}/documents.parquet").where(F.col("doc_id").isin(*rows))
+    assert {r.doc_id: r.text for r in pii.replace(kept, "text").collect()} == {i: r.text for i, r in rows.items()}
+    assert {i for i, r in rows.items() if r.text == before[i].text} and {i for i, r in rows.items() if r.text != before[i].text}
     tool = bpe.Codec(PATH, PATTERN)
     for r in rows.values():
         assert r.n_tokens == len(r.token_ids) and tool.decode(list(r.token_ids)).decode() == r.text and r.n_chars == len(r.text)
