@@ -85,7 +85,9 @@ def unmatched_substrings(left: DataFrame, right: DataFrame, key: str, pattern: s
     key, pattern = "__key", "__pattern"
     left = anti_exclude(left, right, [key, pattern])
     sized = left.withColumns({"n": F.char_length(pattern), "d": distance_limit(F.col(pattern))})
-    long = sized.where("n > d").withColumn("q", F.least(F.lit(PIECE_LETTERS), F.floor(F.col("n") / (F.col("d") + 1))).cast("int"))
+    # Written once: the patterns are looked at several times below.
+    sized = materialise(sized.withColumn("q", F.least(F.lit(PIECE_LETTERS), F.floor(F.col("n") / (F.col("d") + 1))).cast("int")), "patterns")
+    long, left = sized.where("n > d"), sized.select(key, pattern)
     other, spot, here, d = F.col("__text"), F.col("spot"), F.col("__spot"), F.col("d")
     # Of the text: the letters just before the piece, and those just behind it.
     before = lambda e: F.when((spot + e >= 0) & (here - spot - e >= 0), F.substring(other, here - spot - e + 1, spot + e))
