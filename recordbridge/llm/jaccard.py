@@ -44,7 +44,7 @@ class Settings:
     whole: int = 5
     page: int = 32  # points on a leaf of an R-tree
     block: int = 4096  # nodes of a cell joined in one task
-    stars: int = 2  # most rounds of new first nodes
+    stars: int = 4  # most rounds of new first nodes
     small: int = 1_000_000  # most ids sent to all executors; beyond, the join is shuffled
 
 
