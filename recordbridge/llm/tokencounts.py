@@ -51,6 +51,7 @@ def count(blocks: DataFrame, end: int = END, width: int = 2) -> DataFrame:
                 heads.append(int(at[0]) if len(at) else len(ids))
                 tails.append(len(ids) - 1 - int(at[-1]) if len(at) else 0)
             yield texts.with_columns(batch.select(["file", "block"]), inner=pa.array(inner, pa.list_(pa.int64())), seps=pa.array(seps, pa.int64()), head=pa.array(heads, pa.int64()), tail=pa.array(tails, pa.int64()))
+        texts.release()
 
     # Every block's report is used twice: for the prefix sum without and for the documents with its counts.
     reports = materialise(blocks.select("file", "block", "ids").mapInArrow(scan, "file string, block bigint, inner array<bigint>, seps bigint, head bigint, tail bigint"), "token-blocks")
@@ -97,6 +98,7 @@ def word_files(df: DataFrame, text: str, key: str, block_bytes: int = 1 << 20) -
                 block, rest = block + len(full), rest[cut:]
         if rest:
             yield row(block=[block], ids=[rest], document=[None], key=[None])
+        texts.release()
 
     made = df.select(text, F.col(key).cast("bigint").alias(key)).mapInArrow(write, "file string, block bigint, ids binary, document bigint, key bigint")
     made = materialise(made, "token-files")

@@ -169,3 +169,13 @@ def test_a_trap_of_many_segments_ends(spark):
     some = F.array_join(F.transform(F.slice(marked, 1, 60), lambda x: x["x"]), "/")
     trap = spark.range(200).select(F.when(F.col("id") % 2 == 0, F.concat(F.lit("http://x.net/"), F.lit(same))).otherwise(F.concat(F.lit("http://x.net/"), some)).alias("url"), (F.col("id") % 3 == 0).alias("bad"))
     assert urlrules.mine(trap.unionByName(site(spark, 200, 0, "good.org")), "url", "bad").count() >= 0
+
+
+def test_token_counts_give_memory_back(spark, monkeypatch):
+    """Both passes end by giving free memory back, as the other text operators do."""
+    given = []
+    kind = type(spark.range(1))
+    monkeypatch.setattr(kind, "mapInArrow", lambda df, work, schema, kept=kind.mapInArrow: (given.append(work), kept(df, work, schema))[1])
+    blocks, _ = tokencounts.word_files(frame(spark), "text", "doc_id", 64)
+    tokencounts.count(blocks)
+    assert len(given) == 2 and all("release" in work.__code__.co_names for work in given)
