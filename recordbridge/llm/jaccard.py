@@ -74,6 +74,7 @@ def frequent(df: DataFrame, text: str, words: int) -> np.ndarray:
                 for own in _sets(part, text, words):
                     np.add.at(counts, (own >> U(64 - HOT_BITS)).astype(np.int64), 1)
                     seen = True
+        texts.release()
         if seen:
             yield pa.record_batch({"shard": pa.array(range(SHARDS), pa.int32()), "counts": pa.array([x.tobytes() for x in np.split(counts, SHARDS)], pa.binary())})
 
@@ -115,6 +116,7 @@ def _nodes(df: DataFrame, key: str, text: str, settings: Settings) -> DataFrame:
                     "prefix": pa.array(prefixes, pa.list_(pa.int64())), "point": pa.array(points, pa.binary()),
                 })
                 row += part.num_rows
+        texts.release()
 
     made = df.select(F.col(key).cast("bigint").alias(key), text, F.xxhash64(text).alias("__hash")).mapInArrow(work, "id bigint, text_hash bigint, row bigint, n int, h1 bigint, h2 bigint, prefix array<bigint>, point binary")
     return materialise(made, "shingle-sets")
@@ -185,6 +187,7 @@ def _passing(pairs: DataFrame, nodes: DataFrame, settings: Settings) -> DataFram
                 dims = min(_size(p), _size(q))
                 keep.append(int(np.minimum(_fold(p, dims), _fold(q, dims)).sum()) >= _needs(n, m, settings))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        texts.release()
 
     return near.select("a", "b", "n", "p", "m", "q").mapInArrow(bound, "a bigint, b bigint")
 
@@ -224,6 +227,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, df: DataFrame, key: str, text:
                     if settings.whole * both >= settings.part * (len(own) + len(other) - both):
                         out.append((at[0], node.as_py()))
             yield pa.record_batch({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
+        texts.release()
 
     return placed.repartition("a", "salt").sortWithinPartitions("a", "salt", "leaf").mapInArrow(check, "a bigint, b bigint").distinct()
 

@@ -179,3 +179,13 @@ def test_token_counts_give_memory_back(spark, monkeypatch):
     blocks, _ = tokencounts.word_files(frame(spark), "text", "doc_id", 64)
     tokencounts.count(blocks)
     assert len(given) == 2 and all("release" in work.__code__.co_names for work in given)
+
+
+def test_jaccard_passes_give_memory_back(spark, monkeypatch):
+    given = []
+    kind = type(spark.range(1))
+    monkeypatch.setattr(kind, "mapInArrow", lambda df, work, schema, kept=kind.mapInArrow: (given.append(work), kept(df, work, schema))[1])
+    jaccard.frequent(frame(spark), "text", 5)
+    pairs, nodes = spark.createDataFrame([(1, 2)], "a bigint, b bigint"), spark.createDataFrame([(1, 1, b"\x01\x01")], "row bigint, n int, point binary")
+    jaccard._passing(pairs, nodes, jaccard.Settings())
+    assert len(given) == 2 and all("release" in work.__code__.co_names for work in given)
