@@ -4,19 +4,22 @@ A document's set is that of its distinct shingles. Equal sets are one node. Shin
 groups; the counts by group are a node's point, and the sum of the coordinates' minima of two points
 bounds their overlap from above, as it does for the upper corners of two boxes of points.
 
+A point's sketch is the parity of the counts by eight times as many groups: two sets differ in as
+many shingles at least as their sketches do in bits, which bounds the overlap once more and far closer.
+
 Two sets of similarity t share a shingle among the first n - ceil(t n) + 1 of each in any common order.
-Nodes that share one, within a size band and the next, are one cell of the join. The order puts
+Nodes that share one are one cell of the join. The order puts
 frequent shingles last (counted over all documents in a table of fixed size), so that a passage many
 documents share makes no large cells. Work inside the cells has two rounds:
 
 1. Every node of a cell list is paired with the list's first node: as many pairs as list entries,
    however large the list. Pairs that pass the point bound are verified on their sets, and the
    verified links give components.
-2. Lists whose nodes are not all in one component are joined through packed R-trees, cell by cell; a
-   cell beyond ``block`` nodes is split into pairs of blocks. Every pair that is not linked already
-   and passes the bound is verified.
+2. Lists whose nodes are not all in one component are joined through packed R-trees, cell by cell and,
+   within a cell, each size band with itself and the next; a cell beyond ``block`` nodes is split into
+   pairs of blocks. Every pair that is not linked already and passes both bounds is verified.
 
-A pair left out is thus in one component, or too different by the bound: no link between components
+A pair left out is thus in one component, or too different by a bound: no link between components
 is lost. Shingles are 64-bit hashes, sets are told apart by 128 bits.
 """
 
@@ -35,6 +38,7 @@ from .components import components
 
 U = np.uint64
 HOT_BITS, SHARDS = 20, 256
+FINER = 8  # bits of a sketch for each group of a point
 
 
 @dataclass(frozen=True)
@@ -76,10 +80,10 @@ def frequent(df: DataFrame, text: str, words: int) -> np.ndarray:
                     seen = True
         texts.release()
         if seen:
-            yield pa.record_batch({"shard": pa.array(range(SHARDS), pa.int32()), "counts": pa.array([x.tobytes() for x in np.split(counts, SHARDS)], pa.binary())})
+            yield pa.record_batch({"shard": pa.array(range(SHARDS), pa.int32()), "counts": pa.array([_packed(x) for x in np.split(counts, SHARDS)], pa.binary())})
 
     def total(table: pa.Table) -> pa.Table:
-        counts = sum(np.frombuffer(x, np.uint32).astype(np.int64) for x in table.column("counts").to_pylist())
+        counts = sum(_unpacked(x).astype(np.int64) for x in table.column("counts").to_pylist())
         hot = np.flatnonzero(counts > 4 * counts.mean() + 50) + table.column("shard")[0].as_py() * len(counts)
         return pa.table({"bucket": pa.array(hot, pa.int32())})
 
@@ -91,7 +95,7 @@ def frequent(df: DataFrame, text: str, words: int) -> np.ndarray:
 
 
 def _nodes(df: DataFrame, key: str, text: str, settings: Settings) -> DataFrame:
-    """(id, text_hash, row, n, h1, h2, prefix, point) of every row, written to the shared folder."""
+    """(id, text_hash, row, n, h1, h2, prefix, point, sketch) of every row, written to the shared folder."""
     hot = df.sparkSession.sparkContext.broadcast(np.packbits(frequent(df, text, settings.words)))
 
     def work(batches):
@@ -100,7 +104,7 @@ def _nodes(df: DataFrame, key: str, text: str, settings: Settings) -> DataFrame:
         flags, row = np.unpackbits(hot.value).view(bool), TaskContext.get().partitionId() << 36
         for batch in batches:
             for part in texts.slices(batch, text):
-                sizes, prints, prefixes, points = [], [], [], []
+                sizes, prints, prefixes, points, sketches = [], [], [], [], []
                 for own in _sets(part, text, settings.words):
                     n = len(own)
                     sizes.append(n)
@@ -110,15 +114,16 @@ def _nodes(df: DataFrame, key: str, text: str, settings: Settings) -> DataFrame:
                     prefixes.append(np.concatenate((own[~late], own[late]))[:first].view(np.int64))
                     dims = int(_dims(n))
                     points.append(_packed(np.bincount((own & U(dims - 1)).astype(np.int64), minlength=dims)))
+                    sketches.append(_sketch(own, FINER * dims))
                 yield pa.record_batch({
                     "id": part.column(key), "text_hash": part.column("__hash"), "row": pa.array(np.arange(row, row + part.num_rows)), "n": pa.array(sizes, pa.int32()),
                     "h1": pa.array([a for a, _ in prints], pa.int64()), "h2": pa.array([b for _, b in prints], pa.int64()),
-                    "prefix": pa.array(prefixes, pa.list_(pa.int64())), "point": pa.array(points, pa.binary()),
+                    "prefix": pa.array(prefixes, pa.list_(pa.int64())), "point": pa.array(points, pa.binary()), "sketch": pa.array(sketches, pa.binary()),
                 })
                 row += part.num_rows
         texts.release()
 
-    made = df.select(F.col(key).cast("bigint").alias(key), text, F.xxhash64(text).alias("__hash")).mapInArrow(work, "id bigint, text_hash bigint, row bigint, n int, h1 bigint, h2 bigint, prefix array<bigint>, point binary")
+    made = df.select(F.col(key).cast("bigint").alias(key), text, F.xxhash64(text).alias("__hash")).mapInArrow(work, "id bigint, text_hash bigint, row bigint, n int, h1 bigint, h2 bigint, prefix array<bigint>, point binary, sketch binary")
     return materialise(made, "shingle-sets")
 
 
@@ -156,17 +161,38 @@ def _lists(entries: DataFrame) -> DataFrame:
 
 
 def _packed(counts: np.ndarray) -> bytes:
-    """Counts in as few bytes each as hold them; the first byte says how many."""
-    width = 1 if counts.max() < 1 << 8 else 2 if counts.max() < 1 << 16 else 4
+    """An even number of counts in as few bytes each as hold them, or half a byte; the first byte says how many (0: half)."""
+    most = counts.max()
+    if most < 1 << 4:
+        low = counts.astype(np.uint8)
+        return b"\0" + (low[::2] | low[1::2] << 4).tobytes()
+    width = 1 if most < 1 << 8 else 2 if most < 1 << 16 else 4
     return bytes([width]) + counts.astype(f"<u{width}").tobytes()
 
 
+def _unpacked(cell: bytes) -> np.ndarray:
+    if cell[0]:
+        return np.frombuffer(cell, f"<u{cell[0]}", offset=1)
+    pairs = np.frombuffer(cell, np.uint8, offset=1)
+    return np.stack((pairs & 15, pairs >> 4), axis=1).ravel()
+
+
 def _size(point: bytes) -> int:
-    return (len(point) - 1) // point[0]
+    return (len(point) - 1) // point[0] if point[0] else 2 * (len(point) - 1)
 
 
 def _fold(point: bytes, dims: int) -> np.ndarray:
-    return np.frombuffer(point, f"<u{point[0]}", offset=1).reshape(-1, dims).sum(axis=0, dtype=np.int32)
+    return _unpacked(point).reshape(-1, dims).sum(axis=0, dtype=np.int32)
+
+
+def _sketch(own: np.ndarray, bits: int) -> bytes:
+    """Parity of the number of shingles in each of ``bits`` groups."""
+    return np.packbits(np.bincount((own >> U(16) & U(bits - 1)).astype(np.int64), minlength=bits) & 1).tobytes()
+
+
+def _fold_bits(sketch: bytes, bits: int) -> np.ndarray:
+    """The sketch with fewer ``bits``, as 64-bit words."""
+    return np.bitwise_xor.reduce(np.frombuffer(sketch, U).reshape(-1, bits // 64), axis=0)
 
 
 def _needs(n, m, s: Settings):
@@ -235,10 +261,10 @@ def _verified(pairs: DataFrame, nodes: DataFrame, df: DataFrame, key: str, text:
 class Tree:
     """Packed R-tree over points of one dimension: pages of neighbours, each with the corner of largest counts."""
 
-    def __init__(self, points: np.ndarray, sizes: np.ndarray, labels: np.ndarray, page: int):
+    def __init__(self, points: np.ndarray, sketches: np.ndarray, sizes: np.ndarray, labels: np.ndarray, page: int):
         # Sort-tile packing: by size, then by the heaviest coordinate.
         order = np.lexsort((points.argmax(axis=1), sizes))
-        self.order, self.points, self.sizes, self.labels = order, points[order], sizes[order], labels[order]
+        self.order, self.points, self.sketches, self.sizes, self.labels = order, points[order], sketches[order], sizes[order], labels[order]
         self.begins = np.arange(0, len(order), page)
         self.corner = np.maximum.reduceat(self.points, self.begins, axis=0)
         self.least, self.most = np.minimum.reduceat(self.sizes, self.begins), np.maximum.reduceat(self.sizes, self.begins)
@@ -246,7 +272,7 @@ class Tree:
         self.page = page
 
     def near(self, other: Tree, settings: Settings):
-        """Pairs of points (places in the input) with different labels that the bound lets pass."""
+        """Pairs of points (places in the input) with different labels that both bounds let pass."""
         for i, begin in enumerate(self.begins):
             room = np.minimum(self.corner[i], other.corner).sum(axis=1)
             may = room >= _needs(self.least[i], other.least, settings)
@@ -259,7 +285,10 @@ class Tree:
                 ok = room >= _needs(self.sizes[own, None], other.sizes[None, theirs], settings)
                 ok &= self.labels[own, None] != other.labels[None, theirs]
                 x, y = np.nonzero(ok)
-                yield self.order[x + begin], other.order[y + theirs.start]
+                x, y = x + begin, y + theirs.start
+                apart = np.bitwise_count(self.sketches[x] ^ other.sketches[y]).sum(axis=1, dtype=np.int64)
+                ok = self.sizes[x] + other.sizes[y] - apart >= 2 * _needs(self.sizes[x], other.sizes[y], settings)
+                yield self.order[x[ok]], other.order[y[ok]]
 
 
 def _named(lists: DataFrame, labels: DataFrame) -> DataFrame:
@@ -293,37 +322,40 @@ def _cells(mixed: DataFrame, nodes: DataFrame, labels: DataFrame, settings: Sett
     """Pairs (a, b) from the lists that hold several components, by R-tree joins of their cells."""
     named = _named(mixed, labels)
     mixed = named.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("token")
-    held = named.join(mixed, "token").join(nodes.selectExpr("row AS node", "n", "point", "int(ln(n) / ln(1.25)) AS band"), "node")
-    # A band's cell also holds the next band, the only other one that it has links with.
-    held = held.select("*", F.explode(F.array("band", F.col("band") - 1)).alias("cell"))
-    counts = held.groupBy("token", "cell").agg(F.count("*").alias("c"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("band").alias("b"))
-    counts = counts.where("lo < hi AND b = cell").select("token", "cell", F.ceil(F.col("c") / settings.block).cast("int").alias("blocks"))
-    held = held.join(counts, ["token", "cell"]).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    held = named.join(mixed, "token")
+    counts = held.groupBy("token").agg(F.ceil(F.count("*") / settings.block).cast("int").alias("blocks"))
+    held = held.join(counts, "token").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     held = held.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
-    held = held.select("token", "cell", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "own", "node", "label", "n", "band", "point")
+    held = held.select("token", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), (F.col("own") <= F.col("with")).alias("left"), "node", "label")
+    held = held.join(nodes.selectExpr("row AS node", "n", "point", "sketch"), "node")
 
     def join(table: pa.Table) -> pa.Table:
-        cell, i, j = (table.column(c)[0].as_py() for c in ("cell", "i", "j"))
-        nodes, labels, sizes, bands, own = (table.column(c).to_numpy() for c in ("node", "label", "n", "band", "own"))
-        cells = table.column("point").to_pylist()
-        dims = min(map(_size, cells))
-        points = np.stack([_fold(c, dims) for c in cells])
+        one_block = table.column("i")[0].as_py() == table.column("j")[0].as_py()
+        left = table.column("left").to_numpy()
+        nodes, labels, sizes = (table.column(c).to_numpy() for c in ("node", "label", "n"))
+        points, sketches = (table.column(c).to_pylist() for c in ("point", "sketch"))
+        bands = (np.log(sizes) / np.log(1.25)).astype(np.int64)
         out = []
-        lower, left = bands == cell, own == i
-        # Both bands of both blocks; pairs within the upper band belong to its own cell.
-        sides = [(lower & left, lower & (own == j)), (lower & left, ~lower & (own == j))] + ([(~lower & left, lower & (own == j))] if i != j else [])
-        for some, others in sides:
-            if some.any() and others.any():
-                x, y = np.flatnonzero(some), np.flatnonzero(others)
-                one = Tree(points[x], sizes[x].astype(np.int64), labels[x], settings.page)
-                two = Tree(points[y], sizes[y].astype(np.int64), labels[y], settings.page)
-                out += [(nodes[x[p]], nodes[y[q]]) for p, q in one.near(two, settings)]
+        for band in np.unique(bands):
+            # A band has links with itself and the next only.
+            held = np.flatnonzero((bands == band) | (bands == band + 1))
+            dims = min(_size(points[x]) for x in held)
+            folded = np.stack([_fold(points[x], dims) for x in held])
+            bits = np.stack([_fold_bits(sketches[x], FINER * dims) for x in held])
+            lower, own = bands[held] == band, left[held]
+            other = own if one_block else ~own
+            # Both bands of both blocks; pairs within the upper band come with that band.
+            for some, others in [(lower & own, lower & other), (lower & own, ~lower & other)] + ([] if one_block else [(~lower & own, lower & other)]):
+                if some.any() and others.any():
+                    x, y = held[some], held[others]
+                    one, two = (Tree(folded[z], bits[z], sizes[held[z]].astype(np.int64), labels[held[z]], settings.page) for z in (some, others))
+                    out += [(nodes[x[p]], nodes[y[q]]) for p, q in one.near(two, settings)]
         a = np.concatenate([np.minimum(p, q) for p, q in out]) if out else np.zeros(0, np.int64)
         b = np.concatenate([np.maximum(p, q) for p, q in out]) if out else np.zeros(0, np.int64)
         found = np.unique(np.stack((a, b)), axis=1)
         return pa.table({"a": pa.array(found[0], pa.int64()), "b": pa.array(found[1], pa.int64())})
 
-    return held.groupBy("token", "cell", "i", "j").applyInArrow(join, "a bigint, b bigint").distinct()
+    return held.groupBy("token", "i", "j").applyInArrow(join, "a bigint, b bigint").distinct()
 
 
 def _labelled(df: DataFrame, key: str, text: str, settings: Settings) -> DataFrame:

@@ -143,6 +143,38 @@ def test_jaccard_cells_do_not_pair_near_copies(spark, monkeypatch):
     assert got == {i: i for i, _ in leads} | {i: 1000 for i, _ in copies} and made[0] < 600
 
 
+def test_jaccard_cells_leave_out_copies_just_too_far_apart(spark, monkeypatch):
+    """200 texts of one base, any two of similarity 0.68 to 0.76: their sketches rule out what their points cannot."""
+    rnd = random.Random(4)
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(200):
+        own = list(base)
+        for at in rnd.sample(range(0, 200, 10), 4):
+            own[at + rnd.randrange(10)] = f"z{i}-{at}"
+        rows.append((i, " ".join(own)))
+    made, cells = [], jaccard._cells
+    monkeypatch.setattr(jaccard, "_cells", lambda *x: (out := cells(*x), made.append(out.count()))[0])
+    sets = [{tuple(w[j : j + 5]) for j in range(196)} for w in (t.split() for _, t in rows)]
+    linked = {(a, b) for a, b in itertools.combinations(range(200), 2) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])}
+    got = {r.doc_id: r.component_id for r in jaccard.link(spark.createDataFrame(rows, "doc_id int, text string"), "doc_id", "text", jaccard.Settings(stars=0)).collect()}
+    assert all(got[a] == got[b] for a, b in linked) and len(linked) < 2000
+    assert made[0] < 2000
+
+
+def test_jaccard_packed_points_and_sketches():
+    rng = np.random.default_rng(3)
+    for most in (16, 256, 1 << 16, 1 << 20):
+        counts = rng.integers(0, most, 256)
+        counts[7] = most - 1
+        cell = jaccard._packed(counts)
+        assert jaccard._size(cell) == 256 and (jaccard._unpacked(cell) == counts).all()
+        assert (jaccard._fold(cell, 64) == counts.reshape(4, 64).sum(axis=0)).all()
+    own = np.unique(rng.integers(0, 1 << 63, 900).astype(np.uint64))
+    whole, folded = jaccard._sketch(own, 2048), jaccard._fold_bits(jaccard._sketch(own, 2048), 512)
+    assert jaccard._sketch(own, 512) == folded.tobytes() and len(whole) == 256
+
+
 def test_components(spark):
     random.seed(1)
     edges = [(i, i + 1) for i in range(60)] + [(100 + i, 100) for i in range(1, 20)] + [(300, 301), (301, 300), (5, 5)]
