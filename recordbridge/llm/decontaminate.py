@@ -66,7 +66,8 @@ def compile_patterns(items: list[tuple[str | None, str | None]], width: int = 13
     for length, patterns in sorted(named.items()):
         block = min(2, length)
         bits = max(12, min(22, int(16 * len(patterns) * length).bit_length()))
-        shift = np.full(1 << bits, length - block + 1, np.int64)
+        # As narrow as the longest skip: every worker holds the table.
+        shift = np.full(1 << bits, length - block + 1, np.min_scalar_type(length))
         firsts = np.array([at for at, _ in patterns.values()])
         for end in range(block - 1, length):
             np.minimum.at(shift, _block_hashes(found.hashes, firsts + end, block, bits), length - 1 - end)
@@ -92,7 +93,7 @@ def _search(data: np.ndarray, found: texts.Words, group: Group):
         here = skip == 0
         zeros.append(at[here])
         blocks.append(key[here])
-        at = at + np.maximum(skip, 1)
+        at = at + np.maximum(skip, 1).astype(np.int64)
         left = at < stop
         at, stop = at[left], stop[left]
     for last, key in zip(np.concatenate(zeros).tolist(), np.concatenate(blocks).tolist()) if zeros else ():

@@ -189,3 +189,9 @@ def test_jaccard_passes_give_memory_back(spark, monkeypatch):
     pairs, nodes = spark.createDataFrame([(1, 2)], "a bigint, b bigint"), spark.createDataFrame([(1, 1, b"\x01\x01")], "row bigint, n int, point binary")
     jaccard._passing(pairs, nodes, jaccard.Settings())
     assert len(given) == 2 and all("release" in work.__code__.co_names for work in given)
+
+
+def test_shift_tables_are_narrow():
+    """Every worker holds the tables: a skip of at most 13 words takes one byte."""
+    (group,) = decontaminate.compile_patterns([(str(i), " ".join(f"w{i}-{j}" for j in range(40))) for i in range(50)])
+    assert group.length == 13 and group.shift.itemsize == 1 and group.shift.max() == 12 and group.shift.min() == 0
