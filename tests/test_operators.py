@@ -285,3 +285,18 @@ def test_fan_out_stops_the_job(make, rows):
         guards.guarded_join(left, once.unionByName(once.where("k = 1")), "k", label="crosswalk").collect()
     with pytest.raises(Exception, match="more than once"):
         guards.guarded_join(left, once.unionByName(once.where("k IS NULL")), [("k", "k")]).select("v").collect()
+
+
+def test_surrogate_id_joins_no_rows_back(spark, make):
+    """The numbers stand in the sorted rows; what is joined is one row a sorted part. Null and repeated rows are numbered too."""
+    df = make("a int, b string", (2, "x"), (None, "y"), (2, "x"), (1, None), (2, None)).repartition(3)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = groups.surrogate_id(df, ["a"], "id", start=5)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        got = sorted(map(tuple, out.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert got == [(5, 1, None), (6, 2, "x"), (7, 2, "x"), (8, 2, None), (9, None, "y")]
+    assert "SortMergeJoin" not in plan and "hashpartitioning(__row" not in plan
