@@ -17,7 +17,7 @@ documents share makes no large cells. Work inside the cells has two rounds:
    verified links give components.
 2. Lists whose nodes are not all in one component are joined through packed R-trees, cell by cell and,
    within a cell, each size band with itself and the next; a cell beyond ``block`` nodes is split into
-   pairs of blocks. Every pair that is not linked already and passes both bounds is verified.
+   pairs of blocks. Cells of one leaf, which most are, have no boxes to compare: all of a batch are done at once. Every pair that is not linked already and passes both bounds is verified.
 
 A pair left out is thus in one component, or too different by a bound: no link between components
 is lost. Shingles are 64-bit hashes, sets are told apart by 128 bits.
@@ -39,6 +39,7 @@ from .components import components
 U = np.uint64
 HOT_BITS, SHARDS = 20, 256
 FINER = 8  # bits of a sketch for each group of a point
+PAIR_BYTES = 1 << 22  # of points compared at once
 
 
 @dataclass(frozen=True)
@@ -202,9 +203,11 @@ def _needs(n, m, s: Settings):
 
 def _passing(pairs: DataFrame, nodes: DataFrame, settings: Settings) -> DataFrame:
     """The pairs (a, b) whose points allow the overlap that a link needs."""
-    side = nodes.select("row", "n", "point")
-    near = pairs.join(side.selectExpr("row AS a", "n AS n", "point AS p"), "a").join(side.selectExpr("row AS b", "n AS m", "point AS q"), "b")
+    sizes, side = nodes.select("row", "n"), nodes.select("row", "point")
+    near = pairs.join(sizes.selectExpr("row AS a", "n"), "a").join(sizes.selectExpr("row AS b", "n AS m"), "b")
+    # Sizes rule out most pairs, before points travel.
     near = near.where((settings.part * F.greatest("n", "m") <= settings.whole * F.least("n", "m")))
+    near = near.join(side.selectExpr("row AS a", "point AS p"), "a").join(side.selectExpr("row AS b", "point AS q"), "b")
 
     def bound(batches):
         for batch in batches:
@@ -291,6 +294,69 @@ class Tree:
                 yield self.order[x[ok]], other.order[y[ok]]
 
 
+def _joined(pairs: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    return tuple(np.concatenate([np.zeros(0, np.int64), *(pair[side] for pair in pairs)]) for side in (0, 1))
+
+
+def _begins(table: pa.Table) -> np.ndarray:
+    """Where the cells (token, i, j) begin."""
+    new = np.arange(table.num_rows) == 0
+    for values in (table.column(name).to_numpy() for name in ("token", "i", "j")):
+        new[1:] |= values[1:] != values[:-1]
+    return np.flatnonzero(new)
+
+
+def _matrix(column: pa.ChunkedArray, rows: np.ndarray) -> np.ndarray:
+    """The binary values of ``rows``, all of one length, as rows of bytes."""
+    data, offsets = texts.flat(column)
+    return data[offsets[rows][:, None] + np.arange(offsets[rows[0] + 1] - offsets[rows[0]])]
+
+
+def _counts(column: pa.ChunkedArray, rows: np.ndarray, dims: int) -> np.ndarray:
+    """The packed points of ``rows``, all of ``dims`` groups, as a matrix."""
+    data, offsets = texts.flat(column)
+    widths = data[offsets[rows]]
+    out = np.empty((len(rows), dims), f"u{max(1, int(widths.max()))}")
+    for width in np.unique(widths):
+        of = np.flatnonzero(widths == width)
+        cells = _matrix(column, rows[of])[:, 1:]
+        out[of] = np.ascontiguousarray(cells).view(f"<u{width}") if width else np.stack((cells & 15, cells >> 4), axis=2).reshape(len(of), dims)
+    return out
+
+
+def _leaves(table: pa.Table, begins: np.ndarray, counts: np.ndarray, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """``Tree.near`` for all cells of one leaf each at once: places of the pairs with different labels that both bounds let pass."""
+    labels, sizes = table.column("label").to_numpy(), table.column("n").to_numpy().astype(np.int64)
+    # Every row with those behind it in its cell.
+    rows = np.arange(counts.sum()) + np.repeat(begins - np.cumsum(counts) + counts, counts)
+    behind = np.repeat(begins + counts, counts) - rows - 1
+    x = np.repeat(rows, behind)
+    y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(behind) - behind, behind)
+    may = (labels[x] != labels[y]) & (settings.part * np.maximum(sizes[x], sizes[y]) <= settings.whole * np.minimum(sizes[x], sizes[y]))
+    x, y = x[may], y[may]
+    groups, place, found = _dims(sizes), np.zeros(table.num_rows, np.int64), []
+    used = np.unique(np.concatenate((x, y)))
+    points, bits = {}, {}
+    for dims in np.unique(groups[used]).tolist():
+        own = used[groups[used] == dims]
+        place[own] = np.arange(len(own))
+        points[dims], bits[dims] = _counts(table.column("point"), own, dims), _matrix(table.column("sketch"), own).view(U)
+    for one, two in [(d, e) for d in points for e in points]:
+        dims = min(one, two)
+        of = np.flatnonzero((groups[x] == one) & (groups[y] == two))
+        if not len(of):
+            continue
+        (p, s), (q, t) = ((points[d] if d == dims else points[d].reshape(-1, d // dims, dims).sum(axis=1, dtype=np.int32), np.bitwise_xor.reduce(bits[d].reshape(len(bits[d]), -1, FINER * dims // 64), axis=1)) for d in (one, two))
+        for part in np.array_split(of, len(of) * dims // PAIR_BYTES + 1):
+            a, b = x[part], y[part]
+            needs = _needs(sizes[a], sizes[b], settings)
+            ok = sizes[a] + sizes[b] - np.bitwise_count(s[place[a]] ^ t[place[b]]).sum(axis=1, dtype=np.int64) >= 2 * needs
+            a, b, needs = a[ok], b[ok], needs[ok]
+            ok = np.minimum(p[place[a]], q[place[b]]).sum(axis=1, dtype=np.int64) >= needs
+            found.append((a[ok], b[ok]))
+    return _joined(found)
+
+
 def _named(lists: DataFrame, labels: DataFrame) -> DataFrame:
     """(token, node, label) of lists; a node without links is its own label."""
     return lists.select("token", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -329,10 +395,10 @@ def _cells(mixed: DataFrame, nodes: DataFrame, labels: DataFrame, settings: Sett
     held = held.select("token", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), (F.col("own") <= F.col("with")).alias("left"), "node", "label")
     held = held.join(nodes.selectExpr("row AS node", "n", "point", "sketch"), "node")
 
-    def join(table: pa.Table) -> pa.Table:
+    def join(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         one_block = table.column("i")[0].as_py() == table.column("j")[0].as_py()
         left = table.column("left").to_numpy()
-        nodes, labels, sizes = (table.column(c).to_numpy() for c in ("node", "label", "n"))
+        labels, sizes = (table.column(c).to_numpy() for c in ("label", "n"))
         points, sketches = (table.column(c).to_pylist() for c in ("point", "sketch"))
         bands = (np.log(sizes) / np.log(1.25)).astype(np.int64)
         out = []
@@ -349,13 +415,35 @@ def _cells(mixed: DataFrame, nodes: DataFrame, labels: DataFrame, settings: Sett
                 if some.any() and others.any():
                     x, y = held[some], held[others]
                     one, two = (Tree(folded[z], bits[z], sizes[held[z]].astype(np.int64), labels[held[z]], settings.page) for z in (some, others))
-                    out += [(nodes[x[p]], nodes[y[q]]) for p, q in one.near(two, settings)]
-        a = np.concatenate([np.minimum(p, q) for p, q in out]) if out else np.zeros(0, np.int64)
-        b = np.concatenate([np.maximum(p, q) for p, q in out]) if out else np.zeros(0, np.int64)
-        found = np.unique(np.stack((a, b)), axis=1)
-        return pa.table({"a": pa.array(found[0], pa.int64()), "b": pa.array(found[1], pa.int64())})
+                    out += [(x[p], y[q]) for p, q in one.near(two, settings)]
+        return _joined(out)
+
+    def pairs(table: pa.Table) -> pa.RecordBatch:
+        nodes, begins = table.column("node").to_numpy(), np.append(_begins(table), table.num_rows)
+        sizes = np.diff(begins)
+        out = [_leaves(table, begins[:-1][sizes <= settings.page], sizes[sizes <= settings.page], settings)]
+        for cell in np.flatnonzero(sizes > settings.page):
+            x, y = join(table.slice(begins[cell], sizes[cell]))
+            out.append((x + begins[cell], y + begins[cell]))
+        x, y = (nodes[z] for z in _joined(out))
+        found = np.unique(np.stack((np.minimum(x, y), np.maximum(x, y))), axis=1)
+        return pa.record_batch({"a": pa.array(found[0], pa.int64()), "b": pa.array(found[1], pa.int64())})
+
+    def cells(batches):
+        rest = None  # the open cell
+        for batch in batches:
+            if batch.num_rows:
+                table = pa.concat_tables([*([] if rest is None else [rest]), pa.Table.from_batches([batch])])
+                last = int(_begins(table)[-1])
+                if last:
+                    yield pairs(table.slice(0, last))
+                rest = table.slice(last)
+        if rest is not None:
+            yield pairs(rest)
+        texts.release()
 
-    return held.groupBy("token", "i", "j").applyInArrow(join, "a bigint, b bigint").distinct()
+    dealt = held.select("token", "i", "j", "left", "node", "label", "n", "point", "sketch").repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+    return dealt.mapInArrow(cells, "a bigint, b bigint").distinct()
 
 
 def _labelled(df: DataFrame, key: str, text: str, settings: Settings) -> DataFrame:

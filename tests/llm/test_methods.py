@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -194,6 +195,41 @@ def test_compact_windows_name_the_least_of_every_subsequence():
     assert not windows
 
 
+def test_cells_of_one_leaf_are_joined_at_once(spark, monkeypatch):
+    """Small cells build no tree, and no pair that the bounds let pass is lost; a large cell still goes by trees."""
+    rng = np.random.default_rng(6)
+    settings, rows, sets = jaccard.Settings(page=8), [], []
+    for token, (size, count) in enumerate([(3, 2), (60, 7), (390, 8), (1990, 5), (2600, 3), (410, 20)]):
+        base = texts.mix(rng.integers(0, 1 << 62, size).astype(np.uint64))
+        for _ in range(count):
+            own = np.unique(np.concatenate((base[rng.random(size) < 0.96], texts.mix(rng.integers(0, 1 << 62, 1).astype(np.uint64)))))
+            dims = int(jaccard._dims(len(own)))
+            point = jaccard._packed(np.bincount((own & np.uint64(dims - 1)).astype(np.int64), minlength=dims))
+            rows.append((token, len(sets), len(own), bytearray(point), bytearray(jaccard._sketch(own, jaccard.FINER * dims))))
+            sets.append(own)
+    df = spark.createDataFrame(rows, "token bigint, row bigint, n int, point binary, sketch binary")
+    none = spark.createDataFrame([], "node bigint, label bigint")
+    got = {(r.a, r.b) for r in jaccard._cells(df.selectExpr("token", "row AS node"), df, none, settings).collect()}
+    linked = lambda x, y: 5 * len(np.intersect1d(x, y)) >= 4 * len(np.union1d(x, y))
+    same = lambda a, b: rows[a][0] == rows[b][0]
+    want = {(a, b) for a, b in itertools.combinations(range(len(sets)), 2) if same(a, b) and linked(sets[a], sets[b])}
+    assert len(want) > 100 and want <= got and all(a < b and same(a, b) for a, b in got)
+    table = pa.table({"token": [r[0] for r in rows], "i": [0] * len(rows), "j": [0] * len(rows), "node": [r[1] for r in rows], "label": [r[1] for r in rows], "n": [r[2] for r in rows], "point": [bytes(r[3]) for r in rows], "sketch": [bytes(r[4]) for r in rows]})
+    begins = jaccard._begins(table)
+    monkeypatch.setattr(jaccard, "Tree", None)
+    x, y = jaccard._leaves(table, begins[:-1], np.diff(begins), settings)
+    assert {p for p in want if rows[p[0]][0] < 5} <= set(zip(x.tolist(), y.tolist()))
+
+
+def test_points_travel_only_for_pairs_of_near_sizes(spark):
+    """The sizes rule pairs out before the points are joined."""
+    nodes = spark.createDataFrame([(1, 10, b"\x01\x0a"), (2, 100, b"\x01\x64")], "row bigint, n int, point binary")
+    plan = jaccard._passing(spark.createDataFrame([(1, 2)], "a bigint, b bigint"), nodes, jaccard.Settings())._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    first = next(i for i, x in enumerate(lines) if "greatest(" in x)
+    assert sum("Join" in x for x in lines[:first]) == 2 and sum("Join" in x for x in lines[first:]) == 2
+
+
 def test_repeated_passages_are_covered(spark, docs):
     words = {i: split(t) for i, t in docs.items()}
     where = defaultdict(set)
