@@ -57,7 +57,8 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their token ids; a text whose ids do not decode to it stops the job."""
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    tokens = bpe.encode(docs, "text", path, pattern, "token_ids")
+    # Written, so that a task has one Python worker with the tokenizer, not two at once.
+    tokens = materialise(bpe.encode(docs, "text", path, pattern, "token_ids"), "pipeline-tokens")
     back = bpe.decode(tokens, "token_ids", path, pattern, "__bytes")
     same = F.col("__bytes") == F.coalesce("text", F.lit("")).cast("binary")
     checked = F.when(same, F.size("token_ids")).otherwise(F.raise_error(F.lit("ids do not decode to the text")).cast("int"))
