@@ -28,6 +28,7 @@ from pyspark.sql.types import StructType
 from . import texts
 
 CACHE = 150_000  # pre-tokens whose ids a Python worker keeps, as bytes
+DECODED = 1 << 16  # ids decoded at once
 
 
 class Codec:
@@ -100,6 +101,55 @@ def codec(path: str, pattern: str) -> Codec:
     return _codecs[path, pattern]
 
 
+class Decoder:
+    """The tokens of one file of ranks, as one row of bytes: a worker that only decodes holds nothing else."""
+
+    def __init__(self, path: str):
+        with open(path, "rb") as lines:
+            tokens = {int(rank): base64.b64decode(token) for token, rank in (line.split() for line in lines if line.strip())}
+        sizes = np.full(max(tokens, default=-1) + 1, -1, np.int64)  # -1: an id without token
+        sizes[list(tokens)] = [len(t) for t in tokens.values()]
+        self.known = sizes >= 0
+        self.ends = np.cumsum(np.maximum(sizes, 0))
+        self.sizes = np.maximum(sizes, 0)
+        self.bytes = np.frombuffer(b"".join(tokens[i] for i in sorted(tokens)), np.uint8)
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        ids = np.asarray(ids, np.int64)
+        if len(ids) and not (ids.min() >= 0 and ids.max() < len(self.known) and self.known[ids].all()):
+            raise KeyError("an id without token")
+        out = []
+        for at in range(0, len(ids), DECODED):
+            own = ids[at : at + DECODED]
+            sizes = self.sizes[own]
+            ends = np.cumsum(sizes)
+            out.append(self.bytes[np.arange(sizes.sum()) + np.repeat(self.ends[own] - ends, sizes)].tobytes())
+        return b"".join(out)
+
+
+_decoders: dict[str, Decoder] = {}
+
+
+def decoder(path: str) -> Decoder:
+    """One decoder a Python worker and file."""
+    if path not in _decoders:
+        _decoders[path] = Decoder(path)
+    return _decoders[path]
+
+
+def _parts(batch: pa.RecordBatch, ids: str):
+    """Parts of a batch of at most about ``texts.SLICE_BYTES`` of ids, or a single row."""
+    sizes = 4 * batch.column(ids).value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    begin, total = 0, 0
+    for i, size in enumerate(sizes.tolist()):
+        if i > begin and total + size > texts.SLICE_BYTES:
+            yield batch.slice(begin, i - begin)
+            begin, total = i, 0
+        total += size
+    if begin < batch.num_rows:
+        yield batch.slice(begin)
+
+
 def _per_text(df: DataFrame, text: str, path: str, pattern: str, columns: str, finish) -> DataFrame:
     """``df`` without ``text``, with what ``finish(codec, ids)`` makes of every text."""
     made = StructType.fromDDL(columns)
@@ -188,10 +238,11 @@ def decode(df: DataFrame, ids: str, path: str, pattern: str, output: str = "deco
 
     def work(batches):
         for batch in batches:
-            tool = codec(path, pattern)
-            # Row by row: a Python list takes many times the bytes of an Arrow one.
-            decoded = (tool.decode(x.values.to_numpy()) if x.is_valid else b"" for x in batch.column(ids))
-            yield texts.with_columns(batch, __out=pa.array(decoded, pa.binary()))
+            tool = decoder(path)
+            for part in _parts(batch, ids):
+                # Row by row: a Python list takes many times the bytes of an Arrow one.
+                decoded = (tool.decode(x.values.to_numpy()) if x.is_valid else b"" for x in part.column(ids))
+                yield texts.with_columns(part, __out=pa.array(decoded, pa.binary()))
         texts.release()
 
     return df.mapInArrow(work, StructType([*df.schema.fields]).add("__out", "binary")).withColumnRenamed("__out", output)
