@@ -161,6 +161,15 @@ def test_combinations_and_supports(spark):
         assert sum(fits) >= 3 and abs(sum(fits) / len(fits) - sure) < 1e-9
 
 
+def test_tokens_of_equal_rows_stand_for_each_other(spark):
+    """p:v and p:w stand in the same labelled rows; other pages have one of them only."""
+    rows = [(f"http://{h}.com/{p}/x{i}", h == "a" and p == "v/w") for h in "abcd" for p in ("v/w", "t", "u") for i in range(10)]
+    rules = urlrules.mine(spark.createDataFrame(rows, "url string, bad boolean"), "url", "bad")
+    urls = ["http://a.com/v/x1", "http://a.com/w/x1", "http://a.com/v/w/x1", "http://b.com/w/x1", "http://a.com/t/x1"]
+    got = urlrules.match(spark.createDataFrame([(u,) for u in urls], "url string"), "url", rules).collect()
+    assert {tuple(r) for r in got} == {(u, 1.0) for u in urls[:3]}
+
+
 def test_a_trap_of_many_segments_ends(spark):
     """Urls of 60 segments on half the rows, the same ones and any ones."""
     same = "/".join(f"s{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60))
