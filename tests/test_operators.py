@@ -224,6 +224,28 @@ def test_a_common_piece_makes_no_pairs(spark):
     assert approximate.unmatched_substrings(side("a"), side("a").select("k", F.concat(F.lit("so "), "prefix").alias("prefix")), "k").count() == 0
 
 
+def test_a_shared_piece_makes_few_candidates(spark):
+    """200 patterns of a shared phrase and own letters beside 200 such texts: letter pairs rule almost all pairs out."""
+    tail = lambda salt: F.translate(F.substring(F.sha2(F.concat(F.lit(salt), F.col("id").cast("string")), 256), 1, 12), "0123456789", "ghijklmnop")
+    left = spark.range(200).select(F.lit("p").alias("k"), F.concat(F.lit("the shared phrase "), tail("a")).alias("prefix"), F.lit(30).alias("n"), F.lit(3).alias("d"), F.lit(5).alias("q"))
+    right = spark.range(200).select(F.lit("p").alias("k"), F.concat(F.lit("the shared phrase "), tail("b")).alias("text"))
+    # Two pieces of each pattern are of the phrase, which all texts have: 80,000 rows.
+    assert approximate.candidates(left, right, "k", "prefix", "text").count() < 20_000
+    near = left.limit(20).select("k", F.concat(F.substring("prefix", 1, 17), F.lit("#"), F.substring("prefix", 18, 13)).alias("text"))
+    kept = left.limit(20).select("k", "prefix")
+    assert approximate.unmatched_substrings(kept, near.withColumnRenamed("text", "prefix"), "k").count() == 0
+
+
+def test_text_reconcile_compares_once(make, monkeypatch):
+    """Both sides are looked for in one comparison."""
+    calls = []
+    keep = reconcile.unmatched_substrings
+    monkeypatch.setattr(reconcile, "unmatched_substrings", lambda *a: (calls.append(a), keep(*a))[1])
+    a, b = make("p string, t string", ("1", "green apples fell down"), (None, "red pears")), make("p string, t string", ("1", "green apple fell down"), (None, "blue plums"))
+    got = {(r["p"], r["side"], r["similar"]) for r in reconcile.text_reconcile(a, b, "p", "t").collect()}
+    assert got == {("1", "left", 1), ("1", "right", 1), (None, "left", 0), (None, "right", 0)} and len(calls) == 1
+
+
 def test_text_reconcile(make, rows):
     a = make("p int, t string", (1, "the client moved in on Monday, all fine"), (1, "kept note"), (2, "lost note about rent"), (2, None))
     b = make("p int, t string", (1, "the client moved on Monday, all fine"), (1, "kept, note!"), (3, "new one"))
